@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import arc, packing, quality_rules, token_store
+from .tokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +19,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(spark, _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = arc.round_trip(spark, _table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_quality_rules": op3_quality_rules,
+        "op5_token_store": op5_token_store,
+        "op7_warc": op7_warc,
+        "op8_packing": op8_packing,
     }
 
 
