@@ -199,6 +199,9 @@ def learn_from(stats: DataFrame, labels: DataFrame, *, max_rows: int = 20000, **
     """
     good = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = stats.where(f"NOT ({BASE_FAILED})").join(good, "doc_id").select(*(F.expr(f"double({e})").alias(f"f_{k}") for k, e in FEATURES.items()), "quality", F.xxhash64("doc_id").alias("o"), "doc_id")
+    n = rows.count()
+    if n > 2 * max_rows:  # so that tasks send little more than what is used
+        rows = rows.where(F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.5 * max_rows / n)))
     got = rows.orderBy("o", "doc_id").limit(max_rows).toPandas()
     x = {k: got[f"f_{k}"].to_numpy(dtype=np.float64) for k in FEATURES}
     return learn(x, got["quality"].to_numpy() == 0, **how)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import arc, packing, quality_rules, token_store
+from . import arc, line_dedup, packing, quality_rules, token_store
 from .tokens import vocabulary
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
@@ -34,6 +38,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_line_dedup": op2_line_dedup,
         "op3_quality_rules": op3_quality_rules,
         "op5_token_store": op5_token_store,
         "op7_warc": op7_warc,
@@ -42,4 +47,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": line_dedup.ORACLE_SQL,
+    }
