@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import arc, line_dedup, packing, quality_rules, token_store
+from . import arc, line_dedup, packing, quality_rules, simhash, token_store, url_filter
 from .tokens import vocabulary
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.OP1_RULES)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed_lines")
 
@@ -23,6 +27,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return out.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(spark, _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -38,8 +47,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_line_dedup": op2_line_dedup,
         "op3_quality_rules": op3_quality_rules,
+        "op4_simhash": op4_simhash,
         "op5_token_store": op5_token_store,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
@@ -48,5 +59,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_url_filter": url_filter.ORACLE_SQL,
         "op2_line_dedup": line_dedup.ORACLE_SQL,
     }
