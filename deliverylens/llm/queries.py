@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import arc, line_dedup, packing, quality_rules, simhash, token_store, url_filter
+from . import arc, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
 from .tokens import vocabulary
 
 
@@ -45,6 +46,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_rlz.factors(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -54,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_store": op5_token_store,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
+        "op9_substring_rlz": op9_substring_rlz,
     }
 
 
