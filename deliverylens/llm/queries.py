@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
+from . import arc, decontaminate, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
 from .tokens import vocabulary
 
 
@@ -51,6 +51,10 @@ def op9_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
         "op9_substring_rlz": op9_substring_rlz,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 

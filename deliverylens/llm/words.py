@@ -39,11 +39,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends (exclusive) of the words in a byte array."""
+def spans(buf: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the words in a byte array; ``between`` has
+    True for the bytes that are no part of a word."""
     edge = np.empty(len(buf) + 2, dtype=np.int8)
     edge[0] = edge[-1] = 0
-    np.logical_not(IS_SPACE[buf], out=edge[1:-1].view(bool))
+    np.logical_not(between[buf], out=edge[1:-1].view(bool))
     step = np.diff(edge)
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
