@@ -41,14 +41,16 @@ def _member(data: bytes, level: int) -> bytes:
 
 def members(data: bytes) -> Iterator[tuple[int, bytes]]:
     """Offset and content of each gzip member."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        z = zlib.decompressobj(31)
-        out = z.decompress(memoryview(data)[at:])
-        if not z.eof:
-            raise ValueError("a gzip member is cut off")
-        yield at, out
-        at = len(data) - len(z.unused_data)
+        z, out, fed = zlib.decompressobj(31), [], at
+        while not z.eof:
+            if fed >= len(data):
+                raise ValueError("a gzip member is cut off")
+            out.append(z.decompress(view[fed : fed + 8192]))
+            fed += min(8192, len(data) - fed)
+        yield at, b"".join(out)
+        at = fed - len(z.unused_data)
 
 
 def arc_head(name: str, version: str) -> bytes:
@@ -234,7 +236,8 @@ def convert(index: DataFrame, arcs: str, folder: str) -> DataFrame:
                     raise ValueError(f"{r['arc']} has {n} records, not {r['records']}")
                 yield pa.RecordBatch.from_pylist([{"path": path, "records": n}])
 
-    return checkpoint(todo.repartition(F.col("arc")).mapInArrow(run, "path string, records long"))
+    # Few and tiny rows, each much work: a fixed number of partitions, which isn't coalesced.
+    return checkpoint(todo.repartition(max(1, todo.count()), "arc").mapInArrow(run, "path string, records long"))
 
 
 def read_warcs(warcs: DataFrame, page_type: str = "bigint") -> DataFrame:
