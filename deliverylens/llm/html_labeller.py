@@ -324,9 +324,14 @@ class PageMaker:
         if self.r.random() < 0.8:
             out.append(f"<h1>{self.text(2, 14)}</h1>")
             labels.append(1)
+        again = f"<p>{self.text(1, 6)}</p>"
         for k in range(int(self.r.integers(1, 14))):
             roll = self.r.random()
-            if roll < 0.72:
+            if roll < 0.1:
+                n = int(self.r.integers(1, 6))
+                out.append(again * n)
+                labels.extend([1] * n)
+            elif roll < 0.72:
                 bold = self.r.random() < 0.25
                 out.append(f"<p>{'<b>' if bold else ''}{self.text(1, 120)}{'<br>' if bold else ''}{'' if bold and self.r.random() < 0.5 else '</p>'}")
                 labels.append(1)
