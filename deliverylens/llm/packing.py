@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .session import workers_import_this
-from .tokens import encoder
+from .tokens import encoded, encoder
 
 TIERS = (128, 256, 512, 1024, 2048)
 BUFFER = 4096
@@ -169,8 +169,8 @@ def pack(docs: DataFrame, vocabulary: str, *, byte_level: bool = False, end_id:
         packer = TierPacker(lambda *x: rows.append(x), TaskContext.get().partitionId() << 40, tiers, step_tokens)
         for batch in batches:
             kind = batch.schema.field(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packer.add(doc, coder.encode(text.as_py()) + end)
+            for doc, ids in encoded([batch], coder):
+                packer.add(doc, ids + end)
                 if len(rows) >= 20000:
                     yield out()
         packer.finish()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import files
 from .session import checkpoint, drop_shuffles, scratch, workers_import_this
-from .tokens import encoder
+from .tokens import encoded, encoder
 
 MAGIC = b"DLTOK1\r\n"
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 2000, 8192, 65536
@@ -47,7 +47,7 @@ def train(docs: DataFrame, vocabulary: str, byte_level: bool, end: bytes, wide:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary, byte_level)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([serialise(coder.encode(t.as_py()) + end, wide) for t in batch.column(0)], pa.binary())], names=["a"])
+            yield pa.RecordBatch.from_arrays([pa.array([serialise(ids + end, wide) for ids in coder.encode_many(batch.column(0).to_pylist())], pa.binary())], names=["a"])
 
     few = docs.select(F.xxhash64(id_col).alias("o"), F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("text")).orderBy("o", "text").limit(SAMPLE_DOCS)
     samples = [bytes(r.a) for r in few.select("text").mapInArrow(run, "a binary").collect()]
@@ -58,7 +58,11 @@ def train(docs: DataFrame, vocabulary: str, byte_level: bool, end: bytes, wide:
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(raw) if raw else None
+    if not raw:
+        return None
+    out = zstandard.ZstdCompressionDict(raw)
+    out.precompute_compress(level=LEVEL)  # else each frame would load it anew
+    return out
 
 
 class ShardWriter:
@@ -148,7 +152,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, *, byte_level: bool = T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part = encoder(vocabulary, byte_level), TaskContext.get().partitionId()
-        flow = ((i, t.as_py(), b.schema.field(0).type) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1)))
+        flow = ((doc, ids + end, b.schema.field(0).type) for b in batches for doc, ids in encoded([b], coder))
         held, number = next(flow, None), 0
         while held is not None:
             shard = (part << 24) + number
@@ -156,8 +160,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, *, byte_level: bool = T
             with files.new_file(path) as out:
                 writer = ShardWriter(out, _dictionary_at(folder, sha), wide)
                 while held is not None and writer.at < shard_bytes:
-                    doc, text, kind = held
-                    ids = coder.encode(text) + end
+                    doc, ids, kind = held
                     writer.add(doc, ids)
                     tokens, docs_in = tokens + len(ids) // 4, docs_in + 1
                     held = next(flow, None)
