@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc, decontaminate, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
+from . import arc, decontaminate, html_labeller, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
 from .tokens import vocabulary
 
 
@@ -37,6 +37,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(spark, _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_labeller.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = arc.round_trip(spark, _table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_simhash": op4_simhash,
         "op5_token_store": op5_token_store,
+        "op6_html_labeller": op6_html_labeller,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
         "op9_substring_rlz": op9_substring_rlz,
