@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
-from .session import checkpoint, workers_import_this
+from .session import workers_import_this
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_digits long, n_lines long"
 #: Ratios the rules may test, as SQL over the statistics.
@@ -58,24 +59,25 @@ def stats_of(text: bytes) -> tuple[int, ...]:
     )
 
 
-def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row (id, STATS) for each document.
+def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the STATS columns added to each row.
 
-    A null text counts as empty: all statistics are zero. Repeated ids keep
-    their rows; other columns are not carried.
+    A null text counts as empty: all statistics are zero. Columns of the input
+    that have the name of a statistic are replaced.
     """
     workers_import_this(docs.sparkSession)
     names = [x.split()[0] for x in STATS.split(", ")]
+    docs = docs.drop(*names)
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [stats_of((t.as_py() or "").encode()) for t in batch.column(1)]
+            rows = [stats_of((t.as_py() or "").encode()) for t in batch.column(at)]
             cols = zip(*rows) if rows else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols)], names=["id", *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in cols)], names=[*batch.schema.names, *names])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, {STATS}")
-    return out.withColumnRenamed("id", id_col)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+    return docs.mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -190,33 +192,38 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, *, max_rules: int = 12, max
     return DecisionList(tuple(rules))
 
 
-def learn_from(stats: DataFrame, labels: DataFrame, *, max_rows: int = 20000, **how) -> DecisionList:
-    """Fit on at most ``max_rows`` labelled documents, chosen by a hash of the id,
-    of those that pass the base conditions (the others go in any case).
+def learn_from(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20000, **how) -> DecisionList:
+    """Fit on at most ``max_rows`` labelled documents, chosen by a hash of the id;
+    of these, on those that pass the base conditions (the others go in any case).
 
     ``labels`` has doc_id and quality (0 is bad). Rows with a null label or id
-    are left out; of repeated ids one row is used.
+    are left out; of repeated labels the worst counts.
     """
     good = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.where(f"NOT ({BASE_FAILED})").join(good, "doc_id").select(*(F.expr(f"double({e})").alias(f"f_{k}") for k, e in FEATURES.items()), "quality", F.xxhash64("doc_id").alias("o"), "doc_id")
-    n = rows.count()
+    good = good.withColumn("o", F.xxhash64("doc_id"))
+    n = good.count()
     if n > 2 * max_rows:  # so that tasks send little more than what is used
-        rows = rows.where(F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.5 * max_rows / n)))
-    got = rows.orderBy("o", "doc_id").limit(max_rows).toPandas()
+        good = good.where(F.pmod("o", F.lit(1 << 30)) < int((1 << 30) * 1.5 * max_rows / n))
+    sample = good.orderBy("o", "doc_id").limit(max_rows).drop("o")
+    # At most max_rows pairs of numbers: a bound that holds at any size of the corpus.
+    stats = text_stats(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")).where(f"NOT ({BASE_FAILED})")
+    rows = stats.select("doc_id", *(F.expr(f"double({e})").alias(f"f_{k}") for k, e in FEATURES.items()), "quality").dropDuplicates(["doc_id"])
+    got = rows.toPandas().sort_values("doc_id")
     x = {k: got[f"f_{k}"].to_numpy(dtype=np.float64) for k in FEATURES}
     return learn(x, got["quality"].to_numpy() == 0, **how)
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, max_rows: int = 20000, **how) -> tuple[DataFrame, DecisionList]:
-    """Statistics with ``base_failed``, ``rule`` and ``kept`` for each document.
+    """``docs`` with statistics, ``base_failed``, ``rule`` and ``kept``; and the rules.
 
     base_failed: under 20 words, or over 30 % of the words in repeated windows.
     rule: the number of the learned rule that rejects, null if none does or if
-    base_failed. A null or empty text fails; an empty table gives an empty
-    result; without usable labels no rule is learned.
+    base_failed. Every row is judged by its own text, whatever its id: null and
+    repeated ids are no matter. A null or empty text fails; an empty table
+    gives an empty result; without usable labels no rule is learned. Columns of
+    the input with these names are replaced.
     """
-    stats = checkpoint(text_stats(docs))
-    rules = learn_from(stats, labels, max_rows=max_rows, **how)
-    out = stats.withColumn("base_failed", F.expr(BASE_FAILED))
+    rules = learn_from(docs, labels, max_rows=max_rows, **how)
+    out = text_stats(docs.drop("base_failed", "rule", "kept")).withColumn("base_failed", F.expr(BASE_FAILED))
     out = out.withColumn("rule", F.when(~F.col("base_failed"), rules.column()))
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules

@@ -66,24 +66,26 @@ def fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
-def _masks(max_bits: int) -> list[int]:
-    """For every choice of blocks that may differ, the bits of the others (signed)."""
-    n = 4 * max_bits
+def _masks(max_bits: int, n: int) -> list[int]:
+    """For every choice of blocks, of n, that may differ, the bits of the others (signed)."""
     edges = [round(64 * k / n) for k in range(n + 1)]
     blocks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
     out = [~sum(blocks[k] for k in c) & (2**64 - 1) for c in combinations(range(n), max_bits)]
     return [m - 2**64 if m >= 2**63 else m for m in out]
 
 
-def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = 2, blocks: int | None = None) -> DataFrame:
     """(a, b), a < b: the distinct fingerprints of column fp at most so many bits apart.
 
+    blocks: into how many a fingerprint is cut, four times max_bits unless
+    given; with fewer there are fewer keys, of fewer bits each.
+
     A fingerprint has at most 2,080 neighbours within two bits, so the links
     grow with the fingerprints and not with the square of a group.
     """
     if max_bits < 1:
         raise ValueError("equal fingerprints need no links")
-    masks = F.array(*[F.lit(m) for m in _masks(max_bits)])
+    masks = F.array(*[F.lit(m) for m in _masks(max_bits, blocks or 4 * max_bits)])
     keyed = fps.select("fp").distinct().select("fp", F.posexplode(masks).alias("c", "m")).select("fp", "c", F.col("fp").bitwiseAND(F.col("m")).alias("k"))
     left, right = keyed.withColumnRenamed("fp", "a"), keyed.select(F.col("fp").alias("b"), F.col("c").alias("c2"), F.col("k").alias("k2"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
