@@ -115,6 +115,10 @@ class Duck(Spark):
     def low(self, x: str, by: str) -> str:
         return f"arg_min({x}, {by})"
 
+    def big(self, x: str) -> str:
+        """count_if over nulls only is null here, and zero in Spark."""
+        return f"CAST({f'coalesce({x}, 0)' if x.startswith('count_if') else x} AS BIGINT)"
+
     def json_long(self, x: str, key: str) -> str:
         return f"CAST(json_extract_string({x}, '$.{key}') AS BIGINT)"
 
