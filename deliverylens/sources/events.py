@@ -76,15 +76,16 @@ def read_bundles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     wrong_format, wrong_major, count_mismatch and checksum_mismatch. Events of
     faulty bundles are left out.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson").option("wholetext", "true").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson").text(path, wholetext=True)
     files = files.select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n", 2).alias("p"))
     head = F.from_json(F.col("p")[0], f"_manifest struct<{MANIFEST}>")["_manifest"]
     body = F.coalesce(F.get("p", F.lit(1)), F.lit(""))
-    files = files.select("file", head.alias("m"), body.alias("body"))
+    has = F.get_json_object(F.col("p")[0], "$._manifest").isNotNull()
+    files = files.select("file", has.alias("has"), head.alias("m"), body.alias("body"))
     rows = F.filter(F.split("body", "\n"), lambda x: F.trim(x) != "")
     files = files.withColumn("rows", rows)
     fault = (
-        F.when(F.col("m").isNull(), "not_a_manifest")
+        F.when(~F.col("has"), "not_a_manifest")
         .when(~F.col("m.format").eqNullSafe("telemetry-bundle"), "wrong_format")
         .when(F.split_part("m.schema_version", F.lit("."), F.lit(1)) != "1", "wrong_major")
         .when(F.col("m.event_count") != F.size("rows"), "count_mismatch")
