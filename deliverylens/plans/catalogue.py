@@ -662,3 +662,6 @@ def h24_profile_ranking(d: Spark) -> str:
 def c01_turns_by_role(d: Spark) -> str:
     """Turns and characters by role in conversations."""
     return f"SELECT role, count(*) AS turns, count(DISTINCT conv_id) AS conversations, {d.big('sum(length(text))')} AS chars, {d.big('max(turn)')} AS deepest FROM conversations GROUP BY role"
+
+
+from . import derivations  # noqa: E402, F401  (adds its plans)
