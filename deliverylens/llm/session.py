@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,12 @@ def workers_import_this(spark: SparkSession) -> None:
     """Let Python workers started from a checkout import this package.
 
     On a cluster the package is installed or sent with --py-files; this only
-    adds the checkout to the workers' PYTHONPATH.
+    adds the checkout to the workers' PYTHONPATH. Texts are long: unless the
+    session has set other sizes, batches to the workers are made smaller.
     """
+    for key, usual, less in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "8388608b")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", usual) == usual:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", less)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -55,5 +60,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def drop_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete shuffle files that no live DataFrame needs."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # objects freed by the first round hold the shuffles that the second finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +38,19 @@ def _words(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
     return raw, starts, ends, W.word_hashes(buf, starts, ends)
 
 
+def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the leftmost least value of each run of ``width`` values lies; runs
+    of twice the length are made of two until they are long enough."""
+    least, place, k = values, np.arange(len(values)), 1
+    while k < width:
+        step = min(k, width - k)
+        right = least[step:] < least[:-step]
+        place = np.where(right, place[step:], place[:-step])
+        least = np.where(right, least[step:], least[:-step])
+        k += step
+    return place
+
+
 def blocks(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, content, start, n) of each reference block of a document.
 
@@ -50,7 +62,7 @@ def blocks(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[
         none = np.zeros(0, dtype=np.int64)
         return none.astype(np.uint64), none.astype(np.uint64), none, none
     grams = W.window_hashes(hashes, gram)
-    place = np.arange(n) + sliding_window_view(grams, window - gram + 1).argmin(axis=1)
+    place = _leftmost_least(grams, window - gram + 1)
     start = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     size = np.diff(np.append(start, n))
     return grams[place[start]], W.range_hashes(hashes, start, start + size + window - 1), start, size
@@ -152,7 +164,10 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, id_col:
     workers_import_this(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = matches(docs.where("id IS NOT NULL"), window, gram)
-    lists = found.groupBy("id").agg(F.collect_list(F.struct("s", "n", "ref", "ref_s")).alias("m")).withColumnRenamed("id", "mid")
+    # Written before the texts are joined, so that no shuffle of the search is kept beside theirs.
+    lists = checkpoint(found.groupBy("id").agg(F.collect_list(F.struct("s", "n", "ref", "ref_s")).alias("m")).withColumnRenamed("id", "mid"))
+    del found
+    drop_shuffles(spark)
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,11 +42,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def spans(buf: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the words in a byte array; ``between`` has
     True for the bytes that are no part of a word."""
-    edge = np.empty(len(buf) + 2, dtype=np.int8)
-    edge[0] = edge[-1] = 0
-    np.logical_not(between[buf], out=edge[1:-1].view(bool))
-    step = np.diff(edge)
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    inside = np.zeros(len(buf) + 2, dtype=bool)
+    np.logical_not(between[buf], out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    return edge[::2], edge[1::2]
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
