@@ -189,8 +189,8 @@ FROM (SELECT p.pr_id, sum(o.lines_added) AS total FROM prs p LEFT JOIN outputs o
 @plan
 def f49_name_collisions(d: Spark) -> str:
     """Supplier names at most two edits apart, met within blocks of nation and name length."""
-    return """
-SELECT a.s_suppkey AS a_key, b.s_suppkey AS b_key, levenshtein(a.s_name, b.s_name) AS edits FROM supplier a JOIN supplier b
+    return f"""
+SELECT a.s_suppkey AS a_key, b.s_suppkey AS b_key, {d.big('levenshtein(a.s_name, b.s_name)')} AS edits FROM supplier a JOIN supplier b
   ON a.s_nationkey = b.s_nationkey AND length(a.s_name) = length(b.s_name) AND a.s_suppkey < b.s_suppkey WHERE levenshtein(a.s_name, b.s_name) <= 2"""
 
 
@@ -398,14 +398,14 @@ FROM (SELECT person_id, wk, n - lag(n) OVER (PARTITION BY person_id ORDER BY wk)
 
 @plan
 def w12_attempt_index(d: Spark) -> str:
-    return "SELECT event_id, row_number() OVER (PARTITION BY trace_id, gate_name ORDER BY event_time, event_id) - 1 AS attempt_index FROM gates"
+    return f"SELECT event_id, {d.big('row_number() OVER (PARTITION BY trace_id, gate_name ORDER BY event_time, event_id) - 1')} AS attempt_index FROM gates"
 
 
 @plan
 def w14_retry_depth(d: Spark) -> str:
     """Attempts before the first pass of each session and gate."""
-    return """
-SELECT trace_id, gate_name, min(i) AS depth FROM (SELECT trace_id, gate_name, verdict, row_number() OVER (PARTITION BY trace_id, gate_name ORDER BY event_time, event_id) - 1 AS i FROM gates) AS a WHERE verdict = 'pass' GROUP BY trace_id, gate_name"""
+    return f"""
+SELECT trace_id, gate_name, {d.big('min(i)')} AS depth FROM (SELECT trace_id, gate_name, verdict, row_number() OVER (PARTITION BY trace_id, gate_name ORDER BY event_time, event_id) - 1 AS i FROM gates) AS a WHERE verdict = 'pass' GROUP BY trace_id, gate_name"""
 
 
 @plan
@@ -501,7 +501,7 @@ FULL OUTER JOIN (SELECT agent_name, {d.big("count_if(acceptance_state = 'accepte
 @plan
 def m04_pr_lead_time(d: Spark) -> str:
     h = d.diff("HOUR", "created_on", "merged_at")
-    return f"SELECT repo, count(*) AS n, {k_guard('count(*)', d.disc(0.5, h))} AS p50_h, {k_guard('count(*)', d.disc(0.85, h))} AS p85_h FROM prs WHERE merged_at IS NOT NULL AND NOT is_draft AND NOT is_bot_only GROUP BY repo"
+    return f"SELECT repo, count(*) AS n, {d.big(k_guard('count(*)', d.disc(0.5, h)))} AS p50_h, {d.big(k_guard('count(*)', d.disc(0.85, h)))} AS p85_h FROM prs WHERE merged_at IS NOT NULL AND NOT is_draft AND NOT is_bot_only GROUP BY repo"
 
 
 @plan
@@ -655,7 +655,7 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT user_id, {d.day('event_time')}
 
 @plan
 def h24_profile_ranking(d: Spark) -> str:
-    return "SELECT person_id, n, rank FROM (SELECT person_id, n, row_number() OVER (ORDER BY n DESC, person_id) AS rank FROM (SELECT person_id, count(*) AS n FROM ev GROUP BY person_id ORDER BY n DESC, person_id LIMIT 25) AS a) AS b"
+    return f"SELECT person_id, n, rank FROM (SELECT person_id, n, {d.big('row_number() OVER (ORDER BY n DESC, person_id)')} AS rank FROM (SELECT person_id, count(*) AS n FROM ev GROUP BY person_id ORDER BY n DESC, person_id LIMIT 25) AS a) AS b"
 
 
 @plan

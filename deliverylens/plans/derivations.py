@@ -183,7 +183,7 @@ def w07_first_request(d: Spark) -> str:
 
 @plan
 def w13_turn_index(d: Spark) -> str:
-    return "SELECT event_id, row_number() OVER (PARTITION BY trace_id ORDER BY event_time, event_id) - 1 AS turn_index, row_number() OVER (PARTITION BY trace_id, turn_kind ORDER BY event_time, event_id) AS of_kind FROM turns"
+    return f"SELECT event_id, {d.big('row_number() OVER (PARTITION BY trace_id ORDER BY event_time, event_id) - 1')} AS turn_index, {d.big('row_number() OVER (PARTITION BY trace_id, turn_kind ORDER BY event_time, event_id)')} AS of_kind FROM turns"
 
 
 @plan
@@ -191,7 +191,7 @@ def w15_missed_streak(d: Spark) -> str:
     """Working days without a report, counted back from the last day."""
     dow = "dayofweek(day)" if d.name == "spark" else "(dayofweek(day) + 1)"
     return f"""
-SELECT user_id, coalesce(min(CASE WHEN n IS NOT NULL THEN back END) - 1, max(back)) AS streak FROM (
+SELECT user_id, {d.big('coalesce(min(CASE WHEN n IS NOT NULL THEN back END) - 1, max(back))')} AS streak FROM (
   SELECT s.user_id, s.day, t.n, row_number() OVER (PARTITION BY s.user_id ORDER BY s.day DESC) AS back
   FROM (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM ev) AS u CROSS JOIN (SELECT day FROM (SELECT {d.explode_days(d.date('2024-01-02'), d.date('2024-01-29'))} AS day) AS z WHERE {dow} BETWEEN 2 AND 6) AS w) AS s
   LEFT JOIN (SELECT user_id, {d.day('event_time')} AS day, count(*) AS n FROM turns WHERE k % 4 = 0 GROUP BY user_id, {d.day('event_time')}) AS t ON s.user_id = t.user_id AND s.day = t.day) AS x GROUP BY user_id"""
@@ -213,7 +213,7 @@ def t01_latest_price(d: Spark) -> str:
 
 @plan
 def t05_sentinel_last(d: Spark) -> str:
-    return "SELECT label, n, row_number() OVER (ORDER BY CASE WHEN label = 'unset' THEN 1 ELSE 0 END, label) AS place FROM (SELECT coalesce(automation_status, 'unset') AS label, count(*) AS n FROM cases GROUP BY coalesce(automation_status, 'unset')) AS a"
+    return f"SELECT label, n, {d.big('row_number() OVER (ORDER BY CASE WHEN label = ~unset~ THEN 1 ELSE 0 END, label)'.replace(chr(126), chr(39)))} AS place FROM (SELECT coalesce(automation_status, 'unset') AS label, count(*) AS n FROM cases GROUP BY coalesce(automation_status, 'unset')) AS a"
 
 
 # ---- scalar functions
@@ -268,7 +268,7 @@ def f54_programs(d: Spark) -> str:
 @plan
 def d01_review_timeline(d: Spark) -> str:
     """First review, and review before merge, by repository."""
-    return f"SELECT repo, count(first_review_at) AS reviewed, {d.big('count_if(first_review_at < merged_at)')} AS before_merge, {d.disc(0.5, d.diff('HOUR', 'created_on', 'first_review_at'))} AS p50_h FROM prs GROUP BY repo"
+    return f"SELECT repo, count(first_review_at) AS reviewed, {d.big('count_if(first_review_at < merged_at)')} AS before_merge, {d.big(d.disc(0.5, d.diff('HOUR', 'created_on', 'first_review_at')))} AS p50_h FROM prs GROUP BY repo"
 
 
 @plan
