@@ -74,6 +74,12 @@ def _masks(max_bits: int, n: int) -> list[int]:
     return [m - 2**64 if m >= 2**63 else m for m in out]
 
 
+def block_keys(fps: DataFrame, max_bits: int, blocks: int | None = None) -> DataFrame:
+    """fps (with column fp) once for each choice c of agreeing blocks, with their bits as key k."""
+    masks = F.array(*[F.lit(m) for m in _masks(max_bits, blocks or 4 * max_bits)])
+    return fps.select("*", F.posexplode(masks).alias("c", "m")).withColumn("k", F.col("fp").bitwiseAND(F.col("m"))).drop("m")
+
+
 def links(fps: DataFrame, max_bits: int = 2, blocks: int | None = None) -> DataFrame:
     """(a, b), a < b: the distinct fingerprints of column fp at most so many bits apart.
 
@@ -85,8 +91,7 @@ def links(fps: DataFrame, max_bits: int = 2, blocks: int | None = None) -> DataF
     """
     if max_bits < 1:
         raise ValueError("equal fingerprints need no links")
-    masks = F.array(*[F.lit(m) for m in _masks(max_bits, blocks or 4 * max_bits)])
-    keyed = fps.select("fp").distinct().select("fp", F.posexplode(masks).alias("c", "m")).select("fp", "c", F.col("fp").bitwiseAND(F.col("m")).alias("k"))
+    keyed = block_keys(fps.select("fp").distinct(), max_bits, blocks)
     left, right = keyed.withColumnRenamed("fp", "a"), keyed.select(F.col("fp").alias("b"), F.col("c").alias("c2"), F.col("k").alias("k2"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     return left.join(right, (F.col("k") == F.col("k2")) & (F.col("c") == F.col("c2")) & (F.col("a") < F.col("b")) & close).select("a", "b")
