@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +32,13 @@ from .session import checkpoint, drop_shuffles, workers_import_this
 WINDOW, GRAM = 20, 5
 
 
-def _words(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    raw = (text or "").encode()
-    buf = np.frombuffer(raw, dtype=np.uint8)
-    starts, ends = W.spans(buf)
-    return raw, starts, ends, W.word_hashes(buf, starts, ends)
+def _words(text: str | bytes | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    raw, starts, ends = _spans(text if isinstance(text, bytes) else (text or "").encode())
+    return raw, starts, ends, W.word_hashes(np.frombuffer(raw, dtype=np.uint8), starts, ends)
+
+
+def _spans(raw: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    return raw, *W.spans(np.frombuffer(raw, dtype=np.uint8))
 
 
 def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -99,13 +102,26 @@ def known_blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return found
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(id, z): the texts compressed, as which they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            z = [tool.compress((t.as_py() or "").encode()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], names=["id", "z"])
+
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, z binary")
+
+
 def window_rows(marks: DataFrame, docs: DataFrame, window: int) -> DataFrame:
     """(w1, w2, id, s) for each window of the marked blocks (id, s, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
         for batch in batches:
             for k in range(batch.num_rows):
-                hashes = _words(batch.column(2)[k].as_py())[3]
+                hashes = _words(tool.decompress(batch.column(2)[k].as_py()))[3]
                 part = batch.column(1)[k].values
                 s, n = part.field("s").to_numpy(), part.field("n").to_numpy().astype(np.int64)
                 each = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
@@ -115,7 +131,7 @@ def window_rows(marks: DataFrame, docs: DataFrame, window: int) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     lists = marks.groupBy("id").agg(F.collect_list(F.struct("s", F.col("n").cast("int").alias("n"))).alias("m"))
-    return lists.join(docs, "id").select("id", "m", "text").mapInArrow(run, f"w1 long, w2 long, id {kind}, s int")
+    return lists.join(packed(docs), "id").select("id", "m", "z").mapInArrow(run, f"w1 long, w2 long, id {kind}, s int")
 
 
 def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -171,10 +187,11 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, id_col:
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
             for k in range(batch.num_rows):
-                raw, starts, ends, _ = _words(batch.column(1)[k].as_py())
+                raw, starts, ends = _spans(tool.decompress(batch.column(1)[k].as_py()))
                 spans = parse([tuple(x.values()) for x in batch.column(2)[k].as_py() or ()], window)
                 gone = W.covered(len(starts), np.array([x[0] for x in spans]), np.array([x[0] + x[1] for x in spans])) if spans else np.zeros(len(starts), dtype=bool)
                 left = np.flatnonzero(~gone)
@@ -187,7 +204,8 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, id_col:
             ref = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ref", batch.schema.field(0).type), ("ref_start", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], ref), pa.array(cols[3], pa.string())], names=["id", "n_words", "n_removed", "factors", "kept"])
 
-    joined = docs.join(lists, docs["id"] == lists["mid"], "left").select("id", "text", "m")
+    texts = packed(docs)
+    joined = texts.join(lists, texts["id"] == lists["mid"], "left").select("id", "z", "m")
     out = joined.mapInArrow(run, f"id {kind}, n_words long, n_removed long, factors array<struct<start:long,length:long,ref:{kind},ref_start:long>>, kept string")
     return out.withColumnRenamed("id", id_col)
 
