@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,29 @@ def plan(f: Callable[[Spark], str]) -> Callable[[Spark], str]:
     return f
 
 
+#: Relations worth keeping when a plan reads them more than once, lower ones first.
+SHARED = ("ev", "runs", "priced", "outputs", "fct_run", "fct_output")
+
+
+def _uses(text: str, name: str) -> int:
+    return len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text))
+
+
 def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        text = chain(SPARK, f(SPARK))
+        body = f(SPARK)
+        text = chain(SPARK, body)
         for t in TABLES:
             if t in text:
                 spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        return spark.sql(text)
+        kept: dict[str, str] = {}
+        for name in SHARED:
+            # Each reference prunes columns its own way, so Spark wouldn't reuse the
+            # deduplicating shuffle below; cached once, it is read from there.
+            if _uses(text, name) > 1:
+                spark.sql(chain(SPARK, f"SELECT * FROM {name}", kept)).persist().createOrReplaceTempView(f"kept_{name}")
+                kept[name] = f"SELECT * FROM kept_{name}"
+        return spark.sql(chain(SPARK, body, kept))
 
     run.__name__, run.__doc__ = f.__name__, f.__doc__
     return run
