@@ -1,7 +1,9 @@
 """The telemetry queries: one plan text a query, in either dialect.
 
 ``queries()`` runs the Spark form over a folder of Parquet tables;
-``oracle_sql()`` is the DuckDB form.
+``oracle_sql()`` is the DuckDB form. Relations that a plan reads more than once
+are cached (memory, then disk) and found again by later plans of the session;
+``spark.catalog.clearCache()`` lets them go.
 """
 
 from __future__ import annotations
