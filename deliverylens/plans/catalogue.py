@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .dialect import DUCK, SPARK, Spark
-from .relations import EVENTS_AS_OF, ORDERS_AS_OF, chain
+from .relations import EVENTS_AS_OF, ORDERS_AS_OF, chain, parts
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations", "labels", "benchmark")
 PLANS: dict[str, Callable[[Spark], str]] = {}
@@ -25,29 +25,28 @@ def plan(f: Callable[[Spark], str]) -> Callable[[Spark], str]:
     return f
 
 
-#: Relations worth keeping when a plan reads them more than once, lower ones first.
+#: Relations worth keeping when a plan reads them more than once.
 SHARED = ("ev", "runs", "priced", "outputs", "fct_run", "fct_output")
 
 
-def _uses(text: str, name: str) -> int:
-    return len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text))
-
-
 def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         body = f(SPARK)
-        text = chain(SPARK, body)
+        needed = parts(SPARK, body)
+        text = "\n".join([*needed.values(), body])
         for t in TABLES:
             if t in text:
                 spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        kept: dict[str, str] = {}
-        for name in SHARED:
+        refer = re.compile(rf"\b(FROM|JOIN)\s+({'|'.join(needed)})\b") if needed else None
+        named = lambda sql: refer.sub(r"\1 telemetry_\2", sql) if refer else sql
+        for name, sql in needed.items():
+            df = spark.sql(named(sql))
             # Each reference prunes columns its own way, so Spark wouldn't reuse the
-            # deduplicating shuffle below; cached once, it is read from there.
-            if _uses(text, name) > 1:
-                spark.sql(chain(SPARK, f"SELECT * FROM {name}", kept)).persist().createOrReplaceTempView(f"kept_{name}")
-                kept[name] = f"SELECT * FROM kept_{name}"
-        return spark.sql(chain(SPARK, body, kept))
+            # shuffles below; cached once, they are read from there.
+            if name in SHARED and len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text)) > 1:
+                df = df.persist()
+            df.createOrReplaceTempView(f"telemetry_{name}")
+        return spark.sql(named(body))
 
     run.__name__, run.__doc__ = f.__name__, f.__doc__
     return run
@@ -299,7 +298,7 @@ LEFT JOIN (SELECT DISTINCT person_id, {d.day('event_time')} AS dy, o FROM tools,
 def j22_roster_difference(d: Spark) -> str:
     """People missing from the trail, and people in it that no roster has."""
     return """
-SELECT 'missing' AS side, c_custkey AS id FROM customer WHERE c_custkey <= 200 AND NOT EXISTS (SELECT 1 FROM ev WHERE ev.user_id = customer.c_custkey)
+SELECT 'missing' AS side, c_custkey AS id FROM customer WHERE c_custkey <= 200 AND NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_id = customer.c_custkey)
 UNION ALL SELECT 'unexpected', u.user_id FROM (SELECT DISTINCT user_id FROM ev) u WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = u.user_id AND c.c_custkey % 3 = 0)"""
 
 

@@ -241,18 +241,22 @@ FROM part"""
 RELATIONS = {f.__name__: f for f in (ev0, delivered, ev, tools, turns, gates, calls, prices, priced, runs, sessions, usage, gate_final, gate_rollup, tool_rollup, turn_rollup, terminal, fct_run, prs, claims, outputs, rework, fct_output, people, cases)}
 
 
-def chain(d: Spark, body: str, own: dict[str, str] | None = None) -> str:
-    """``body`` with the relations that it names, and those they name, before it."""
-    own = own or {}
+def parts(d: Spark, body: str) -> dict[str, str]:
+    """The relations that ``body`` names, and those they name, lower ones first."""
     done: dict[str, str] = {}
 
     def need(text: str) -> None:
-        for name in [*own, *RELATIONS]:
+        for name, relation in RELATIONS.items():
             if name not in done and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
-                sql = own.get(name) or RELATIONS[name](d)
-                done[name] = ""
+                sql = relation(d)
                 need(sql)
-                del done[name]
                 done[name] = sql
+
     need(body)
+    return done
+
+
+def chain(d: Spark, body: str) -> str:
+    """``body`` with the relations that it needs before it."""
+    done = parts(d, body)
     return ("WITH " + ",\n".join(f"{k} AS ({v})" for k, v in done.items()) + "\n" if done else "") + body
