@@ -4,7 +4,8 @@ Both kinds of vocabulary split a text at white space before they merge, so the
 ids of a text are those of its words put together. Words come back again and
 again: a batch of texts is cut into words and looked up in a hash table with
 numpy, and only words that are not in it go to the tokenizer. Texts for which
-that split isn't plainly safe go to the tokenizer whole.
+that split isn't plainly safe, such as those that hold an added token, go to the
+tokenizer whole.
 """
 
 from __future__ import annotations
@@ -92,7 +93,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Added tokens, such as an end of text, get their own ids wherever a text holds them.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.byte_level = byte_level
         (self.mark,) = self._whole(["\n" if byte_level else "~"])[0]
         self.table = _Table()
@@ -106,6 +108,8 @@ class WordEncoder:
         return self._plain_bytes(np.frombuffer(text.encode(), dtype=np.uint8), text)
 
     def _plain_bytes(self, buf: np.ndarray, text: str) -> bool:
+        if any(t in text for t in self.added):
+            return False
         space = W.IS_SPACE[buf]
         if self.byte_level and len(buf) and (space[0] or space[-1] or np.any(space[1:] & space[:-1])):
             return False

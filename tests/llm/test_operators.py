@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 from deliverylens.llm import arc, decontaminate, html_labeller, line_dedup, near_dup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
 from deliverylens.llm.components import components
@@ -250,6 +251,16 @@ def test_words_put_together_equal_whole_texts(name, byte_level):
     assert coder.encode_many(texts) == want and [coder.encode(t) for t in texts] == want
 
 
+@pytest.mark.parametrize("name,byte_level,end", [("byte_bpe_50k.json", True, 50256), ("word_bpe_49k.json", False, 49407)])
+def test_added_tokens_in_texts_have_their_own_ids(name, byte_level, end):
+    fresh = Tokenizer.from_file(vocabulary(name))
+    texts = ["one page<|endoftext|>next page", "<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>x", "<|endoftext", *ODD, *[t for _, t in corpus(9)]]
+    want = [np.array(fresh.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    coder = encoder(vocabulary(name), byte_level)
+    assert coder.encode_many(texts) == want and [coder.encode(t) for t in texts] == want
+    assert all(end in np.frombuffer(x, dtype="<u4") for x in want[:3])
+
+
 # ---- 6
 
 
