@@ -405,3 +405,39 @@ def test_leaks_are_found_and_clean_documents_left(spark, none):
         assert all(x.score >= 0.8 for x in got)
     assert decontaminate.contaminated(none, tests).count() == 0
     assert decontaminate.contaminated(docs, tests.limit(0)).count() == 0
+
+
+def test_copies_without_a_run_of_four_words_are_found(spark):
+    """Held against alignment without seeds, from 0.6 up, and where an item's grams are frequent."""
+    r = random.Random(16)
+    vocab = [f"v{k}" for k in range(2000)]
+    weights = [1 / (k + 1) for k in range(2000)]
+    say = lambda n: r.choices(vocab, weights, k=n)
+    items = {k: say(r.choice([15, 40, 59])) for k in range(10)}
+    rows = []
+    for i in range(120):
+        copy, kind = list(items[i % 10]), i // 10 % 4
+        if kind == 0:
+            copy = [f"x{i}" if k % 4 == 3 else w for k, w in enumerate(copy)]
+        elif kind == 1:
+            copy = [x for k, w in enumerate(copy) for x in ([w, "put"] if k % 3 == 2 else [w])]
+        elif kind == 2:
+            gone = set(r.sample(range(len(copy)), int(len(copy) * r.uniform(0.15, 0.5))))
+            copy = [f"y{r.randint(0, 99)}" if k in gone else w for k, w in enumerate(copy)]
+        words = say(r.choice([50, 1500])) if kind < 3 else say(200)
+        at = r.randint(0, len(words))
+        rows.append((i, " ".join(words[:at] + (copy if kind < 3 else []) + words[at:])))
+    rows += [(1000 + i, " ".join(items[0][3:9] + say(30))) for i in range(150)]
+    want = set()
+    for i, text in rows:
+        h = decontaminate.tokens(text)[3]
+        for k, words in items.items():
+            one = decontaminate.tokens(" ".join(words))[3]
+            if decontaminate.align(one, h)[1] >= 0.6 * len(one):
+                want.add((i, k))
+    assert len(want) > 70
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    for held in (10**6, 0):
+        got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, tests, held_grams=held).collect()}
+        assert want <= got and len(got - want) <= 2  # a second place of a document may align too
