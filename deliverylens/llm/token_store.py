@@ -49,7 +49,10 @@ def train(docs: DataFrame, vocabulary: str, byte_level: bool, end: bytes, wide:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([serialise(ids + end, wide) for ids in coder.encode_many(batch.column(0).to_pylist())], pa.binary())], names=["a"])
 
-    few = docs.select(F.xxhash64(id_col).alias("o"), F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("text")).orderBy("o", "text").limit(SAMPLE_DOCS)
+    # A threshold on the hash first: about four times SAMPLE_DOCS rows are sorted, however many there are.
+    share = min(1.0, 4 * SAMPLE_DOCS / max(1, docs.count()))
+    some = docs.select(F.xxhash64(id_col, text_col).alias("o"), F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("text"))
+    few = some.where(F.pmod("o", F.lit(1 << 32)) < int(share * (1 << 32))).orderBy("o", "text").limit(SAMPLE_DOCS)
     samples = [bytes(r.a) for r in few.select("text").mapInArrow(run, "a binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -176,6 +179,12 @@ def write(docs: DataFrame, folder: str, vocabulary: str, *, byte_level: bool = T
     return manifest
 
 
+def _tasks(manifest: DataFrame) -> int:
+    """Partitions to read the shards in: one a shard while cores are free, then four shards each."""
+    shards, cores = manifest.count(), manifest.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(2 * shards, cores), shards // 4)
+
+
 def read(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame:
     """Decode the shards: (doc_id, start, n_tokens, ids_crc32) a document.
 
@@ -197,10 +206,10 @@ def read(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame
                 cols = list(zip(*rows)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # One row a shard of about 64 MB: the running sum needs no more than one task.
+    # One row a shard of about 64 MB, so 100 TB are two million small rows; they are summed in one task and not broadcast.
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    sums = manifest.select("shard", F.coalesce(before, F.lit(0)).alias("before"))
-    return manifest.join(F.broadcast(sums), "shard").select("path", "before", "dictionary").mapInArrow(run, schema)
+    sums = manifest.select("shard", "path", "dictionary", F.coalesce(before, F.lit(0)).alias("before"))
+    return sums.repartition(_tasks(manifest), "shard").select("path", "before", "dictionary").mapInArrow(run, schema)
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str) -> DataFrame:

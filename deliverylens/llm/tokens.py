@@ -3,7 +3,8 @@
 Both kinds of vocabulary split a text at white space before they merge, so the
 ids of a text are those of its words put together. Words come back again and
 again: a batch of texts is cut into words and looked up in a hash table with
-numpy, and only words that are not in it go to the tokenizer. Texts for which
+numpy by a 64-bit hash of its bytes (two different words share one with a chance
+of about 2**-64), and only words that are not in it go to the tokenizer. Texts for which
 that split isn't plainly safe, such as those that hold an added token, go to the
 tokenizer whole.
 """
@@ -188,14 +189,15 @@ class WordEncoder:
     def _learn(self, words: list[str], keys: np.ndarray) -> None:
         """Put new words, with their space or line feed before them, into the table.
 
-        Punctuation after letters is a token run of its own in both
-        vocabularies, so such a word is put together from its parts.
+        Punctuation after an ASCII letter is a token run of its own in both
+        vocabularies, so such a word is put together from its parts. Other
+        letters may lower-case to a letter and a mark, which joins what follows.
         """
         at = 1 if self.byte_level else 0
         stems, tails = [], []
         for w in words:
             stem = w.rstrip(TAIL)
-            if len(stem) == len(w) or not stem[at:].isalpha():
+            if len(stem) == len(w) or not stem[at:].isalpha() or not stem[-1].isascii():
                 stem = w
             stems.append(stem)
             tails.append(w[len(stem) :])
