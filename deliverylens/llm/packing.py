@@ -4,7 +4,9 @@ Every document is cut into windows of the longest context; what is left over
 is routed to the tier (context size) that just holds it. Each tier opens
 sequences for its own pieces and fills their gaps from shorter tiers, largest
 fitting piece first, cutting one only where none fits. Sequences of one
-context size are dealt into step groups of the same number of tokens.
+context size are dealt into step groups of the same number of tokens; those
+that are left over at the end of a partition are dealt largest first, each to
+the group with fewest tokens.
 
 Packing runs inside each input partition in a stream, without a shuffle; a
 task keeps a bounded buffer of remainders. Each partition ends in at most one
@@ -13,6 +15,7 @@ sequence that is not full.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
@@ -43,9 +46,9 @@ class TierPacker:
         self.tiers, self.emit, self.buffer = tuple(sorted(tiers)), emit, buffer
         self.longest = self.tiers[-1]
         self.first, self.made = first_sequence, 0
-        self.step_tokens, self.of_tier = step_tokens, defaultdict(int)
-        self.steps: dict[int, int] = {}
-        self.new_step = first_sequence
+        self.step_tokens, self.new_step = step_tokens, first_sequence
+        #: By context, sequences (context, pieces) whose step group isn't full yet.
+        self.open: dict[int, list] = defaultdict(list)
         self.pools: dict[int, list] = {t: [] for t in self.tiers}
         self.waiting = 0
         self.serial = 0
@@ -62,6 +65,13 @@ class TierPacker:
 
     def finish(self) -> None:
         self._pack(last=True)
+        left = [x for c in reversed(self.tiers) for x in self.open.pop(c, ())]
+        groups = [(0, k, []) for k in range(-(-sum(c for c, _ in left) // self.step_tokens))]
+        for context, pieces in left:
+            total, k, held = heapq.heappop(groups)
+            heapq.heappush(groups, (total + context, k, [*held, (context, pieces)]))
+        for _, _, held in sorted(groups, key=lambda g: g[1]):
+            self._step(held)
 
     def _pool(self, doc, start: int, ids: bytes, n: int) -> None:
         length = len(ids) // 4
@@ -130,18 +140,23 @@ class TierPacker:
         return total
 
     def _close(self, pieces: list, context: int) -> None:
-        group = self.of_tier[context] // max(1, self.step_tokens // context)
-        key = (context, group)
-        if key not in self.steps:
-            self.steps = {k: v for k, v in self.steps.items() if k[0] != context}
-            self.steps[key] = self.new_step
-            self.new_step += 1
-        self.of_tier[context] += 1
-        sequence, offset = self.first + self.made, 0
+        sequence, offset, rows = self.first + self.made, 0, []
         self.made += 1
         for doc, start, length, ids, n in pieces:
-            self.emit(doc, start, length, zlib.crc32(ids), n, sequence, offset, context, self.steps[key])
+            rows.append((doc, start, length, zlib.crc32(ids), n, sequence, offset, context))
             offset += length
+        held = self.open[context]
+        held.append((context, rows))
+        if len(held) >= max(1, self.step_tokens // context):
+            self._step(held)
+            self.open[context] = []
+
+    def _step(self, sequences: list) -> None:
+        """Emit the pieces of sequences as one step group."""
+        for _, rows in sequences:
+            for row in rows:
+                self.emit(*row, self.new_step)
+        self.new_step += 1
 
 
 def pack(docs: DataFrame, vocabulary: str, *, byte_level: bool = False, end_id: int = 1, tiers: tuple[int, ...] = TIERS, step_tokens: int = 16384, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,7 +164,9 @@ def pack(docs: DataFrame, vocabulary: str, *, byte_level: bool = False, end_id:
 
     A null or empty text is its end id alone; repeated ids are documents of
     their own; an empty table gives no rows. ``context`` is the sequence's
-    size, ``step_group`` its group; both are unique over partitions.
+    size, ``step_group`` its group; both are unique over partitions. A group has
+    step_tokens tokens, but for a partition's last ones, which differ from each
+    other by one sequence at most.
     """
     workers_import_this(docs.sparkSession)
     names = [x.split()[0] for x in PIECES.split(", ")]
