@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .session import checkpoint
+
 WINDOW = 3
 
 
@@ -29,11 +31,12 @@ def later_windows(found: DataFrame) -> DataFrame:
     """The windows (doc_id, pos) that an equal one precedes.
 
     The hashes are counted with map-side sums, so a window that a third of all
-    documents share is one row a task; the join back has one row a repeated
-    hash on one side and is left to adaptive skew splitting.
+    documents share is one row a task. The repeated hashes are checkpointed
+    before the join back: Spark splits a hot key only where both sides of a join
+    are shuffles of their own.
     """
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = found.join(first, ["h1", "h2"])
+    again = found.join(checkpoint(first), ["h1", "h2"])
     return again.where(~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))).select("doc_id", "pos")
 
 
