@@ -9,8 +9,9 @@ from .session import checkpoint
 
 
 def _toward(edges: DataFrame) -> DataFrame:
-    """The least neighbour of each u."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    """The least neighbour of each u, checkpointed: Spark splits the edges of a hub
+    only where both sides of a join are shuffles of their own."""
+    return checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -32,7 +33,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         mark = tuple(seen)
         both = edges.union(edges.select("v", "u"))
         least = _toward(both).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = checkpoint(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = _toward(large)
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
         edges = checkpoint(small.distinct())

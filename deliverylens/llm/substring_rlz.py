@@ -11,8 +11,8 @@ by one. Any window of a factor is a copy of earlier text, so every factor is at
 least 20 words long and its words are duplicate.
 
 What is shuffled is one small row an anchor (about one in eight words), not a
-row a window; hot anchors are pre-aggregated, and joins back to them have one
-row a key on the other side.
+row a window. Hot anchors are pre-aggregated, and what is joined back to them is
+one row a key, checkpointed so that Spark can split the other side of the join.
 """
 
 from __future__ import annotations
@@ -97,9 +97,9 @@ def known_blocks(docs: DataFrame, window: int, gram: int) -> DataFrame:
     mixed: the anchor's blocks differ in their words.
     """
     rows = block_rows(docs, window, gram)
-    anchors = rows.groupBy("h").agg(F.count("*").alias("c"), (F.min("r") != F.max("r")).alias("mixed")).where("c > 1").drop("c")
-    found = checkpoint(rows.join(anchors, "h"))
-    return found
+    anchors = checkpoint(rows.groupBy("h").agg(F.count("*").alias("c"), (F.min("r") != F.max("r")).alias("mixed")).where("c > 1").drop("c"))
+    drop_shuffles(docs.sparkSession)
+    return checkpoint(rows.join(anchors, "h"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -141,11 +141,12 @@ def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     drop_shuffles(docs.sparkSession)
     place = F.struct("id", "s")
     first = found.groupBy("h", "r").agg(F.min(F.struct("id", "s", "n")).alias("f"), F.first("mixed").alias("mixed"), F.count("*").alias("c"))
+    first = checkpoint(first.where("c > 1 OR mixed"))
     again = found.join(first.where("c > 1").select("h", "r", F.struct("f.id", "f.s").alias("f")), ["h", "r"]).where(place != F.col("f"))
     whole = again.select("id", "s", F.col("n").cast("int").alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"))
     edge = checkpoint(window_rows(first.where("mixed").select("f.*"), docs, window))
     drop_shuffles(docs.sparkSession)
-    one = edge.groupBy("w1", "w2").agg(F.min(place).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c")
+    one = checkpoint(edge.groupBy("w1", "w2").agg(F.min(place).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c"))
     single = edge.join(one, ["w1", "w2"]).where(place != F.col("f")).select("id", "s", F.lit(1).alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"))
     return whole.union(single)
 
