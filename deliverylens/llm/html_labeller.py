@@ -6,6 +6,11 @@ counts; a bidirectional LSTM in numpy reads the page's blocks in order and
 labels each as article or not, so that a block's verdict draws on the whole
 page. The network is trained here, on pages from a template generator whose
 labels are known.
+
+A page is scanned once from left to right, whatever its markup. A tag whose
+quotes never close ends at the next ``>``; one that no ``>`` ends is no text.
+Long pages are read in pieces of PIECE blocks with the states carried over, in
+both directions, so memory beyond the blocks themselves is bounded.
 """
 
 from __future__ import annotations
@@ -27,6 +32,10 @@ PATH_DIM, WORD_DIM, COUNTS = 256, 16, 6
 DIM = PATH_DIM + WORD_DIM + COUNTS
 HIDDEN = 16
 TRAIN_PAGES, EPOCHS, SEED = 1500, 12, 5
+#: Blocks of a long page that are in memory as vectors at once.
+PIECE = 4096
+#: Tags of a path that speak: of a deeper one the outermost and the innermost half of so many.
+PATH_TAGS = 64
 
 #: Fixed values of HTML: elements that end a block, that have no content, and whose content is no markup.
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
@@ -35,7 +44,9 @@ RAW_TAGS = frozenset("script style textarea title noscript template iframe svg".
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NO_P = frozenset(BLOCK_TAGS - {"button", "option", "select", "iframe", "title", "head", "html", "body", "legend", "caption"})
 
-_MARKUP = re.compile(r"<!--(?:>|->|.*?--!?>|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_OPEN = re.compile(r"<(?:(!--)|([!?]|/(?![a-zA-Z]))|(/?)([a-zA-Z][^\s/>]*))")
+_COMMENT_END = re.compile(r"--!?>")
+_QUOTE_OR_END = re.compile(r"[\"'>]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[\s_-]+")
 
@@ -49,77 +60,131 @@ class Block:
         self.path, self.text, self.link = path, text, link
 
 
-@lru_cache(maxsize=4096)
-def _names(attrs: str) -> tuple[str, ...]:
+def _read_names(attrs: str) -> tuple[str, ...]:
     found = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)).lower()
     return tuple(x for x in _SPLIT.split(found) if x)
 
 
+_cached_names = lru_cache(maxsize=4096)(_read_names)
+
+
+def _names(attrs: str) -> tuple[str, ...]:
+    return _cached_names(attrs) if len(attrs) <= 1000 else _read_names(attrs)
+
+
+def markup(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of each tag in order;
+    the name is null for comments and declarations.
+
+    The caller may send a later place to go on from. Places from which the
+    quotes lead to no end are remembered, so each is tried once.
+    """
+    at, dead = 0, set()
+    while True:
+        m = _OPEN.search(page, at)
+        if m is None:
+            return
+        at = m.end()
+        if m[1]:
+            if page.startswith((">", "->"), at):
+                at = page.index(">", at) + 1
+            else:
+                end = _COMMENT_END.search(page, at)
+                at = end.end() if end else len(page)
+            tag = (m.start(), at, None, False, "")
+        else:
+            i, tried, stop = at, [], -1
+            while stop < 0 and m[4] and not m[3] and i not in dead:
+                tried.append(i)
+                q = _QUOTE_OR_END.search(page, i)
+                if q is None:
+                    break
+                if q[0] == ">":
+                    stop = q.start()
+                    break
+                i = page.find(q[0], q.end()) + 1
+                if not i:
+                    break
+            if stop < 0:
+                dead.update(tried)
+                stop = page.find(">", at)
+            inner = page[at : stop if stop >= 0 else len(page)]
+            at = stop + 1 if stop >= 0 else len(page)
+            tag = (m.start(), at, m[4].lower() if m[4] else None, bool(m[3]), inner)
+        at = max(at, (yield tag) or 0)
+
+
 def leaves(page: str | None) -> list[Block]:
     """The blocks of a page in order, white space and character references
     resolved; blocks without a character are left out."""
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    depth: dict[str, int] = {}
+    level: list[int] = []  # where block-level tags lie in the stack
     parts: list[str] = []
-    links = inside = at = 0
+    links = at = 0
 
     def close_block() -> None:
         nonlocal links
         if parts:
             text = " ".join(htmllib.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(stack), text, links))
+                half = PATH_TAGS // 2
+                out.append(Block(tuple(stack) if len(stack) <= PATH_TAGS else (*stack[:half], *stack[-half:]), text, links))
             parts.clear()
         links = 0
 
     def pop(name: str) -> None:
-        nonlocal inside
         while stack:
             top, _ = stack.pop()
-            inside -= top == "a"
+            depth[top] -= 1
+            if top in BLOCK_TAGS:
+                level.pop()
             if top == name:
                 break
 
-    while True:
-        m = _MARKUP.search(page, at)
-        if m is None:
-            parts.append(page[at:])
-            break
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-            if inside:
-                links += m.start() - at
-        at = m.end()
-        name = m[2]
-        if name is None:
-            continue
-        name = name.lower()
+    def take(stop: int) -> None:
+        nonlocal links
+        if stop > at:
+            parts.append(page[at:stop])
+            if depth.get("a"):
+                links += stop - at
+
+    tags = markup(page)
+    tag = next(tags, None)
+    while tag is not None:
+        start, end, name, closes, attrs = tag
+        take(start)
+        at, jump = end, None
         if name == "br":
             parts.append(" ")
-            continue
-        if m[1]:
+        elif name is not None and closes:
             if name in BLOCK_TAGS:
                 close_block()
-            if any(t == name for t, _ in stack):
+            if depth.get(name):
                 pop(name)
-            continue
-        if name in BLOCK_TAGS:
-            close_block()
-            if name in _NO_P and any(t == "p" for t, _ in stack):
-                pop("p")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in _CLOSES.get(name, ()):
-                    pop(stack[k][0])
-                elif stack[k][0] in BLOCK_TAGS:
-                    break
-        if name in RAW_TAGS and not m[3].rstrip().endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        if name not in VOID_TAGS and not m[3].rstrip().endswith("/"):
-            stack.append((name, _names(m[3]) if m[3] else ()))
-            inside += name == "a"
+        elif name is not None:
+            if name in BLOCK_TAGS:
+                close_block()
+                if name in _NO_P and depth.get("p"):
+                    pop("p")
+                while level and stack[level[-1]][0] in _CLOSES.get(name, ()):
+                    pop(stack[level[-1]][0])
+            alone = attrs.rstrip().endswith("/")
+            if name in RAW_TAGS and not alone:
+                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                at = jump = close.end() if close else len(page)
+            elif name not in VOID_TAGS and not alone:
+                if name in BLOCK_TAGS:
+                    level.append(len(stack))
+                stack.append((name, _names(attrs) if attrs else ()))
+                depth[name] = depth.get(name, 0) + 1
+        try:
+            tag = tags.send(jump)
+        except StopIteration:
+            tag = None
+    take(len(page))
     close_block()
     return out
 
@@ -142,8 +207,9 @@ def _path_vector(path: tuple) -> np.ndarray:
     return np.minimum(v, 2.0)
 
 
-def features(blocks: list[Block]) -> np.ndarray:
-    """One row of DIM values a block."""
+def features(blocks: list[Block], at: int = 0, total: int | None = None, longest: int | None = None) -> np.ndarray:
+    """One row of DIM values a block. For a piece of a page: the blocks before
+    it, and the page's number of blocks and words of the longest."""
     x = np.zeros((len(blocks), DIM), dtype=np.float32)
     if not blocks:
         return x
@@ -163,8 +229,8 @@ def features(blocks: list[Block]) -> np.ndarray:
     x[:, c] = np.log1p(n) / 4
     x[:, c + 1] = np.minimum(np.array([b.link for b in blocks]) / np.maximum(chars, 1), 1)
     x[:, c + 2] = np.minimum(stops / np.maximum(n, 1), 1)
-    x[:, c + 3] = (np.arange(len(blocks)) + 0.5) / len(blocks)
-    x[:, c + 4] = n / max(1, n.max())
+    x[:, c + 3] = (at + np.arange(len(blocks)) + 0.5) / (total or len(blocks))
+    x[:, c + 4] = n / max(1, longest or n.max())
     x[:, c + 5] = chars / np.maximum(n, 1) / 10
     return x
 
@@ -191,11 +257,13 @@ class BiLSTM:
         w["c"] = np.zeros(1, dtype=np.float32)
         return cls(w)
 
-    def _run(self, d: str, x: np.ndarray, live: np.ndarray, keep: list | None) -> np.ndarray:
-        """States of one direction; x is (pages, blocks, DIM), live marks real blocks."""
+    def _run(self, d: str, x: np.ndarray, live: np.ndarray, keep: list | None, state: list | None = None) -> np.ndarray:
+        """States of one direction; x is (pages, blocks, DIM), live marks real
+        blocks. ``state`` holds the states before and is given those after."""
         z = x @ self.w["x" + d] + self.w["b" + d]
         n, t = live.shape
-        h, c, out = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), np.zeros((n, t, HIDDEN), np.float32)
+        h, c = state or (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
+        out = np.zeros((n, t, HIDDEN), np.float32)
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             g = z[:, k] + h @ self.w["h" + d]
             s = _sigmoid(g[:, : 3 * HIDDEN])
@@ -207,6 +275,8 @@ class BiLSTM:
                 keep.append((k, h, c, i, f, o, u, th, m))
             h, c = np.where(m, o * th, h), np.where(m, c2, c)
             out[:, k] = h
+        if state is not None:
+            state[:] = h, c
         return out
 
     def scores(self, x: np.ndarray, live: np.ndarray) -> np.ndarray:
@@ -214,6 +284,18 @@ class BiLSTM:
         both = np.concatenate([self._run("f", x, live, None), self._run("b", x, live, None)], axis=2)
         return _sigmoid(both @ self.w["o"] + self.w["c"][0])
 
+    def page_scores(self, blocks: list[Block]) -> np.ndarray:
+        """The same for one long page, in pieces."""
+        total, longest = len(blocks), max(b.text.count(" ") + 1 for b in blocks)
+        logit = np.full(total, self.w["c"][0], dtype=np.float32)
+        for d, part in (("f", slice(0, HIDDEN)), ("b", slice(HIDDEN, None))):
+            state: list = []
+            starts = range(0, total, PIECE)
+            for at in starts if d == "f" else reversed(starts):
+                x = features(blocks[at : at + PIECE], at, total, longest)[None]
+                logit[at : at + x.shape[1]] += self._run(d, x, np.ones(x.shape[:2], dtype=bool), None, state)[0] @ self.w["o"][part]
+        return _sigmoid(logit)
+
     def gradients(self, x: np.ndarray, live: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross entropy over the live blocks and its gradients."""
         kept: dict[str, list] = {"f": [], "b": []}
@@ -394,14 +476,16 @@ def label(pages: list[list[Block]], net: BiLSTM) -> list[np.ndarray]:
     out: list[np.ndarray] = [np.zeros(0, dtype=bool)] * len(pages)
     order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
     at = 0
-    while at < len(order):
+    while at < len(order) and len(pages[order[at]]) <= PIECE:
         size = max(1, min(128, 16384 // len(pages[order[at]])))
-        part = order[at : at + size]
+        part = [k for k in order[at : at + size] if len(pages[k]) <= PIECE]
         x, live = padded([features(pages[k]) for k in part])
         scores = net.scores(x, live)
         for j, k in enumerate(part):
             out[k] = scores[j, : len(pages[k])] >= 0.5
-        at += size
+        at += len(part)
+    for k in order[at:]:
+        out[k] = net.page_scores(pages[k]) >= 0.5
     return out
 
 
