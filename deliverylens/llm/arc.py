@@ -1,18 +1,22 @@
 """Legacy archives (ARC, versions 1 and 2) and their conversion to WARC.
 
-``write_arcs`` stores pages as ARC files, ``convert`` parses each ARC by its
-version's field line and the records' declared lengths and writes the WARC
-records that say the same, ``read_warcs`` reads those back. All three run a
-file a task; page bytes never pass a shuffle.
+``write_arcs`` stores pages as ARC files, ``index_arcs`` lists the records of
+files that others wrote, ``convert`` parses each ARC by its version's field line
+and the records' declared lengths and writes the WARC records that say the same,
+``read_warcs`` reads those back. All run a file a task; page bytes never pass a
+shuffle. Files may be plain or gzipped, with a member a record or several in
+one; a record that can't be read is a row with the reason, not an error.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,6 +35,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 64 << 20
 CAPTURED = "20240101000000"
+_DATE = re.compile(r"\d{8}(?:\d{2}){0,3}")
+#: What a header line looks like: where reading goes on after a damaged record.
+_HEADER = re.compile(rb"^[a-z][a-z0-9+.-]*:\S* \S+ \d{8,14} [^\n]*\d+\r?$", re.M | re.I)
 
 
 def _member(data: bytes, level: int) -> bytes:
@@ -75,36 +82,81 @@ def arc_record(version: str, url: str | None, response: bytes, offset: int, name
     return line.encode() + response + b"\n"
 
 
-def parse_arc(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset of the member, header fields, body) of each record but the version block.
-
-    The first line's body names the version and its fields; every later header
-    line is read by these, and the body by its declared length.
+def _fields(line: str, names: list[str]) -> dict[str, str]:
+    """The values of a header line by its version's names. More values than
+    names are white space inside the content type, or inside the URL if only
+    that puts a date in its place."""
+    values, more = line.split(" "), 0
+    if len(values) < len(names):
+        raise ValueError("fewer fields than the version has")
+    more = len(values) - len(names)
+    if more and _DATE.fullmatch(values[2]):
+        values[3 : 4 + more] = [" ".join(values[3 : 4 + more])]
+    elif more:
+        values[: 1 + more] = ["%20".join(values[: 1 + more])]
+    out = dict(zip(names, values))
+    if not _DATE.fullmatch(out["Archive-date"]):
+        raise ValueError("no archive date")
+    if not out["Archive-length"].isdigit():
+        raise ValueError("no declared length")
+    return out
+
+
+def parse_arc(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, nth, header fields, body) of each record but version blocks.
+
+    offset is the gzip member's, nth counts the records inside it; in a plain
+    file offset is the record's own. A version block's body names the version
+    and its fields, by which the header lines after it are read (version 1 until
+    one comes); bodies are read by their declared length, and line ends after
+    them are skipped. A damaged record has the only field ``error``; reading
+    goes on at the next member, or at the next line that looks like a header.
     """
-    fields: list[str] | None = None
-    for offset, raw in members(data):
-        line, _, rest = raw.partition(b"\n")
-        values = line.decode().split(" ")
-        length = int(values[-1])
-        body = rest[:length]
-        if len(body) != length or rest[length:] != b"\n":
-            raise ValueError("an ARC record's length is not the declared one")
-        if fields is None:
-            if not values[0].startswith("filedesc://"):
-                raise ValueError("an ARC file begins with its version block")
-            version, names = body.decode().splitlines()[:2]
-            fields = names.split(" ")
-            if names != ARC_FIELDS.get(version.split(" ")[0]):
-                raise ValueError(f"unknown ARC version {version!r}")
-            continue
-        if len(values) != len(fields):
-            raise ValueError("an ARC header line has other fields than its version")
-        yield offset, dict(zip(fields, values)), body
-
-
-def record_id(arc: str, offset: int) -> str:
+    names = ARC_FIELDS["1"].split(" ")
+    zipped = data[:2] == b"\x1f\x8b"
+    flow = members(data) if zipped else iter([(0, data)])
+    while True:
+        try:
+            base, raw = next(flow)
+        except StopIteration:
+            return
+        except (ValueError, zlib.error) as e:
+            yield len(data), 0, {"error": str(e)}, b""
+            return
+        at = nth = 0
+        while at < len(raw):
+            if raw[at] in b"\r\n":
+                at += 1
+                continue
+            stop = raw.find(b"\n", at)
+            place, stop = (base, nth) if zipped else (at, 0), len(raw) if stop < 0 else stop
+            try:
+                fields = _fields(raw[at:stop].rstrip(b"\r").decode("utf-8", "replace"), names)
+                end = stop + 1 + int(fields["Archive-length"])
+                if end > len(raw) or (end < len(raw) and raw[end] not in b"\r\n" and not _HEADER.match(raw, end)):
+                    raise ValueError("the declared length isn't the record's")
+            except ValueError as e:
+                yield *place, {"error": str(e)}, b""
+                again = _HEADER.search(raw, min(stop + 1, len(raw)))
+                at, nth = again.start() if again else len(raw), nth + 1
+                continue
+            body, at, nth = raw[stop + 1 : end], end, nth + 1
+            if fields["URL"].startswith("filedesc://"):
+                told = body.decode("utf-8", "replace").splitlines()[:2]
+                listed = told[1].split(" ") if len(told) > 1 else []
+                if {"URL", "IP-address", "Archive-date", "Content-type", "Archive-length"} <= set(listed):
+                    names = listed
+                elif told and told[0].split(" ")[0] in ARC_FIELDS:
+                    names = ARC_FIELDS[told[0].split(" ")[0]].split(" ")
+                nth -= 1
+            else:
+                yield *place, fields, body
+
+
+def record_id(arc: str, offset: int, nth: int = 0) -> str:
     """The identifier of the WARC record for an ARC record: the same for every run."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'arc:{arc}#{offset}')}>"
+    place = f"arc:{arc}#{offset}.{nth}" if nth else f"arc:{arc}#{offset}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, place)}>"
 
 
 def warc_record(kind: str, fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -125,27 +177,37 @@ def parse_warc(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _date(stamp: str) -> str:
-    return datetime.strptime(stamp, "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return datetime.strptime(stamp.ljust(14, "0"), "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def _page_of(head: bytes) -> str | None:
+    """The page id that ``write_arcs`` puts among the HTTP headers."""
+    return next((unquote(x[11:].decode()) for x in head.split(b"\r\n") if x.startswith(b"X-Page-Id: ")), None)
 
 
-def to_warc(arc: str, offset: int, fields: dict[str, str], body: bytes, revisits: tuple[str, str] | None) -> bytes:
+def _payload(body: bytes) -> tuple[bytes, bytes, bool]:
+    """(HTTP headers, payload, whether it is a response)."""
+    head, _, payload = body.partition(b"\r\n\r\n")
+    return (head, payload, True) if head.startswith(b"HTTP/") else (b"", body, False)
+
+
+def to_warc(arc: str, offset: int, nth: int, fields: dict[str, str], body: bytes, revisits: tuple[str, str] | None) -> bytes:
     """The WARC record equivalent to an ARC record.
 
     A record with an HTTP status line is a response, or a revisit of
     (record id, page id); anything else is a resource.
     """
-    head, _, payload = body.partition(b"\r\n\r\n")
-    http = head.startswith(b"HTTP/")
-    page = next((x[11:].decode() for x in head.split(b"\r\n") if x.startswith(b"X-Page-Id: ")), None) if http else None
+    head, payload, http = _payload(body)
+    page = _page_of(head) if http else None
     out = [
-        ("WARC-Record-ID", record_id(arc, offset)),
+        ("WARC-Record-ID", record_id(arc, offset, nth)),
         ("WARC-Date", _date(fields["Archive-date"])),
         ("WARC-Target-URI", fields["URL"]),
         ("WARC-IP-Address", fields["IP-address"]),
-        ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(payload if http else body).hexdigest()),
+        ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(payload).hexdigest()),
     ]
     if page is not None:
-        out.append(("DL-Page-Id", page))
+        out.append(("DL-Page-Id", quote(page, safe="")))
     if not http:
         return warc_record("resource", [*out, ("WARC-Block-Digest", "sha256:" + hashlib.sha256(body).hexdigest()), ("Content-Type", fields["Content-type"])], body)
     block, kind = body, "response"
@@ -153,14 +215,14 @@ def to_warc(arc: str, offset: int, fields: dict[str, str], body: bytes, revisits
         block, kind = head + b"\r\n\r\n", "revisit"
         out += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", revisits[0])]
         if revisits[1] is not None:
-            out.append(("DL-Refers-To-Page-Id", revisits[1]))
+            out.append(("DL-Refers-To-Page-Id", quote(revisits[1], safe="")))
     out += [("WARC-Block-Digest", "sha256:" + hashlib.sha256(block).hexdigest()), ("Content-Type", f"application/http;msgtype=response")]
     return warc_record(kind, out, block)
 
 
 def write_arcs(pages: DataFrame, folder: str, *, version: str | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Store pages (page_id, url, html) as ARC files; one row a record:
-    (arc, offset, page_id, payload_bytes, payload_digest).
+    (arc, offset, nth, page_id, payload_bytes, payload_digest); nth is 0.
 
     A null html is an empty payload, a null url is ``-``. Without a version,
     tasks take version 1 and 2 in turn.
@@ -185,7 +247,7 @@ def write_arcs(pages: DataFrame, folder: str, *, version: str | None = None, fil
                     page, url, html, kind_ = held
                     payload = (html or "").encode()
                     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n"
-                    head += f"X-Page-Id: {page}\r\n" if page is not None else ""
+                    head += f"X-Page-Id: {quote(str(page), safe='')}\r\n" if page is not None else ""
                     data = _member(arc_record(v, url, head.encode() + b"\r\n" + payload, at, name), 1)
                     out.write(data)
                     rows.append((name, at, page, len(payload), hashlib.sha256(payload).hexdigest()))
@@ -195,49 +257,84 @@ def write_arcs(pages: DataFrame, folder: str, *, version: str | None = None, fil
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], kind_), pa.array(cols[3], pa.int64()), pa.array(cols[4])], names=["arc", "offset", "page_id", "payload_bytes", "payload_digest"])
 
-    return pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, f"arc string, offset long, page_id {kind}, payload_bytes long, payload_digest string")
+    return pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, f"arc string, offset long, page_id {kind}, payload_bytes long, payload_digest string").selectExpr("arc", "offset", "0 AS nth", "page_id", "payload_bytes", "payload_digest")
+
+
+def index_arcs(names: DataFrame, folder: str) -> DataFrame:
+    """The records of ARC files (arc) in a folder: (arc, offset, nth, page_id,
+    payload_bytes, payload_digest, error). A record that can't be read has its
+    reason in ``error`` and no payload; page_id is a string, null in files of others."""
+    workers_import_this(names.sparkSession)
+    cols = ["arc", "offset", "nth", "page_id", "payload_bytes", "payload_digest", "error"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for arc in batch.column(0).to_pylist():
+                rows = []
+                for offset, nth, fields, body in parse_arc(files.read_file(f"{folder}/{arc}")):
+                    if "error" in fields:
+                        rows.append((arc, offset, nth, None, None, None, fields["error"]))
+                        continue
+                    head, payload, _ = _payload(body)
+                    rows.append((arc, offset, nth, _page_of(head), len(payload), hashlib.sha256(payload).hexdigest(), None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 7, kinds)], names=cols)
+
+    return _a_file_each(names.select("arc")).mapInArrow(run, "arc string, offset long, nth int, page_id string, payload_bytes long, payload_digest string, error string")
+
+
+def _a_file_each(todo: DataFrame) -> DataFrame:
+    """Rows of ``arc`` and what a task needs for it, few and each much work: a
+    file a task while cores are free, then four files each."""
+    n, cores = todo.count(), todo.sparkSession.sparkContext.defaultParallelism
+    return todo.repartitionByRange(max(1, min(n, cores), n // 4), "arc")
 
 
 def revisits(index: DataFrame) -> DataFrame:
     """(arc, offset, first): for every record of 100 bytes or more whose payload
     an earlier record has, that record: the smallest page id (null ids last, then by place)."""
-    rank = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "arc", "offset")
+    rank = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "arc", "offset", "nth")
     big = index.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
     first = big.groupBy("payload_digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = big.join(first, "payload_digest")
-    return again.where("arc != first.arc OR offset != first.offset").select("arc", "offset", F.struct("first.arc", "first.offset", F.col("first.page_id").cast("string").alias("page_id")).alias("first"))
+    again = big.join(checkpoint(first), "payload_digest")
+    return again.where("arc != first.arc OR offset != first.offset OR nth != first.nth").select("arc", "offset", "nth", F.struct("first.arc", "first.offset", "first.nth", F.col("first.page_id").cast("string").alias("page_id")).alias("first"))
 
 
 def convert(index: DataFrame, arcs: str, folder: str) -> DataFrame:
     """Write one WARC file for each ARC file; (path, records) a file.
 
+    Records that can't be read are left out here; ``index_arcs`` lists them.
     A task gets the revisits of its own file only, so what it holds is bounded
     by the file's size.
     """
     spark = index.sparkSession
     workers_import_this(spark)
     files.make_dir(folder)
-    again = revisits(index).groupBy("arc").agg(F.collect_list(F.struct("offset", "first")).alias("again"))
+    if "error" in index.columns:
+        index = index.where("error IS NULL")
+    again = revisits(index).groupBy("arc").agg(F.collect_list(F.struct("offset", "nth", "first")).alias("again"))
     todo = index.groupBy("arc").agg(F.count("*").alias("records")).join(again, "arc", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                first = {x["offset"]: x["first"] for x in r["again"] or ()}
-                path, n = f"{folder}/{r['arc'].replace('.arc.', '.warc.')}", 0
+                first = {(x["offset"], x["nth"]): x["first"] for x in r["again"] or ()}
+                name = r["arc"].removesuffix(".gz").removesuffix(".arc")
+                path, n = f"{folder}/{name}.warc.gz", 0
                 with files.new_file(path) as out:
                     info = [("WARC-Record-ID", record_id(r["arc"], -1)), ("WARC-Date", _date(CAPTURED)), ("WARC-Filename", path.rpartition("/")[2]), ("Content-Type", "application/warc-fields")]
                     out.write(_member(warc_record("warcinfo", info, f"converted-from: {r['arc']}\r\n".encode()), 3))
-                    for offset, fields, body in parse_arc(files.read_file(f"{arcs}/{r['arc']}")):
-                        x = first.get(offset)
-                        out.write(_member(to_warc(r["arc"], offset, fields, body, x and (record_id(x["arc"], x["offset"]), x["page_id"])), 3))
+                    for offset, nth, fields, body in parse_arc(files.read_file(f"{arcs}/{r['arc']}")):
+                        if "error" in fields:
+                            continue
+                        x = first.get((offset, nth))
+                        out.write(_member(to_warc(r["arc"], offset, nth, fields, body, x and (record_id(x["arc"], x["offset"], x["nth"]), x["page_id"])), 3))
                         n += 1
                 if n != r["records"]:
                     raise ValueError(f"{r['arc']} has {n} records, not {r['records']}")
                 yield pa.RecordBatch.from_pylist([{"path": path, "records": n}])
 
-    # Few and tiny rows, each much work: a fixed number of partitions, which isn't coalesced.
-    return checkpoint(todo.repartition(max(1, todo.count()), "arc").mapInArrow(run, "path string, records long"))
+    return checkpoint(_a_file_each(todo).mapInArrow(run, "path string, records long"))
 
 
 def read_warcs(warcs: DataFrame, page_type: str = "bigint") -> DataFrame:
@@ -267,7 +364,8 @@ def read_warcs(warcs: DataFrame, page_type: str = "bigint") -> DataFrame:
                         size = next(int(x[16:]) for x in head.split(b"\r\n") if x.startswith(b"Content-Length: "))
                     elif hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"{path}: a payload differs from its digest")
-                    rows.append((fields.get("DL-Page-Id"), size, digest, kind, fields.get("DL-Refers-To-Page-Id"), fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
+                    page, of = (None if fields.get(x) is None else unquote(fields[x]) for x in ("DL-Page-Id", "DL-Refers-To-Page-Id"))
+                    rows.append((page, size, digest, kind, of, fields["WARC-Record-ID"], fields["WARC-Target-URI"]))
                 cols = list(zip(*rows)) or [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k == "payload_bytes" else pa.string()) for k, c in zip(names, cols)], names=names)
 

@@ -1,8 +1,10 @@
 """Each corpus operator against a brute-force version, and on odd rows."""
 
+import gzip
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +14,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from deliverylens.llm import arc, decontaminate, html_labeller, line_dedup, near_dup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
+from deliverylens.llm import arc, decontaminate, files, html_labeller, line_dedup, near_dup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
 from deliverylens.llm.components import components
 from deliverylens.llm.session import scratch
 from deliverylens.llm.tokens import encoder, vocabulary
@@ -292,6 +294,27 @@ def test_html_labeller_on_generated_and_plain_pages(spark):
     assert sorted((r.text, r.n_chars) for r in got if r.page_id == 2) == [("", 0), ("", 0)] and len(got) == 4
 
 
+def test_long_and_broken_pages_take_time_in_proportion():
+    started = time.perf_counter()
+    broken = ["<a '" * 300_000, "<a '\">" * 200_000, "<div>" * 100_000 + "x", "<b>" * 50_000 + "<p>x" * 50_000, "<!--" * 200_000, "<a 'x" * 200_000 + "'>", "<" * 500_000]
+    found = [html_labeller.leaves(page) for page in broken]
+    assert time.perf_counter() - started < 20
+    assert [len(x) for x in found] == [0, 0, 1, 50_000, 0, 0, 1] and len(found[2][0].path) == html_labeller.PATH_TAGS
+    assert [b.text for b in html_labeller.leaves("<p>one<p title='two>three <b>four</b> 1 < 2")] == ["one", "three four 1 < 2"]
+    assert [b.text for b in html_labeller.leaves("<p>one <a href='x")] == ["one"]
+
+
+def test_long_pages_are_read_in_pieces_with_the_same_labels():
+    maker, net = html_labeller.PageMaker(5), html_labeller.BiLSTM.fresh(1)
+    blocks = [b for _ in range(400) for b in html_labeller.leaves(maker.page()[0])]
+    assert len(blocks) > 2 * html_labeller.PIECE
+    whole = net.scores(*html_labeller.padded([html_labeller.features(blocks)]))[0]
+    assert np.abs(net.page_scores(blocks) - whole).max() < 1e-4
+    short = html_labeller.leaves(maker.page()[0])
+    got = html_labeller.label([short, blocks, []], net)
+    assert [len(x) for x in got] == [len(short), len(blocks), 0] and (got[1] == (whole >= 0.5)).mean() > 0.9999
+
+
 # ---- 7
 
 
@@ -312,11 +335,44 @@ def test_arc_is_parsed_by_its_version_and_converted(spark, version):
     assert {i: (got[i].record_type, got[i].refers_to) for i in got} == {3: ("response", None), 4: ("revisit", 3), 5: ("revisit", 3), None: ("revisit", 3), 9: ("response", None), 8: ("response", None), 7: ("response", None), 6: ("response", None)}
 
 
-def test_arc_rejects_wrong_lengths():
-    head = arc._member(arc.arc_head("x", "1"), 1)
-    bad = arc._member(arc.arc_record("1", "u", b"abc", 0, "x").replace(b" 3\n", b" 9\n"), 1)
-    with pytest.raises(ValueError):
-        list(arc.parse_arc(head + bad))
+def test_arc_lists_wrong_lengths_and_goes_on():
+    head, good = arc._member(arc.arc_head("n", "1"), 1), arc._member(arc.arc_record("1", "http://a/", b"good", 0, "n"), 1)
+    bad = arc._member(arc.arc_record("1", "http://b/", b"body", 0, "n").replace(b" 4\n", b" 99\n"), 1)
+    got = list(arc.parse_arc(head + bad + good))
+    assert [("error" in f, f.get("URL"), body) for _, _, f, body in got] == [(True, None, b""), (False, "http://a/", b"good")]
+    cut = list(arc.parse_arc(head + good + good[:10]))
+    assert ["error" in f for _, _, f, _ in cut] == [False, True]
+
+
+def test_foreign_arcs_are_read(spark):
+    """Plain files, several records in one member, content types with a space, short dates, stray line ends."""
+    http = b"HTTP/1.0 200 OK\r\nContent-Type: text/html\r\n\r\n" + b"p" * 150
+    one = b"http://a.org/x y 1.2.3.4 19961104142103 text/html %d\n" % len(http) + http + b"\n\n"
+    two = b"http://b.org/ 1.2.3.4 199611041421 text/html; charset=utf-8 %d\r\n" % len(http) + http + b"\n"
+    three = b"dns:c.org 1.2.3.4 19961104142103 text/dns 3\nabc"
+    junk = b"http://d.org/ 1.2.3.4 never text/html 5\nzzzzz\n"
+    told = b"1 0 Someone\nURL IP-address Archive-date Content-type Archive-length\n    \n"
+    v1 = b"filedesc://f.arc 0.0.0.0 19961104142103 text/plain %d\n" % len(told) + told
+    body = one + two + junk + three
+    folder = scratch(spark, "foreign")
+    files.make_dir(folder)
+    for name, data in {"plain.arc": v1 + body, "whole.arc.gz": gzip.compress(v1 + body), "none.arc": body}.items():
+        with files.new_file(f"{folder}/{name}") as out:
+            out.write(data)
+    index = arc.index_arcs(spark.createDataFrame([("plain.arc",), ("whole.arc.gz",), ("none.arc",)], "arc string"), folder).persist()
+    rows = index.collect()
+    assert {n: sorted((r.payload_bytes, r.error is not None) for r in rows if r.arc == n and r.error is None) for n in ("plain.arc", "whole.arc.gz", "none.arc")} == dict.fromkeys(("plain.arc", "whole.arc.gz", "none.arc"), [(3, False), (150, False), (150, False)])
+    assert sum(r.error is not None for r in rows) == 3
+    back = arc.read_warcs(arc.convert(index, folder, scratch(spark, "warc")), "string").collect()
+    assert len(back) == 9 and len({r.record_id for r in back}) == 9
+    assert sorted(r.record_type for r in back) == ["resource"] * 3 + ["response"] + ["revisit"] * 5
+    assert {r.target_uri for r in back} == {"http://a.org/x%20y", "http://b.org/", "dns:c.org"}
+
+
+def test_page_ids_of_any_text_come_back(spark):
+    ids = ["a\r\nb: c", "é 1", "", "%41"]
+    pages = spark.createDataFrame([(i, "http://a/", f"<p>{k}" + "x" * 100) for k, i in enumerate(ids)], "page_id string, url string, html string")
+    assert sorted(r.page_id for r in arc.round_trip(spark, pages).collect()) == sorted(ids)
 
 
 # ---- 8
