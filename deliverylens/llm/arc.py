@@ -37,7 +37,7 @@ FILE_BYTES = 64 << 20
 CAPTURED = "20240101000000"
 _DATE = re.compile(r"\d{8}(?:\d{2}){0,3}")
 #: What a header line looks like: where reading goes on after a damaged record.
-_HEADER = re.compile(rb"^[a-z][a-z0-9+.-]*:\S* \S+ \d{8,14} [^\n]*\d+\r?$", re.M | re.I)
+_HEADER = re.compile(rb"^[a-z][a-z0-9+.-]*:[^\n]* \S+ \d{8,14} [^\n]*\d+\r?$", re.M | re.I)
 
 
 def _member(data: bytes, level: int) -> bytes:
