@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_GROUP = 5
@@ -36,8 +36,10 @@ def unanimous(value: Column) -> Column:
 
 
 def price(tokens_in: Column, tokens_out: Column, cached: Column, p_in: Column, p_out: Column, p_cached: Column) -> Column:
-    """Cost of a call at rates for 1,000 tokens; null if a part has no count or rate."""
-    fresh = F.when(tokens_in.isNotNull() & cached.isNotNull(), F.greatest(tokens_in - cached, F.lit(0)))
+    """Cost of a call at rates for 1,000 tokens; null if a part has no count or
+    rate. No count of cached tokens means that none were."""
+    cached = F.coalesce(cached, F.lit(0))
+    fresh = F.when(tokens_in.isNotNull(), F.greatest(tokens_in - cached, F.lit(0)))
     return fresh / 1000 * p_in + tokens_out / 1000 * p_out + F.when(cached == 0, 0).otherwise(cached / 1000 * p_cached)
 
 
@@ -90,6 +92,62 @@ def first_match(text: Column, kinds: dict[str, str], other: str | None = None) -
     return out.otherwise(F.lit(other))
 
 
+#: Gates by command, error classes by message (the first that fits), kinds of tools by name.
+GATES = {
+    "test": r"(?i)\b(pytest|jest|vitest|mocha|go\s+test|mvn\s+test|npm\s+(run\s+)?test|yarn\s+test|python\s+-m\s+unittest|playwright\s+test|cucumber)\b",
+    "lint": r"(?i)\b(eslint|ruff|flake8|pylint|golangci-lint|npm\s+run\s+lint|prettier\s+--check)\b",
+    "build": r"(?i)\b(tsc|npm\s+run\s+build|mvn\s+(package|compile)|gradle\s+build|go\s+build|cargo\s+build|make\b)",
+    "coverage": r"(?i)\b(coverage|--cov|nyc|jacoco)\b",
+    "secrets": r"(?i)\b(gitleaks|trufflehog|detect-secrets)\b",
+}
+ERROR_CLASSES = {
+    "permission_denied": r"(?i)user permission response|denied",
+    "not_found": r"(?i)no match found|does not exist|not found",
+    "ambiguous_match": r"(?i)multiple matches",
+    "invalid_input": r"(?i)invalid (inputs?|shell id)|is required",
+    "timeout": r"(?i)timed? ?out",
+}
+TOOL_KINDS = {
+    "bash": "terminal", "read_bash": "terminal", "write_bash": "terminal", "stop_bash": "terminal", "list_bash": "terminal",
+    "view": "file", "edit": "file", "create": "file", "glob": "file", "grep": "file", "web_fetch": "http",
+    "sql": "other", "skill": "other", "task": "other", "report_intent": "other", "ask_user": "other",
+}
+
+
+def gate_of(command: Column) -> Column:
+    return first_match(command, GATES)
+
+
+def error_class(message: Column) -> Column:
+    return F.when(message.isNotNull(), first_match(message, ERROR_CLASSES, "other"))
+
+
+def exit_code(output: Column) -> Column:
+    """The exit code that the last line of a tool's output states; one printed before it doesn't count."""
+    return F.regexp_extract(output, r"<exited with exit code (-?\d+)>\s*$", 1).try_cast("int")
+
+
+def tool_kind(name: Column, server: Column) -> Column:
+    """``mcp`` where a server is named, else the kind of the name."""
+    table = F.create_map(*[F.lit(x) for kv in TOOL_KINDS.items() for x in kv])
+    return F.when(server.isNotNull(), "mcp").otherwise(F.coalesce(table[name], F.lit("other")))
+
+
+def build_name(name: Column) -> Column:
+    """struct(job, branch, number) of ``job » branch #number``; other names are the job."""
+    parts = [F.nullif(F.trim(F.regexp_extract(F.trim(name), r"^(.+?)\s*»\s*(.+?)\s*#(\d+)\s*$", k)), F.lit("")) for k in (1, 2, 3)]
+    return F.struct(F.coalesce(parts[0], F.nullif(F.substring(F.trim(name), 1, 200), F.lit(""))).alias("job"), parts[1].alias("branch"), parts[2].alias("number"))
+
+
+def days_between(a: Column, b: Column) -> Column:
+    return F.round((F.unix_micros(b) - F.unix_micros(a)) / 86_400_000_000, 4)
+
+
+def rfc3339(ts: Column) -> Column:
+    """UTC with milliseconds."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
 def model_name(raw: Column) -> Column:
     """Without a route prefix, versions with a point: ``x/abc-4-5`` is ``abc-4.5``."""
     return F.regexp_replace(F.regexp_replace(raw, r"^.*/", ""), r"-(\d+)-(\d+)$", "-$1.$2")
@@ -101,6 +159,19 @@ def program(command: Column) -> Column:
     return F.when((word != "") & ~word.rlike(r"[/\\]") & (F.length(word) <= 40), word)
 
 
-def nearest_rank(values: Column, p: float) -> Column:
-    """Aggregate over a sorted array: the value at the half-even rounded rank."""
-    return F.when(F.size(values) > 0, F.element_at(F.array_sort(values), (F.bround(F.lit(p) * (F.size(values) - 1)) + 1).cast("int")))
+def nearest_rank(df: DataFrame, keys: list[str], value: str, p: float, name: str) -> DataFrame:
+    """(keys, name): the value at the half-even rounded rank of each group.
+
+    No group is put into one task: values are counted, dealt into parts by range
+    in their order, and only the parts' totals meet. Nulls have no rank.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    parts = counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_upto", F.sum("_c").over(inside))
+    totals = parts.groupBy(*keys, "_part").agg(F.sum("_c").alias("_n"))  # as many rows as parts for a group
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = totals.select(*keys, "_part", before.alias("_before"), F.sum("_n").over(Window.partitionBy(*keys)).alias("_all"))
+    rank = F.bround(F.lit(p) * (F.col("_all") - 1)) + 1
+    got = parts.join(totals, [*keys, "_part"]).where((F.col("_before") + F.col("_upto") >= rank) & (F.col("_before") + F.col("_upto") - F.col("_c") < rank))
+    return got.select(*keys, F.col(value).alias(name))

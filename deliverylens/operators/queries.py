@@ -91,8 +91,7 @@ def f44_salted_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a28_nearest_rank_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest-rank 85th percentile of order totals by status, rank rounded half to even."""
-    o = _t(spark, sf_dir, "orders")
-    return o.groupBy("o_orderstatus").agg(C.nearest_rank(F.collect_list("o_totalprice"), 0.85).alias("p85"))
+    return C.nearest_rank(_t(spark, sf_dir, "orders"), ["o_orderstatus"], "o_totalprice", 0.85, "p85")
 
 
 def f30_issue_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

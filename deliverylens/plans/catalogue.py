@@ -2,8 +2,8 @@
 
 ``queries()`` runs the Spark form over a folder of Parquet tables;
 ``oracle_sql()`` is the DuckDB form. Relations that a plan reads more than once
-are cached (memory, then disk) and found again by later plans of the session;
-``spark.catalog.clearCache()`` lets them go.
+are cached (memory, then disk) and found again by later plans over the same
+folder; the KEPT last used ones stay, older ones and other folders' are let go.
 """
 
 from __future__ import annotations
@@ -27,6 +27,18 @@ def plan(f: Callable[[Spark], str]) -> Callable[[Spark], str]:
 
 #: Relations worth keeping when a plan reads them more than once.
 SHARED = ("ev", "runs", "priced", "outputs", "fct_run", "fct_output")
+KEPT = 6
+_kept: dict[tuple[str, str], DataFrame] = {}
+
+
+def _keep(df: DataFrame, sf_dir: str, name: str) -> None:
+    """Cache a relation; the least recently used beyond KEPT, and those of other folders, go."""
+    _kept.pop((sf_dir, name), None)
+    _kept[(sf_dir, name)] = df.persist()
+    for key in [k for k in _kept if k[0] != sf_dir] + list(_kept)[: max(0, len(_kept) - KEPT)]:
+        old = _kept.pop(key, None)
+        if old is not None and old.sparkSession is df.sparkSession:
+            old.unpersist()
 
 
 def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
@@ -44,7 +56,7 @@ def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFram
             # Each reference prunes columns its own way, so Spark wouldn't reuse the
             # shuffles below; cached once, they are read from there.
             if name in SHARED and len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text)) > 1:
-                df = df.persist()
+                _keep(df, sf_dir, name)
             df.createOrReplaceTempView(f"telemetry_{name}")
         return spark.sql(named(body))
 
@@ -249,8 +261,8 @@ def j09_null_safe_full_join(d: Spark) -> str:
     """Runs and tool calls by agent and skill, both sides kept, null keys equal."""
     return """
 SELECT coalesce(a.agent_name, b.agent_name) AS agent_name, coalesce(a.skill_name, b.skill_name) AS skill_name, a.n_runs, b.n_calls
-FROM (SELECT agent_name, skill_name, count(*) AS n_runs FROM runs WHERE user_id % 3 <> 0 GROUP BY agent_name, skill_name) a
-FULL OUTER JOIN (SELECT agent_name, skill_name, count(*) AS n_calls FROM tools WHERE user_id % 3 <> 1 GROUP BY agent_name, skill_name) b
+FROM (SELECT agent_name, skill_name, count(*) AS n_runs FROM runs WHERE surface <> 'copilot-cli' GROUP BY agent_name, skill_name) a
+FULL OUTER JOIN (SELECT agent_name, skill_name, count(*) AS n_calls FROM tools WHERE surface <> 'vscode-copilot-chat' GROUP BY agent_name, skill_name) b
   ON a.agent_name IS NOT DISTINCT FROM b.agent_name AND a.skill_name IS NOT DISTINCT FROM b.skill_name"""
 
 
@@ -289,8 +301,8 @@ def j20_tolerance_match(d: Spark) -> str:
     """Reported days matched with trail days of the same person at most one day apart."""
     return f"""
 SELECT r.person_id, r.dy, count(t.dy) AS trail_days, CASE WHEN count(t.dy) > 0 THEN 'corroborated' ELSE 'reported_only' END AS outcome
-FROM (SELECT DISTINCT person_id, {d.day('event_time')} AS dy FROM turns WHERE user_id % 2 = 0) r
-LEFT JOIN (SELECT DISTINCT person_id, {d.day('event_time')} AS dy, o FROM tools, (VALUES (-1), (0), (1)) AS s(o) WHERE k > 60) t
+FROM (SELECT DISTINCT person_id, {d.day('event_time')} AS dy FROM turns) r
+LEFT JOIN (SELECT DISTINCT person_id, {d.day('event_time')} AS dy, o FROM tools, (VALUES (-1), (0), (1)) AS s(o) WHERE status = 'error') t
   ON r.person_id = t.person_id AND r.dy = {"t.dy + CAST(t.o AS INTEGER)" if d.name == "duck" else "date_add(t.dy, t.o)"} GROUP BY r.person_id, r.dy"""
 
 
@@ -298,8 +310,8 @@ LEFT JOIN (SELECT DISTINCT person_id, {d.day('event_time')} AS dy, o FROM tools,
 def j22_roster_difference(d: Spark) -> str:
     """People missing from the trail, and people in it that no roster has."""
     return """
-SELECT 'missing' AS side, c_custkey AS id FROM customer WHERE c_custkey <= 200 AND NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_id = customer.c_custkey)
-UNION ALL SELECT 'unexpected', u.user_id FROM (SELECT DISTINCT user_id FROM ev) u WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = u.user_id AND c.c_custkey % 3 = 0)"""
+SELECT 'missing' AS side, c_custkey AS id FROM customer WHERE NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_id = customer.c_custkey)
+UNION ALL SELECT 'unexpected', u.user_id FROM (SELECT DISTINCT user_id FROM ev) u WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = u.user_id AND c.c_mktsegment <> 'MACHINERY')"""
 
 
 # ---- aggregates ---------------------------------------------------------------------------
@@ -645,7 +657,7 @@ def h06_gap_filled_trend(d: Spark) -> str:
     """Activity by agent and day over a full day spine: zero where nothing happened."""
     return f"""
 SELECT a.agent_name, s.day, count(t.event_id) AS n FROM (SELECT DISTINCT agent_name FROM ev) AS a CROSS JOIN (SELECT {d.explode_days(d.date('2024-01-01'), d.date('2024-01-31'))} AS day) AS s
-LEFT JOIN (SELECT event_id, agent_name, {d.day('event_time')} AS day FROM tools WHERE k > 95) AS t ON a.agent_name = t.agent_name AND s.day = t.day GROUP BY a.agent_name, s.day"""
+LEFT JOIN (SELECT event_id, agent_name, {d.day('event_time')} AS day FROM tools WHERE status = 'error') AS t ON a.agent_name = t.agent_name AND s.day = t.day GROUP BY a.agent_name, s.day"""
 
 
 @plan
@@ -658,7 +670,7 @@ def h17_activity_index(d: Spark) -> str:
     """Counts by person and day: zero on a day that a machine covered, null on one that none did."""
     return f"""
 SELECT s.user_id, s.day, CASE WHEN c.day IS NOT NULL THEN coalesce(t.n, 0) END AS n
-FROM (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM ev WHERE user_id % 10 = 0) AS u CROSS JOIN (SELECT {d.explode_days(d.date('2024-01-01'), d.date('2024-01-31'))} AS day) AS y) AS s
+FROM (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM ev) AS u CROSS JOIN (SELECT {d.explode_days(d.date('2024-01-01'), d.date('2024-01-31'))} AS day) AS y) AS s
 LEFT JOIN (SELECT DISTINCT user_id, {d.day('event_time')} AS day FROM ev) AS c ON s.user_id = c.user_id AND s.day = c.day
 LEFT JOIN (SELECT user_id, {d.day('event_time')} AS day, count(*) AS n FROM turns GROUP BY user_id, {d.day('event_time')}) AS t ON s.user_id = t.user_id AND s.day = t.day"""
 
@@ -673,6 +685,7 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT user_id, {d.day('event_time')}
 
 @plan
 def h24_profile_ranking(d: Spark) -> str:
+    """The 25 most active people: the top ones are picked before they are numbered."""
     return f"SELECT person_id, n, rank FROM (SELECT person_id, n, {d.big('row_number() OVER (ORDER BY n DESC, person_id)')} AS rank FROM (SELECT person_id, count(*) AS n FROM ev GROUP BY person_id ORDER BY n DESC, person_id LIMIT 25) AS a) AS b"
 
 

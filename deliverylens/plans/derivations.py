@@ -194,7 +194,7 @@ def w15_missed_streak(d: Spark) -> str:
 SELECT user_id, {d.big('coalesce(min(CASE WHEN n IS NOT NULL THEN back END) - 1, max(back))')} AS streak FROM (
   SELECT s.user_id, s.day, t.n, row_number() OVER (PARTITION BY s.user_id ORDER BY s.day DESC) AS back
   FROM (SELECT user_id, day FROM (SELECT DISTINCT user_id FROM ev) AS u CROSS JOIN (SELECT day FROM (SELECT {d.explode_days(d.date('2024-01-02'), d.date('2024-01-29'))} AS day) AS z WHERE {dow} BETWEEN 2 AND 6) AS w) AS s
-  LEFT JOIN (SELECT user_id, {d.day('event_time')} AS day, count(*) AS n FROM turns WHERE k % 4 = 0 GROUP BY user_id, {d.day('event_time')}) AS t ON s.user_id = t.user_id AND s.day = t.day) AS x GROUP BY user_id"""
+  LEFT JOIN (SELECT user_id, {d.day('event_time')} AS day, count(*) AS n FROM turns WHERE turn_kind = 'approval' GROUP BY user_id, {d.day('event_time')}) AS t ON s.user_id = t.user_id AND s.day = t.day) AS x GROUP BY user_id"""
 
 
 @plan
@@ -221,7 +221,7 @@ def t05_sentinel_last(d: Spark) -> str:
 
 @plan
 def f13_date_arithmetic(d: Spark) -> str:
-    return f"SELECT pr_id, created_on - {d.days('21')} AS back, created_on + {d.hours('30')} AS ahead, {d.day('created_on')} AS day FROM prs WHERE pr_id % 50 = 0"
+    return f"SELECT pr_id, created_on - {d.days('21')} AS back, created_on + {d.hours('30')} AS ahead, {d.day('created_on')} AS day FROM prs"
 
 
 @plan

@@ -63,12 +63,12 @@ FROM ev WHERE event_type = 'gate.evaluated'"""
 
 
 def calls(d: Spark) -> str:
-    """Model calls; no token count is known where k % 7 = 6."""
+    """Model calls; no token count is known where k % 7 = 6, none of cached tokens where k % 9 = 4."""
     return f"""
 SELECT *, concat('m_', k % 5) AS model_id, {d.day('event_time')} AS call_date,
   CASE WHEN k % 7 <> 6 THEN {d.big('floor(value * 100)')} END AS tokens_in,
   CASE WHEN k % 7 <> 6 THEN {d.big('floor(value * 10)')} END AS tokens_out,
-  CASE WHEN k % 7 <> 6 THEN {d.big('floor(value * 30)')} END AS tokens_cached
+  CASE WHEN k % 7 <> 6 AND k % 9 <> 4 THEN {d.big('floor(value * 30)')} END AS tokens_cached
 FROM ev WHERE event_type = 'model.call'"""
 
 
@@ -86,11 +86,12 @@ SELECT * FROM (VALUES
 
 
 def priced(d: Spark) -> str:
-    """Calls with the price of their date: cost is null if any part can't be priced."""
+    """Calls with the price of their date: cost is null if any part can't be priced.
+    No count of cached tokens means that none were."""
     return """
 SELECT c.*, p.p_in IS NOT NULL AS has_price, coalesce(p.placeholder, false) AS placeholder,
-  greatest(c.tokens_in - c.tokens_cached, 0) * p.p_in + c.tokens_out * p.p_out
-    + CASE WHEN c.tokens_cached = 0 THEN 0 ELSE c.tokens_cached * p.p_cached END AS cost_nano
+  greatest(c.tokens_in - coalesce(c.tokens_cached, 0), 0) * p.p_in + c.tokens_out * p.p_out
+    + CASE WHEN coalesce(c.tokens_cached, 0) = 0 THEN 0 ELSE c.tokens_cached * p.p_cached END AS cost_nano
 FROM calls c LEFT JOIN prices p ON c.model_id = p.model_id AND c.call_date BETWEEN p.effective_from AND coalesce(p.effective_to, DATE '9999-12-31')"""
 
 

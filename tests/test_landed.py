@@ -25,8 +25,10 @@ def test_comments_diffs_and_commits(spark):
     comments = spark.createDataFrame([(1, "ann", True, False), (1, "cy", False, False), (1, "cy", True, True), (1, "build-ci", True, False)], "pr_id int, user string, inline boolean, deleted boolean")
     c = review.comment_summary(prs, comments).first()
     assert (c["inline"], c.top_level, c.by_author, c.by_bots, c.deleted, c.by_person) == (1, 1, 1, 1, 1, {"ann": 1, "cy": 1})
-    files = spark.createDataFrame([(1, "added", 5, 0, None, "x/a.feature"), (1, "modified", 2, 1, "steps/b.py", "steps/b.py"), (1, "removed", 0, 9, "src/c.go", None)], "pr_id int, status string, lines_added int, lines_removed int, old_path string, new_path string")
+    files = spark.createDataFrame([(1, "added", 5, 0, None, "x/a.feature"), (1, "modified", 2, 1, "b.steps.ts", "b.steps.ts"), (1, "removed", 0, 9, "src/c.go", None)], "pr_id int, status string, lines_added int, lines_removed int, old_path string, new_path string")
     d = review.diffstat_summary(files).first()
+    paths = {"features/step-definitions/enforcementRule.steps.ts": "step_definition", "tests/login.spec.ts": "spec", "test_api.py": "spec", "src/pages/LoginPage.ts": "page_object", "tests/data/payload.json": "fixture", "package.json": None, "src/utils/helper.ts": None}
+    assert {r.p: r.k for r in spark.createDataFrame([(x,) for x in paths], "p string").select("p", review.first_match(F.col("p"), review.AUTOMATION_KINDS).alias("k")).collect()} == paths
     assert (d.lines_added, d.lines_removed, d.files_changed, d.scripts_added, d.scripts_modified) == (7, 10, 3, 1, 1) and d.files_by_kind["feature"].added == 1
     commits = ts(spark, [(1, "s2", "2026-01-02 00:00", "r1", True), (1, "s1", "2026-01-01 00:00", "r1", False), (1, "s3", "2026-01-03 00:00", None, False)], "pr_id int, sha string, at string, run_id string, marked boolean")
     s = review.commit_summary(commits).first()
@@ -46,14 +48,18 @@ def test_reverts_are_paired_in_order_of_evidence(spark):
 
 
 def test_issues_tests_and_builds(spark):
-    links = spark.createDataFrame([("A-1", "A-2", "relates to"), ("A-1", "B-9", "Implements"), ("A-3", "A-4", "blocks")], "issue_key string, target_key string, link_type string")
-    assert {r.issue_key: (r.target_key, r.confidence) for r in tracker.attributed_issue(links).collect()} == {"A-1": ("B-9", 0.7), "A-3": ("A-4", 0.5)}
+    links = [("A-1", 0, "A-2", "relates to"), ("A-1", 1, "B-9", "Implements"), ("A-3", 0, "A-4", "blocks"), ("A-5", 0, "A-6", "duplicates"), ("A-5", 1, "A-7", " Tests"), ("A-8", 0, "A-9", "clones"), ("A-10", 0, "B-1", "tests"), ("A-11", 0, "A-1", "tests")]
+    parents = [("A-1", "A-100"), ("A-3", "B-7"), ("A-5", None), ("A-8", None), ("A-10", "C-1"), ("A-11", "A-5"), ("A-12", "A-13"), ("A-14", None)]
+    got = tracker.attributed_issue(spark.createDataFrame(parents, "issue_key string, parent_key string"), spark.createDataFrame(links, "issue_key string, nth int, target_key string, link_type string"))
+    assert {r.issue_key: (r.target_key, r.confidence) for r in got.collect()} == {
+        "A-1": ("B-9", 0.7), "A-3": ("B-7", 0.6), "A-5": ("A-7", 0.4), "A-8": ("A-9", 0.2), "A-10": ("C-1", 0.7), "A-11": ("A-1", 0.4), "A-12": ("A-13", 0.5), "A-14": (None, 0.0),
+    }
     issues = ts(spark, [("A-1", "2026-01-01", "Done"), ("A-2", "2026-01-01", "Open")], "issue_key string, created_at string, status string")
     changes = ts(spark, [("A-1", "2026-01-02", "status", "Open", "Done"), ("A-1", "2026-01-02", "assignee", "x", "y")], "issue_key string, at string, field string, from_value string, to_value string")
     got = sorted((r.issue_key, r.from_status or "", r.to_status, r.age_ms) for r in tracker.status_transitions(issues, changes).collect())
     assert got == [("A-1", "", "Open", 0), ("A-1", "Open", "Done", 86_400_000), ("A-2", "", "Open", 0)]
     runs = ts(spark, [("Passed", "2026-01-01", ["d"]), ("Not Run", "2026-01-01", None), ("odd", "2026-01-01", [])], "status string, executed_at string, defects array<string>")
-    assert [(r.status_category, r.executed_at is None, r.defect_count) for r in tracker.test_runs(runs).collect()] == [("passed", False, 1), ("not_run", True, 0), ("unknown", False, 0)]
+    assert [(r.status_category, r.executed_at is None, r.defect_count) for r in tracker.test_runs(runs).collect()] == [("passed", False, 1), ("not_run", True, 0), ("other", False, 0)]
     builds = ts(spark, [(1, "SUCCESSFUL", "2026-01-01 00:00:00", "2026-01-01 00:01:00", '{"total": 10, "failed": 1, "skipped": 2}'), (2, "FAILURE", "2026-01-01 00:01:00", "2026-01-01 00:00:00", '{"passCount": 3, "failCount": 1}'), (3, "x", None, None, None)], "build_id int, state string, started_at string, ended_at string, report string")
     assert [tuple(r) for r in tracker.build_events(builds).collect()] == [(1, "success", 60000, 10, 1, 2, 7), (2, "failed", None, 4, 1, None, 3), (3, "running", None, None, None, None, None)]
 

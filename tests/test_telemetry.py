@@ -120,8 +120,9 @@ def test_table_maintenance(spark, tmp_path):
     assert [tuple(r) for r in store.append_new(old.select(F.col("k").alias("event_id")), new.select(F.col("k").alias("event_id"))).collect()] == [(3,)]
     p = str(tmp_path / "t")
     store.write_window(spark.createDataFrame([("d1", 1), ("d2", 2)], "day string, v int"), p)
-    store.write_window(spark.createDataFrame([("d2", 5)], "day string, v int"), p)
-    assert sorted((r.day, r.v) for r in spark.read.parquet(p).collect()) == [("d1", 1), ("d2", 5)]
+    store.write_window(spark.createDataFrame([("d0", 0), ("d3", 9)], "day string, v int"), p)
+    store.write_window(spark.createDataFrame([("d2", 5)], "day string, v int"), p, since="d1x")
+    assert sorted((r.day, r.v) for r in spark.read.parquet(p).collect()) == [("d0", 0), ("d1", 1), ("d2", 5)]
     book = spark.sql("SELECT 'm' model_id, date'2024-01-01' effective_from, CAST(NULL AS date) effective_to, 1.5D p_in")
     changed = store.set_price(book, "m", "2024-03-01", {"p_in": 2.0})
     assert [(str(r.effective_from), str(r.effective_to), r.p_in) for r in changed.orderBy("effective_from").collect()] == [("2024-01-01", "2024-02-29", 1.5), ("2024-03-01", "None", 2.0)]
@@ -166,7 +167,8 @@ def test_column_helpers(spark):
     assert value(C.program(lit("git status"))) == "git" and value(C.program(lit("/bin/sh x"))) is None
     assert value(C.email_hash(lit(" A@b.c "), "s")) == value(C.email_hash(lit("a@b.c"), "s")) and value(C.email_hash(lit("a@b.c"), None)) is None
     assert value(C.iso_week(lit("2026-12-31").cast("date"))) == "2026-W53"
-    assert value(C.nearest_rank(F.array(*[lit(x) for x in (4, 1, 3, 2)]), 0.5)) == 3  # rank 1.5 goes to the even 2
+    few = spark.createDataFrame([("a", x) for x in (4, 1, 3, 2, None)] + [("b", 7)], "g string, v int")
+    assert {r.g: r.m for r in C.nearest_rank(few, ["g"], "v", 0.5, "m").collect()} == {"a": 3, "b": 7}  # rank 1.5 goes to the even 2
     assert value(C.price(lit(1000), lit(100), lit(400), lit(1.0), lit(2.0), lit(None).cast("double"))) is None
     assert abs(value(C.price(lit(1000), lit(100), lit(400), lit(1.0), lit(2.0), lit(0.5))) - (0.6 + 0.2 + 0.2)) < 1e-12
     g = spark.sql("SELECT * FROM VALUES ('a', 1, true, null), ('a', 2, false, null), ('b', 3, true, 'ok') AS t(g, v, known, st)")
