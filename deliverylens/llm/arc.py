@@ -213,7 +213,7 @@ def to_warc(arc: str, offset: int, nth: int, fields: dict[str, str], body: bytes
     block, kind = body, "response"
     if revisits:
         block, kind = head + b"\r\n\r\n", "revisit"
-        out += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", revisits[0])]
+        out += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", revisits[0]), ("DL-Payload-Bytes", str(len(payload)))]
         if revisits[1] is not None:
             out.append(("DL-Refers-To-Page-Id", quote(revisits[1], safe="")))
     out += [("WARC-Block-Digest", "sha256:" + hashlib.sha256(block).hexdigest()), ("Content-Type", f"application/http;msgtype=response")]
@@ -340,8 +340,7 @@ def convert(index: DataFrame, arcs: str, folder: str) -> DataFrame:
 def read_warcs(warcs: DataFrame, page_type: str = "bigint") -> DataFrame:
     """One row a response, revisit or resource record of the WARC files.
 
-    Digests are computed anew and compared; a revisit's payload size is in the
-    HTTP headers that it keeps.
+    Digests are computed anew and compared; a revisit says its payload's size.
     """
     workers_import_this(warcs.sparkSession)
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri"]
@@ -357,11 +356,11 @@ def read_warcs(warcs: DataFrame, page_type: str = "bigint") -> DataFrame:
                         continue
                     if fields["WARC-Block-Digest"] != "sha256:" + hashlib.sha256(block).hexdigest():
                         raise ValueError(f"{path}: a block differs from its digest")
-                    head, _, payload = block.partition(b"\r\n\r\n") if kind != "resource" else (b"", b"", block)
+                    payload = block.partition(b"\r\n\r\n")[2] if kind != "resource" else block
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
                     size = len(payload)
                     if kind == "revisit":
-                        size = next(int(x[16:]) for x in head.split(b"\r\n") if x.startswith(b"Content-Length: "))
+                        size = int(fields["DL-Payload-Bytes"])
                     elif hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"{path}: a payload differs from its digest")
                     page, of = (None if fields.get(x) is None else unquote(fields[x]) for x in ("DL-Page-Id", "DL-Refers-To-Page-Id"))
