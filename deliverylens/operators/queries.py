@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deliverylens.functions import columns as C
 
-from . import dedup, ingest, journal, store, temporal
+from . import dedup, ingest, journal, review, store, temporal, tracker
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,7 +102,99 @@ def f30_issue_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(C.issue_key([branch, title], ["IML"]).alias("issue_key")).groupBy("issue_key").agg(F.count("*").alias("n"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (k01_upsert, k02_conditional_upsert, k10_append_new, w01_latest_state, j06_effective_segments, j08_as_of_purchase, w10_first_recovery, w12_event_index, w17_running_purchase, i01_forbidden_keys, f44_salted_hash, a28_nearest_rank_value, f30_issue_keys)}
+def d03_path_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of requests by automation kind: the first pattern that fits."""
+    o = _t(spark, sf_dir, "orders")
+    paths = ["features/a/API.feature", "features/step-definitions/login.steps.ts", "tests/login.spec.ts", "test_api.py", "src/pages/LoginPage.ts", "tests/data/payload.json", "package.json", "steps/notes.md", "MyTest.java", "mocks/x.csv", "src/test.go"]
+    path = F.array(*[F.lit(p) for p in paths])[F.col("o_orderkey") % len(paths)]
+    return o.select(review.first_match(path, review.AUTOMATION_KINDS).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def d06_decline_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    by = F.when(F.col("o_orderkey") % 4 != 2, F.col("o_custkey") + F.col("o_orderkey") % 4)
+    return o.select("o_orderkey", review.decline_reason(by, F.col("o_custkey"), F.col("o_orderkey") % 7 == 1).alias("reason"))
+
+
+def d10_attributed_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature that each order, seen as an issue, delivers: its lines are links, its customer the parent."""
+    o = _t(spark, sf_dir, "orders")
+    issues = o.select(F.concat(F.lit("A-"), "o_orderkey").alias("issue_key"), F.when(F.col("o_custkey") % 3 != 0, F.concat(F.when(F.col("o_custkey") % 3 == 1, "A-").otherwise("B-"), "o_custkey")).alias("parent_key"))
+    names = F.array(*[F.lit(x) for x in ("Relates to", "tests", "clones", "blocks", "duplicates")])
+    li = _t(spark, sf_dir, "lineitem").where("l_quantity < 9")
+    links = li.select(F.concat(F.lit("A-"), "l_orderkey").alias("issue_key"), F.col("l_linenumber").alias("nth"), F.concat(F.when(F.col("l_partkey") % 2 == 0, "A-").otherwise("C-"), "l_partkey").alias("target_key"), names[(F.col("l_partkey") % 5).cast("int")].alias("link_type"))
+    return tracker.attributed_issue(issues, links)
+
+
+def d12_test_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test runs by category of their status; a run that never ran has no time."""
+    o = _t(spark, sf_dir, "orders")
+    names = ["Passed", " fail ", "N/A", "wip", "NotRun", "custom", "", "Blocked"]
+    status = F.array(*[F.lit(x) for x in names])[F.col("o_orderkey") % len(names)]
+    runs = o.select(status.alias("status"), F.col("o_orderdate").alias("executed_at"), F.lit(None).cast("array<string>").alias("defects"))
+    return tracker.test_runs(runs).groupBy("status_category").agg(F.count("*").alias("n"), F.count("executed_at").alias("timed"))
+
+
+def f39_gates_and_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands to gates, messages to error classes, exit codes from the last line only."""
+    e = _t(spark, sf_dir, "events")
+    pick = lambda xs: F.array(*[F.lit(x) for x in xs])[(F.col("event_id") % len(xs)).cast("int")]
+    cmd = pick(["npm run test", "ruff check .", "cargo build", "gitleaks detect", "ls -la", "python -m pytest -q"])
+    msg = pick(["Permission denied", "no match found for x", "multiple matches", "path is required", "Timed out", "boom", None])
+    out = pick(["ok <exited with exit code 0>", "<exited with exit code 7> and more", "bad\n<exited with exit code -2>  \n"])
+    return e.select(C.gate_of(cmd).alias("gate"), C.error_class(msg).alias("error"), C.exit_code(out).alias("code")).groupBy("gate", "error", "code").agg(F.count("*").alias("n"))
+
+
+def f40_tool_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    name = F.array(*[F.lit(x) for x in ("bash", "view", "grep", "web_fetch", "task", "mystery")])[(F.col("event_id") % 6).cast("int")]
+    return e.select(C.tool_kind(name, F.when(F.col("user_id") % 4 == 0, "srv")).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def f42_build_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders")
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" Build"), F.col("o_custkey") % 5, F.lit(" » release/"), F.col("o_custkey") % 3, F.lit(" #"), "o_orderkey")).when(F.col("o_orderkey") % 3 == 1, F.lit("plain job"))
+    b = C.build_name(name)
+    return o.select(b["job"].alias("job"), b["branch"].alias("branch"), b["number"].alias("number")).groupBy("job", "branch").agg(F.count("*").alias("n"), F.count("number").alias("numbered"))
+
+
+def i09_extra_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that an importer rejects: their attributes hold a name that the type's list lacks."""
+    attrs = F.when(F.col("event_id") % 3 == 0, F.lit('{"k": 1, "zz": 2, "aa": 3}')).otherwise(F.col("props"))
+    e = _t(spark, sf_dir, "events").select("event_type", attrs.alias("attributes"))
+    extra = ingest.extra_attributes({"view": ["k"], "click": ["k", "zz"]})
+    return e.select("event_type", F.array_join(extra, ",").alias("extra")).where("extra <> ''").groupBy("event_type", "extra").agg(F.count("*").alias("n"))
+
+
+def i11_clamped_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Future times and negative spans become null and leave a flag."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.col("ts").alias("ended_at"), (F.col("event_id") % 7 - 2).alias("duration_ms"))
+    out = ingest.clamp_times(e, ["ended_at"], "2024-01-20 00:00:00", ["duration_ms"])
+    return out.select("event_id", "ended_at", "duration_ms", F.array_join("clock_flags", ",").alias("flags"))
+
+
+def i15_relative_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    path = F.concat(F.array(*[F.lit(x) for x in ("/w/repo/", "/w/repo/sub/", "src/", "/etc/", "C:\\x\\")])[(F.col("event_id") % 5).cast("int")], F.lit("f.ts"))
+    return e.select(ingest.relative_path(path, ["/w/repo", "/w/repo/sub/"]).alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+
+
+def i17_sheet_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a sheet with their faults, none dropped."""
+    o = _t(spark, sf_dir, "orders")
+    rows = o.select(F.when(F.col("o_orderkey") % 5 > 0, F.col("o_clerk") if "o_clerk" in o.columns else F.lit("x")).alias("name"), F.array(*[F.lit(x) for x in ("8", "25", "-1", "many", None)])[(F.col("o_orderkey") % 5).cast("int")].alias("hours"), F.array(*[F.lit(x) for x in ("2024-02-29", "2023-02-29", "soon")])[(F.col("o_orderkey") % 3).cast("int")].alias("day"))
+    out = ingest.sheet_faults(rows, ["name"], "hours", "day")
+    return out.select(F.array_join("faults", "; ").alias("faults")).groupBy("faults").agg(F.count("*").alias("n"))
+
+
+def k11_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles by ISO week: a long week has several parts."""
+    e = _t(spark, sf_dir, "events").select("event_id", F.col("ts").alias("event_time"))
+    out = store.pack_bundles(e, "m", 500)
+    return out.groupBy("iso_week").agg(F.sum("event_count").alias("n"), F.sum(F.size(F.split("body", "\n"))).alias("lines"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (k01_upsert, k02_conditional_upsert, k10_append_new, w01_latest_state, j06_effective_segments, j08_as_of_purchase, w10_first_recovery, w12_event_index, w17_running_purchase, i01_forbidden_keys, f44_salted_hash, a28_nearest_rank_value, f30_issue_keys, d03_path_kinds, d06_decline_reason, d10_attributed_issues, d12_test_runs, f39_gates_and_errors, f40_tool_kinds, f42_build_names, i09_extra_attributes, i11_clamped_times, i15_relative_paths, i17_sheet_faults, k11_bundles)}
 
 ORACLE_SQL = {
     "k01_upsert": "SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT c_custkey + 10000000, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 50 = 0",
@@ -118,4 +210,29 @@ ORACLE_SQL = {
     "f44_salted_hash": "SELECT c_custkey, sha256(concat('pepper', lower(trim(concat(' ', c_name, '@X.org'))))) AS mail_hash FROM customer",
     "a28_nearest_rank_value": "SELECT o_orderstatus, list_sort(list(o_totalprice))[CAST(round_even(0.85 * (count(*) - 1), 0) AS BIGINT) + 1] AS p85 FROM orders GROUP BY o_orderstatus",
     "f30_issue_keys": "SELECT concat('IML-', o_custkey % 50) AS issue_key, count(*) AS n FROM orders GROUP BY 1",
+    "d03_path_kinds": "SELECT CASE o_orderkey % 11 WHEN 0 THEN 'feature' WHEN 1 THEN 'step_definition' WHEN 2 THEN 'spec' WHEN 3 THEN 'spec' WHEN 4 THEN 'page_object' WHEN 5 THEN 'fixture' WHEN 8 THEN 'spec' WHEN 9 THEN 'fixture' END AS kind, count(*) AS n FROM orders GROUP BY 1",
+    "d06_decline_reason": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'declined_by_author' WHEN o_orderkey % 7 = 1 THEN 'changes_requested_unresolved' WHEN o_orderkey % 4 = 2 THEN 'unknown' ELSE 'declined_by_reviewer' END AS reason FROM orders WHERE o_orderstatus = 'P'",
+    "d10_attributed_issues": """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, list_extract(['Relates to', 'tests', 'clones', 'blocks', 'duplicates'], CAST(l_partkey % 5 AS INT) + 1) AS kind, concat(CASE WHEN l_partkey % 2 = 0 THEN 'A-' ELSE 'C-' END, l_partkey) AS target,
+         list_extract([10, 1, 99, 5, 11], CAST(l_partkey % 5 AS INT) + 1) AS place FROM lineitem WHERE l_quantity < 9
+), best AS (
+  SELECT *, CASE WHEN place = 99 THEN 2 WHEN l_partkey % 2 = 1 THEN 0 ELSE 1 END AS level FROM l
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY level, CASE WHEN place = 99 THEN 0 ELSE place END, l_linenumber, target, kind) = 1
+), x AS (
+  SELECT concat('A-', o_orderkey) AS issue_key, CASE o_custkey % 3 WHEN 1 THEN concat('A-', o_custkey) WHEN 2 THEN concat('B-', o_custkey) END AS parent, o_custkey % 3 = 2 AS away, b.level, b.target, b.kind
+  FROM orders LEFT JOIN best b ON o_orderkey = b.l_orderkey
+)
+SELECT issue_key, CASE WHEN p THEN parent ELSE target END AS target_key, CASE WHEN p THEN 'parent' ELSE 'issue_link:' || kind END AS source,
+  CASE WHEN p AND away THEN CASE WHEN level = 0 THEN 0.7 ELSE 0.6 END WHEN p THEN 0.5 WHEN level = 0 THEN 0.7 WHEN level = 1 THEN 0.4 WHEN level = 2 THEN 0.2 ELSE 0.0 END::DOUBLE AS confidence
+FROM (SELECT *, parent IS NOT NULL AND (away OR level IS NULL OR level = 2) AS p FROM x)""",
+    "d12_test_runs": "SELECT c AS status_category, count(*) AS n, sum(CASE WHEN c <> 'not_run' THEN 1 ELSE 0 END)::BIGINT AS timed FROM (SELECT CASE o_orderkey % 8 WHEN 0 THEN 'passed' WHEN 1 THEN 'failed' WHEN 2 THEN 'skipped' WHEN 3 THEN 'in_progress' WHEN 4 THEN 'not_run' WHEN 5 THEN 'other' WHEN 6 THEN 'not_run' ELSE 'blocked' END AS c FROM orders) GROUP BY c",
+    "f39_gates_and_errors": "SELECT list_extract(['test', 'lint', 'build', 'secrets', NULL, 'test'], CAST(event_id % 6 AS INT) + 1) AS gate, list_extract(['permission_denied', 'not_found', 'ambiguous_match', 'invalid_input', 'timeout', 'other', NULL], CAST(event_id % 7 AS INT) + 1) AS error, list_extract([0, NULL, -2], CAST(event_id % 3 AS INT) + 1) AS code, count(*) AS n FROM events GROUP BY 1, 2, 3",
+    "f40_tool_kinds": "SELECT CASE WHEN user_id % 4 = 0 THEN 'mcp' ELSE list_extract(['terminal', 'file', 'file', 'http', 'other', 'other'], CAST(event_id % 6 AS INT) + 1) END AS kind, count(*) AS n FROM events GROUP BY 1",
+    "f42_build_names": "SELECT CASE o_orderkey % 3 WHEN 0 THEN concat('Build', o_custkey % 5) WHEN 1 THEN 'plain job' END AS job, CASE WHEN o_orderkey % 3 = 0 THEN concat('release/', o_custkey % 3) END AS branch, count(*) AS n, count(CASE WHEN o_orderkey % 3 = 0 THEN 1 END) AS numbered FROM orders GROUP BY 1, 2",
+    "i09_extra_attributes": "SELECT event_type, extra, count(*) AS n FROM (SELECT event_type, CASE WHEN event_id % 3 = 0 THEN CASE event_type WHEN 'view' THEN 'aa,zz' WHEN 'click' THEN 'aa' ELSE 'aa,k,zz' END WHEN event_type IN ('view', 'click') THEN '' ELSE 'k' END AS extra FROM events) WHERE extra <> '' GROUP BY 1, 2",
+    "i11_clamped_times": "SELECT event_id, CASE WHEN late THEN NULL ELSE ts END AS ended_at, CASE WHEN event_id % 7 >= 2 THEN event_id % 7 - 2 END AS duration_ms, concat_ws(',', CASE WHEN late THEN 'DQ-10:ended_at' END, CASE WHEN event_id % 7 < 2 THEN 'DQ-10:duration_ms' END) AS flags FROM (SELECT *, ts > TIMESTAMP '2024-01-20 00:05:00' AS late FROM events)",
+    "i15_relative_paths": "SELECT CASE WHEN event_id % 5 < 2 THEN 'f.ts' WHEN event_id % 5 = 2 THEN 'src/f.ts' END AS path, count(*) AS n FROM events GROUP BY 1",
+    "i17_sheet_faults": "SELECT concat_ws('; ', CASE WHEN o_orderkey % 5 = 0 THEN 'name: missing' END, CASE o_orderkey % 5 WHEN 1 THEN 'hours: out of range' WHEN 2 THEN 'hours: out of range' WHEN 3 THEN 'hours: no number' END, CASE WHEN o_orderkey % 3 > 0 THEN 'day: no date' END) AS faults, count(*) AS n FROM orders GROUP BY 1",
+    "k11_bundles": "SELECT strftime(ts, '%G-W%V') AS iso_week, count(*) AS n, count(*) AS lines FROM events GROUP BY 1",
 }

@@ -578,37 +578,6 @@ SELECT a.agent_name, a.skill_name, a.surface, a.n, a.succeeded, b.n AS agent_run
 LEFT JOIN (SELECT agent_name, count(*) AS n FROM fct_run GROUP BY agent_name) b ON a.agent_name IS NOT DISTINCT FROM b.agent_name WHERE a.n >= 20"""
 
 
-# ---- data quality -----------------------------------------------------------------------------------
-
-
-@plan
-def dq_findings(d: Spark) -> str:
-    """Findings of the check catalogue: check, severity, entity and detail."""
-    as_of = d.ts(EVENTS_AS_OF)
-    row = "SELECT '{0}' AS check_id, '{1}' AS severity, '{2}' AS entity_type, {3} AS entity_id, {4} AS detail".format
-    s = lambda x: f"CAST({x} AS {'STRING' if d.name == 'spark' else 'VARCHAR'})"
-    return " UNION ALL ".join([
-        row("DQ-2", "medium", "run", "run_id", s(d.diff("HOUR", "started_at", as_of))) + f" FROM fct_run WHERE terminal_status = 'in_flight' AND {d.diff('HOUR', 'started_at', as_of)} BETWEEN 24 AND 720",
-        row("DQ-6", "critical", "model", "model_id", s("count(*)")) + f" FROM priced WHERE tokens_in IS NOT NULL AND cost_nano IS NULL AND event_time >= {as_of} - {d.days('7')} GROUP BY model_id",
-        row("DQ-6c", "high", "model", "model_id", s("count(*)")) + " FROM priced WHERE placeholder GROUP BY model_id",
-        row("DQ-9a", "medium", "output", "output_id", "acceptance_reason") + " FROM fct_output WHERE acceptance_reason = 'unmerged' AND quarantined = false AND lines_added >= 49",
-        row("DQ-10a", "medium", "event", "event_id", s("n")) + f" FROM ev WHERE event_time > {d.ts('2024-01-29 23:00:00')}",
-        row("DQ-10b", "high", "run", "run_id", s("duration_s")) + " FROM fct_run WHERE ended_at < started_at",
-        row("DQ-11a", "info", "stream", "'delivered'", s("count(*) - count(DISTINCT event_id)")) + " FROM delivered",
-        row("DQ-13", "info", "event", "event_type", s("count(*)")) + f" FROM ev WHERE event_type <> 'model.call' AND {d.diff('DAY', 'event_time', 'ingested_at')} > 7 GROUP BY event_type",
-        row("DQ-15", "high", "dimension", "'person_id'", s("count(DISTINCT person_id)")) + " FROM ev HAVING count(DISTINCT person_id) > 100",
-        row("DQ-16", "critical", "output", "output_id", s("l_suppkey")) + " FROM outputs WHERE quarantined AND lines_added >= 49",
-        row("DQ-17c", "info", "person", "person_id", s("count(*)")) + " FROM runs GROUP BY person_id HAVING count(*) > 10",
-        row("DQ-SESSION", "medium", "session", "s.trace_id", s("s.run_count")) + " FROM sessions s LEFT JOIN usage u ON s.trace_id = u.trace_id WHERE u.trace_id IS NULL",
-        row("DQ-GATE", "info", "gate", "gate_name", s("count_if(verdict IS NULL)")) + " FROM gates GROUP BY gate_name",
-        row("DQ-ATTR", "critical", "run", "run_id", s("run_count")) + " FROM fct_run WHERE run_count > 1 AND cost_nano IS NOT NULL",
-        row("DQ-TOOL", "info", "tool", "tool_name", s("count(*) - count(status)")) + " FROM tools GROUP BY tool_name",
-        row("DQ-MODEL", "high", "model", "c.model_id", s("count(*)")) + " FROM calls c WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.model_id = c.model_id) GROUP BY c.model_id",
-        row("DQ-LINK", "info", "link", "link_method", s("count(*)")) + " FROM calls GROUP BY link_method",
-        row("DQ-1a", "critical", "alias", "alias", s("count(*)")) + " FROM (SELECT DISTINCT lower(substr(c_name, 1, 12)) AS alias, c_custkey FROM customer) AS z GROUP BY alias HAVING count(*) > 1",
-    ])
-
-
 # ---- weekly, person and coverage reports ----------------------------------------------------------------
 
 
@@ -695,4 +664,4 @@ def c01_turns_by_role(d: Spark) -> str:
     return f"SELECT role, count(*) AS turns, count(DISTINCT conv_id) AS conversations, {d.big('sum(length(text))')} AS chars, {d.big('max(turn)')} AS deepest FROM conversations GROUP BY role"
 
 
-from . import derivations  # noqa: E402, F401  (adds its plans)
+from . import derivations, quality, transforms  # noqa: E402, F401  (they add their plans)
