@@ -13,9 +13,9 @@ ENVELOPE = ", ".join(f"{s} string" for s in SCALARS) + f", actor struct<{ACTOR}>
 MANIFEST = "format string, schema_version string, machine_id string, packed_at string, window_start string, window_end string, event_count bigint, sha256 string, sources map<string,boolean>"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value): the lines of all *.ndjson files below a folder."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson").text(path)
+def lines(spark: SparkSession, path: str, names: str = "*.ndjson") -> DataFrame:
+    """(file, value): the lines of all files with such names below a folder."""
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path)
     return raw.select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
 
 
@@ -42,18 +42,18 @@ def flat(df: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str, *, dedup: bool = True, need_time: bool = True) -> DataFrame:
+def read_events(spark: SparkSession, path: str, *, dedup: bool = True, need_time: bool = True, names: str = "*.ndjson") -> DataFrame:
     """The events of a folder; lines without an object, a type or (if needed) a time are left out."""
     from deliverylens.operators.dedup import keep_first
 
-    good = flat(parsed(lines(spark, path)).where("e.event_type IS NOT NULL"))
+    good = flat(parsed(lines(spark, path, names)).where("e.event_type IS NOT NULL"))
     good = good.where("event_time IS NOT NULL") if need_time else good
     return keep_first(good) if dedup else good
 
 
-def load_stats(spark: SparkSession, path: str) -> DataFrame:
+def load_stats(spark: SparkSession, path: str, names: str = "*.ndjson") -> DataFrame:
     """One row: files, lines, malformed, no_type, no_timestamp and duplicates."""
-    p = parsed(lines(spark, path)).withColumn("ok", F.col("e.event_type").isNotNull())
+    p = parsed(lines(spark, path, names)).withColumn("ok", F.col("e.event_type").isNotNull())
     return p.agg(
         F.count_distinct("file").alias("files"),
         F.count("*").alias("lines"),
@@ -69,14 +69,14 @@ def read_day_range(spark: SparkSession, path: str, since: str, until: str) -> Da
     return spark.read.parquet(path).where(F.col("event_date").between(F.to_date(F.lit(since)), F.to_date(F.lit(until))))
 
 
-def read_bundles(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_bundles(spark: SparkSession, path: str, names: str = "*.ndjson") -> tuple[DataFrame, DataFrame]:
     """(manifests, events) of bundle files: a manifest line, then events.
 
     A manifest row has ``fault``: null, or the first of not_a_manifest,
     wrong_format, wrong_major, count_mismatch and checksum_mismatch. Events of
     faulty bundles are left out.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson").text(path, wholetext=True)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path, wholetext=True)
     files = files.select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n", 2).alias("p"))
     head = F.from_json(F.col("p")[0], f"_manifest struct<{MANIFEST}>")["_manifest"]
     body = F.coalesce(F.get("p", F.lit(1)), F.lit(""))

@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .ingest import LATENESS, run_once, weekly_counts
-
+from deliverylens.sources.scratch import scratch
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; a local session has a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{(base or 'file://' + tempfile.mkdtemp(prefix='stream-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from .ingest import LATENESS, run_once, weekly_counts
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,20 +23,20 @@ def r02_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events delivered twice go in once: dedup within the watermark, exactly-once file sink."""
     twice = _events(spark, sf_dir).union(_events(spark, sf_dir).where("n % 10 = 0"))
     once = twice.withWatermark("event_time", LATENESS).dropDuplicatesWithinWatermark(["event_id"])
-    out = _scratch(spark, "events")
-    run_once(once, out, _scratch(spark, "state"))
+    out = scratch(spark, "events")
+    run_once(once, out, scratch(spark, "state"))
     return spark.read.parquet(out).select("event_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "event_type")
 
 
 def r07_stream_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by Monday week and type over a stream, in update mode: the last value of each group."""
-    out = _scratch(spark, "weeks")
+    out = scratch(spark, "weeks")
 
     def put(batch: DataFrame, epoch: int) -> None:
         batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     counts = weekly_counts(_events(spark, sf_dir).withWatermark("event_time", LATENESS))
-    query = counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", _scratch(spark, "state")).trigger(availableNow=True).start()
+    query = counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").parquet(out).groupBy("week", "event_type").agg(F.max_by("n", "epoch").alias("n"))
 
