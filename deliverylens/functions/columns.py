@@ -47,6 +47,19 @@ def iso_week(ts: Column) -> Column:
     return F.concat(F.extract(F.lit("YEAROFWEEK"), ts).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(ts).cast("string"), 2, "0"))
 
 
+def week_bounds(week: Column) -> tuple[Column, Column]:
+    """Monday and Sunday of an ISO week such as 2024-W05: the week that holds 4 January is the first."""
+    fourth = F.make_date(F.substring(week, 1, 4).cast("int"), F.lit(1), F.lit(4))
+    monday = F.date_add(F.trunc(fourth, "week"), (F.substring(week, 7, 2).cast("int") - 1) * 7)
+    return monday, F.date_add(monday, 6)
+
+
+def month_bounds(month: Column) -> tuple[Column, Column]:
+    """First and last day of a month such as 2024-05."""
+    first = F.to_date(month, "yyyy-MM")
+    return first, F.last_day(first)
+
+
 def local_day(ts: Column, offset: str = "+07:00") -> Column:
     return F.to_date(F.from_utc_timestamp(ts, offset))
 
@@ -79,6 +92,16 @@ def issue_key(texts: Sequence[Column], projects: Sequence[str]) -> Column:
     return F.coalesce(*[first(t) for t in texts])
 
 
+def test_keys(texts: Sequence[Column], projects: Sequence[str]) -> Column:
+    """struct(case_key, cycle_key): the first of each over texts in order, of allowed projects."""
+
+    def first(text: Column, kind: str) -> Column:
+        found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\b([A-Z][A-Z0-9]{{1,9}}-{kind}-\d{{1,7}})\b"), F.lit(1))
+        return F.get(F.filter(found, lambda k: F.split_part(k, F.lit("-"), F.lit(1)).isin(*projects)), F.lit(0))
+
+    return F.struct(*[F.coalesce(*[first(t, kind) for t in texts]).alias(name) for kind, name in (("TC", "case_key"), ("CY", "cycle_key"))])
+
+
 def has_marker(message: Column, marker: str = "AI") -> Column:
     """The marker stands by itself in the first line, in any case."""
     return F.split_part(message, F.lit("\n"), F.lit(1)).rlike(rf"(?i)(?<![A-Za-z0-9_]){marker}(?![A-Za-z0-9_])")
@@ -143,6 +166,16 @@ def days_between(a: Column, b: Column) -> Column:
     return F.round((F.unix_micros(b) - F.unix_micros(a)) / 86_400_000_000, 4)
 
 
+def hours(ms: Column) -> Column:
+    """Hours to two places, rounded half to even."""
+    return F.bround(ms / 3_600_000, 2)
+
+
+def shown(value: Column) -> Column:
+    """A measurement as text with two places; a missing one is told, never zero."""
+    return F.when(value.isNull(), "n/a").otherwise(F.format_string("%.2f", value))
+
+
 def rfc3339(ts: Column) -> Column:
     """UTC with milliseconds."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
