@@ -185,7 +185,7 @@ LEFT JOIN (SELECT pr_id, string_agg(run, ',' ORDER BY nth) AS run_ids FROM r WHE
     "d08_review_churn": "SELECT l_orderkey AS pr_id, CASE WHEN max(o_orderstatus) <> 'P' AND count(*) FILTER (l_returnflag = 'N' AND l_quantity <= 10) = 0 THEN coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_shipdate > o_orderdate + INTERVAL 300 DAY), 0)::BIGINT END AS lines_after_review FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1",
     "d13_builds": "SELECT o_orderkey AS build_id, list_extract(['success', 'failed', 'cancelled', 'running', 'running'], CAST(o_orderkey % 5 AS INT) + 1) AS status, CASE WHEN o_custkey % 7 > 0 THEN (o_custkey % 7 - 1) * 60000 END AS duration_ms, CASE o_orderstatus WHEN 'F' THEN o_custkey + 10 WHEN 'O' THEN o_custkey + 1 END AS tests_total, CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 1 END::BIGINT AS tests_failed, CASE o_orderstatus WHEN 'F' THEN 2 END::BIGINT AS tests_skipped, CASE o_orderstatus WHEN 'F' THEN o_custkey + 5 WHEN 'O' THEN o_custkey END AS tests_passed FROM orders",
     "d13_step_totals": "SELECT l_orderkey AS build_id, count(*) AS steps, sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS BIGINT) END)::BIGINT AS duration_ms, count(*) FILTER (l_linestatus = 'F') AS failed_steps FROM lineitem GROUP BY 1",
-    "j23_call_pairs": "SELECT l_suppkey AS session_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS call, CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity * 1000 AS BIGINT) END AS duration_ms, CASE WHEN l_returnflag <> 'R' THEN l_linestatus END AS status FROM lineitem",
+    "j23_call_pairs": "SELECT l_suppkey AS session_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS call, datediff('millisecond', min(l_shipdate), min(fin)) AS duration_ms, arg_min(l_linestatus, fin) AS status FROM (SELECT *, CASE WHEN l_returnflag <> 'R' THEN l_shipdate + to_seconds(CAST(l_quantity AS INT)) END AS fin FROM lineitem) GROUP BY 1, 2",
     "i04_reject_reasons": "SELECT CASE WHEN user_id % 5 = 4 THEN 'missing:schema_version' WHEN event_type = 'signup' THEN 'missing:trace_id' WHEN event_type = 'purchase' THEN 'missing:run_id' WHEN user_id % 5 >= 2 THEN 'schema_version' WHEN event_type = 'error' THEN 'event_type' WHEN value < 3 THEN 'forbidden:prompt' END AS reason, count(*) AS n FROM events GROUP BY 1",
     "i08_admitted": """
 SELECT t AS event_type, CASE user_id % 3 WHEN 0 THEN 'dev' END AS role, a AS attributes, concat_ws('|', CASE WHEN late THEN 'DQ-10:event_time' END, CASE WHEN user_id % 3 = 1 THEN 'DQ-15:role' END, CASE WHEN event_type = 'click' THEN 'stripped:zz' END) AS flags,
