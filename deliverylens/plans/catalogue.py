@@ -41,7 +41,7 @@ def _keep(df: DataFrame, sf_dir: str, name: str) -> None:
             old.unpersist()
 
 
-def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
+def runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         body = f(SPARK)
         needed = parts(SPARK, body)
@@ -65,7 +65,7 @@ def _runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(f) for name, f in PLANS.items()}
+    return {name: runner(f) for name, f in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,4 +1,4 @@
-"""Queries of files and facts against the SQL beside them, on the smallest tables."""
+"""Queries of files, facts and derived relations against the SQL beside them, on the smallest tables."""
 
 import os
 
@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 from deliverylens.operators import facts
+from deliverylens.plans import apart
 from deliverylens.sources import queries as sources
 from tests.conftest import DATA
 
 SF = f"{DATA}/sf0.001"
-BOTH = {n: (f, (facts.ORACLE_SQL | sources.ORACLE_SQL)[n]) for n, f in (facts.QUERIES | sources.QUERIES).items()}
+SQL = facts.ORACLE_SQL | sources.ORACLE_SQL | apart.ORACLE_SQL
+BOTH = {n: (f, SQL[n]) for n, f in (facts.QUERIES | sources.QUERIES | apart.queries()).items()}
 
 
 def _rows(columns, rows):
