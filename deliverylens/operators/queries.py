@@ -17,10 +17,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def k01_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers after an upsert of every third one with a new balance, and some new ones."""
+    """Customers after an upsert of a segment with a new balance, and some new ones."""
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    new = c.where("c_custkey % 3 = 0").withColumn("c_acctbal", F.lit(0.0))
-    more = c.where("c_custkey % 50 = 0").withColumn("c_custkey", F.col("c_custkey") + 10_000_000)
+    new = c.where("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.lit(0.0))
+    more = c.where("c_acctbal < 0").withColumn("c_custkey", F.col("c_custkey") + 10_000_000)
     return store.upsert(c, new.union(more), ["c_custkey"])
 
 
@@ -28,14 +28,14 @@ def k02_conditional_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders' states after an upsert: the time of change moves only with the state."""
     o = _t(spark, sf_dir, "orders")
     old = o.select("o_orderkey", F.col("o_orderstatus").alias("state"), F.col("o_orderdate").cast("date").alias("moved"))
-    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, "F").otherwise(F.col("o_orderstatus")).alias("state"), F.to_date(F.lit("2002-01-01")).alias("moved"))
+    new = o.where("o_orderpriority IN ('1-URGENT', '2-HIGH')").select("o_orderkey", F.when(F.col("o_orderpriority") == "2-HIGH", "F").otherwise(F.col("o_orderstatus")).alias("state"), F.to_date(F.lit("2002-01-01")).alias("moved"))
     return store.upsert_on_change(old, new, ["o_orderkey"], "state", "moved")
 
 
 def k10_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a batch that the buffer doesn't have yet."""
     e = _t(spark, sf_dir, "events").select("event_id", "event_type")
-    return store.append_new(e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").unionAll(e.where("event_id % 9 = 0")))
+    return store.append_new(e.where("event_type IN ('view', 'click')"), e.where("event_type IN ('click', 'purchase')").unionAll(e.where("event_type = 'purchase'")))
 
 
 def w01_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,9 +197,9 @@ def k11_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (k01_upsert, k02_conditional_upsert, k10_append_new, w01_latest_state, j06_effective_segments, j08_as_of_purchase, w10_first_recovery, w12_event_index, w17_running_purchase, i01_forbidden_keys, f44_salted_hash, a28_nearest_rank_value, f30_issue_keys, d03_path_kinds, d06_decline_reason, d10_attributed_issues, d12_test_runs, f39_gates_and_errors, f40_tool_kinds, f42_build_names, i09_extra_attributes, i11_clamped_times, i15_relative_paths, i17_sheet_faults, k11_bundles)}
 
 ORACLE_SQL = {
-    "k01_upsert": "SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT c_custkey + 10000000, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 50 = 0",
-    "k02_conditional_upsert": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'F' ELSE o_orderstatus END AS state, CASE WHEN o_orderkey % 4 = 0 AND o_orderstatus <> 'F' THEN DATE '2002-01-01' ELSE CAST(o_orderdate AS DATE) END AS moved FROM orders",
-    "k10_append_new": "SELECT event_id, event_type FROM events WHERE event_id % 3 = 0 AND event_id % 2 <> 0",
+    "k01_upsert": "SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT c_custkey + 10000000, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal < 0",
+    "k02_conditional_upsert": "SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN 'F' ELSE o_orderstatus END AS state, CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus <> 'F' THEN DATE '2002-01-01' ELSE CAST(o_orderdate AS DATE) END AS moved FROM orders",
+    "k10_append_new": "SELECT event_id, event_type FROM events WHERE event_type = 'purchase'",
     "w01_latest_state": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) WHERE nth = 1",
     "j06_effective_segments": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, b.r AS rate FROM orders LEFT JOIN (VALUES ('1-URGENT', DATE '1990-01-01', DATE '1997-12-31', 3), ('1-URGENT', DATE '1998-01-01', CAST(NULL AS DATE), 4), ('2-HIGH', DATE '1996-06-01', DATE '1999-12-31', 2)) AS b(p, f, t, r) ON o_orderpriority = b.p AND CAST(o_orderdate AS DATE) BETWEEN b.f AND coalesce(b.t, DATE '9999-12-31')",
     "j08_as_of_purchase": "SELECT c.event_id, b.value AS last_value FROM (SELECT * FROM events WHERE event_type = 'click') c ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) b ON c.user_id = b.user_id AND c.ts >= b.ts",
