@@ -212,7 +212,7 @@ SELECT y.*, CASE WHEN acceptance_reason IN ('awaiting_commit', 'no_pull_request'
     WHEN acceptance_reason = 'reused' THEN 'reused' WHEN acceptance_reason = 'quarantined' THEN 'quarantined' ELSE 'rejected' END AS acceptance_state
 FROM (
   SELECT o.output_id, o.pr_id, o.agent_name, o.lines_added, o.quarantined, o.reused, o.committed_at, p.created_on, p.merged_at, p.repo, p.is_draft, p.is_bot_only,
-    w.after_review * 1.0 / nullif(w.generated, 0) AS rework_ratio,
+    CAST(w.after_review AS DOUBLE) / nullif(w.generated, 0) AS rework_ratio,
     CASE WHEN o.quarantined THEN 'quarantined' WHEN o.reused THEN 'reused'
       WHEN p.reverted_at IS NOT NULL AND {d.diff('DAY', 'p.merged_at', 'p.reverted_at')} <= 30 THEN 'reverted'
       WHEN p.declined_at IS NOT NULL THEN 'declined'
