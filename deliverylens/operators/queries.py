@@ -51,6 +51,14 @@ def j06_effective_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.effective(o, book, "o_orderpriority", "day").select("o_orderkey", "day", "rate")
 
 
+def j14_overlapping_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a customer placed while an earlier one is open: finished ones for some days, partial ones without end."""
+    o = _t(spark, sf_dir, "orders")
+    until = F.when(F.col("o_orderstatus") != "P", F.date_add(F.col("o_orderdate").cast("date"), F.floor(F.col("o_totalprice") / 2000).cast("int")))
+    rows = o.select("o_custkey", F.col("o_orderdate").cast("date").alias("placed"), until.alias("until"))
+    return temporal.overlapped(rows, "o_custkey", "placed", "until")
+
+
 def j08_as_of_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each click with the user's last purchase value at or before it."""
     e = _t(spark, sf_dir, "events")
@@ -194,7 +202,7 @@ def k11_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("iso_week").agg(F.sum("event_count").alias("n"), F.sum(F.size(F.split("body", "\n"))).alias("lines"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (k01_upsert, k02_conditional_upsert, k10_append_new, w01_latest_state, j06_effective_segments, j08_as_of_purchase, w10_first_recovery, w12_event_index, w17_running_purchase, i01_forbidden_keys, f44_salted_hash, a28_nearest_rank_value, f30_issue_keys, d03_path_kinds, d06_decline_reason, d10_attributed_issues, d12_test_runs, f39_gates_and_errors, f40_tool_kinds, f42_build_names, i09_extra_attributes, i11_clamped_times, i15_relative_paths, i17_sheet_faults, k11_bundles)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (k01_upsert, k02_conditional_upsert, k10_append_new, w01_latest_state, j06_effective_segments, j14_overlapping_orders, j08_as_of_purchase, w10_first_recovery, w12_event_index, w17_running_purchase, i01_forbidden_keys, f44_salted_hash, a28_nearest_rank_value, f30_issue_keys, d03_path_kinds, d06_decline_reason, d10_attributed_issues, d12_test_runs, f39_gates_and_errors, f40_tool_kinds, f42_build_names, i09_extra_attributes, i11_clamped_times, i15_relative_paths, i17_sheet_faults, k11_bundles)}
 
 ORACLE_SQL = {
     "k01_upsert": "SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN 0.0::DOUBLE ELSE c_acctbal END AS c_acctbal FROM customer UNION ALL SELECT c_custkey + 10000000, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal < 0",
@@ -202,6 +210,9 @@ ORACLE_SQL = {
     "k10_append_new": "SELECT event_id, event_type FROM events WHERE event_type = 'purchase'",
     "w01_latest_state": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events) WHERE nth = 1",
     "j06_effective_segments": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, b.r AS rate FROM orders LEFT JOIN (VALUES ('1-URGENT', DATE '1990-01-01', DATE '1997-12-31', 3), ('1-URGENT', DATE '1998-01-01', CAST(NULL AS DATE), 4), ('2-HIGH', DATE '1996-06-01', DATE '1999-12-31', 2)) AS b(p, f, t, r) ON o_orderpriority = b.p AND CAST(o_orderdate AS DATE) BETWEEN b.f AND coalesce(b.t, DATE '9999-12-31')",
+    "j14_overlapping_orders": """
+WITH i AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS placed, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) + CAST(floor(o_totalprice / 2000) AS INTEGER) END AS until FROM orders)
+SELECT b.o_custkey, b.placed, count(*) AS n, bool_or(EXISTS (SELECT 1 FROM i a WHERE a.o_custkey = b.o_custkey AND a.placed < b.placed AND b.placed <= coalesce(a.until, DATE '9999-12-31'))) AS overlapped FROM i b GROUP BY 1, 2""",
     "j08_as_of_purchase": "SELECT c.event_id, b.value AS last_value FROM (SELECT * FROM events WHERE event_type = 'click') c ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) b ON c.user_id = b.user_id AND c.ts >= b.ts",
     "w10_first_recovery": "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nth FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE event_type = 'purchase' AND before = 'error') WHERE nth = 1",
     "w12_event_index": "SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - 1 AS attempt_index FROM events",

@@ -45,3 +45,18 @@ def interval_link(sessions: DataFrame, runs: DataFrame, key: str, slack_s: int =
         F.when(n == 1, F.when(agree, 0.8).otherwise(0.5)).otherwise(0.0).alias("confidence"),
         F.when(n == 0, "no_run").when(n > 1, "several_runs").otherwise("linked").alias("outcome"),
     )
+
+
+def overlapped(rows: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, start, n, overlapped): whether a row of the key that starts before is open at ``start``.
+
+    An end counts as within, a null end as never. Rows without a key or a start
+    are left out; rows of one start count once and don't overlap each other.
+    No pairs are made: starts are summed up first, and the greatest end so far
+    runs along each key.
+    """
+    open_end = F.bool_or(F.col(end).isNull())
+    starts = rows.where(F.col(key).isNotNull() & F.col(start).isNotNull()).groupBy(key, start).agg(F.count("*").alias("n"), F.max(end).alias("_end"), open_end.alias("_open"))
+    before = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+    over = F.max("_open").over(before) | (F.max("_end").over(before) >= F.col(start))
+    return starts.select(key, start, "n", F.coalesce(over, F.lit(False)).alias("overlapped"))

@@ -143,6 +143,14 @@ def test_joins_on_time(spark):
     assert got == {"s1": ("r1", 0.8, "linked"), "s2": (None, 0.0, "several_runs"), "s3": (None, 0.0, "no_run"), "s4": ("r2", 0.5, "linked")}
 
 
+def test_rows_that_start_while_another_is_open(spark):
+    rows = [("a", 1, 5), ("a", 5, 6), ("a", 5, 9), ("a", 7, 7), ("a", 10, None), ("a", 11, 12), ("b", 2, 3), ("b", 2, 8), ("b", 9, 9), (None, 1, 9), ("b", None, 1)]
+    df = spark.createDataFrame(rows, "k string, lo int, hi int")
+    got = {(r.k, r.lo): (r.n, r.overlapped) for r in temporal.overlapped(df, "k", "lo", "hi").collect()}
+    assert got == {("a", 1): (1, False), ("a", 5): (2, True), ("a", 7): (1, True), ("a", 10): (1, False), ("a", 11): (1, True), ("b", 2): (2, False), ("b", 9): (1, False)}
+    assert temporal.overlapped(df.limit(0), "k", "lo", "hi").count() == 0
+
+
 def test_journal_folds(spark):
     rows = spark.sql("SELECT * FROM VALUES ('s', 1, 'r1', null), ('s', 2, null, 'x'), ('s', 3, 'r2', null) AS t(session_id, n, run, skill)")
     got = journal.running_state(rows, "session_id", ["n"], ["run", "skill"]).orderBy("n").collect()
