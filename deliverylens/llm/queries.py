@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc, decontaminate, html_labeller, line_dedup, packing, quality_rules, simhash, substring_rlz, token_store, url_filter
+from . import arc, conversations, decontaminate, fill_middle, html_labeller, line_dedup, packing, quality_rules, sentence_pieces, simhash, substring_rlz, token_store, url_filter
 from .tokens import vocabulary
 
 
@@ -59,6 +59,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.op11(_table(spark, sf_dir, "conversations"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.op12(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.op13(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -71,6 +83,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_substring_rlz": op9_substring_rlz,
         "op10_decontaminate": op10_decontaminate,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_sentence_pieces": op12_sentence_pieces,
+        "op13_fill_middle": op13_fill_middle,
     }
 
 
@@ -78,4 +93,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": url_filter.ORACLE_SQL,
         "op2_line_dedup": line_dedup.ORACLE_SQL,
+        "op13_fill_middle": fill_middle.ORACLE_SQL,
     }
