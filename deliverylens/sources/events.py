@@ -30,8 +30,8 @@ def event_time(text: Column | str) -> Column:
     return F.try_to_timestamp(F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2"))
 
 
-def flat(df: DataFrame) -> DataFrame:
-    """One column a field: scalars, the four blocks and the attributes' JSON text."""
+def flat(df: DataFrame, *more: str) -> DataFrame:
+    """One column a field: scalars, the four blocks and the attributes' JSON text; further columns beside them."""
     blocks = [(b, f.split()[0]) for b, fields in (("actor", ACTOR), ("context", CONTEXT), ("agent", AGENT)) for f in fields.split(", ")]
     return df.select(
         *[event_time(f"e.{s}").alias(s) if s in ("event_time", "ingested_at") else F.col(f"e.{s}") for s in SCALARS],
@@ -39,6 +39,7 @@ def flat(df: DataFrame) -> DataFrame:
         F.col("e.link.method").alias("link_method"),
         F.col("e.link.confidence").alias("link_confidence"),
         F.col("e.attributes").alias("attributes"),
+        *more,
     )
 
 
@@ -69,21 +70,19 @@ def read_day_range(spark: SparkSession, path: str, since: str, until: str) -> Da
     return spark.read.parquet(path).where(F.col("event_date").between(F.to_date(F.lit(since)), F.to_date(F.lit(until))))
 
 
-def read_bundles(spark: SparkSession, path: str, names: str = "*.ndjson") -> tuple[DataFrame, DataFrame]:
-    """(manifests, events) of bundle files: a manifest line, then events.
+def bundle_files(spark: SparkSession, path: str, names: str = "*.ndjson") -> DataFrame:
+    """(file, digest, m, rows, fault) of bundle files, each read whole: a manifest line, then events.
 
-    A manifest row has ``fault``: null, or the first of not_a_manifest,
-    wrong_format, wrong_major, count_mismatch and checksum_mismatch. Events of
-    faulty bundles are left out.
+    ``digest`` is that of the whole text; ``fault`` is null, or the first of
+    not_a_manifest, wrong_format, wrong_major, count_mismatch and checksum_mismatch.
     """
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path, wholetext=True)
-    files = files.select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n", 2).alias("p"))
+    files = files.select(F.col("_metadata.file_path").alias("file"), F.sha2("value", 256).alias("digest"), F.split("value", "\n", 2).alias("p"))
     head = F.from_json(F.col("p")[0], f"_manifest struct<{MANIFEST}>")["_manifest"]
     body = F.coalesce(F.get("p", F.lit(1)), F.lit(""))
     has = F.get_json_object(F.col("p")[0], "$._manifest").isNotNull()
-    files = files.select("file", has.alias("has"), head.alias("m"), body.alias("body"))
     rows = F.filter(F.split("body", "\n"), lambda x: F.trim(x) != "")
-    files = files.withColumn("rows", rows)
+    files = files.select("file", "digest", has.alias("has"), head.alias("m"), body.alias("body")).withColumn("rows", rows)
     fault = (
         F.when(~F.col("has"), "not_a_manifest")
         .when(~F.col("m.format").eqNullSafe("telemetry-bundle"), "wrong_format")
@@ -91,7 +90,12 @@ def read_bundles(spark: SparkSession, path: str, names: str = "*.ndjson") -> tup
         .when(F.col("m.event_count") != F.size("rows"), "count_mismatch")
         .when(F.col("m.sha256") != F.sha2("body", 256), "checksum_mismatch")
     )
-    files = files.withColumn("fault", fault)
+    return files.select("file", "digest", "m", "rows", fault.alias("fault"))
+
+
+def read_bundles(spark: SparkSession, path: str, names: str = "*.ndjson") -> tuple[DataFrame, DataFrame]:
+    """(manifests, events) of bundle files. Manifests have their fault; events of faulty bundles are left out."""
+    files = bundle_files(spark, path, names)
     events = files.where("fault IS NULL").select("file", F.explode("rows").alias("value"))
     return files.select("file", "m.*", "fault", F.size("rows").alias("rows")), flat(parsed(events).where("e.event_type IS NOT NULL"))
 
