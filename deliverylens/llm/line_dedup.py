@@ -51,17 +51,18 @@ def removed_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` with ``text`` cut, and n_lines and n_removed_lines added.
 
-    doc_id names the document and is expected to be unique; rows with a null
-    id are kept as they are. Rows that share an id count as one document
-    whose windows meet at equal places: the copies' windows are neither
-    earlier nor later than each other. A null text has no lines and stays
-    null; texts of fewer than three lines stay whole; an empty table gives an
+    A document is its doc_id and its text: rows that share an id but differ in
+    text are documents of their own, ordered by a hash of the text; rows equal
+    in both are one document, cut alike. Rows with a null id are kept as they
+    are. A null text has no lines and stays null; texts of fewer than three lines stay whole; an empty table gives an
     empty result. Other columns are kept; n_lines and n_removed_lines in the
     input are replaced.
     """
     docs = docs.drop("n_lines", "n_removed_lines")
-    gone = removed_lines(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), size).withColumnsRenamed({"doc_id": "__id", "gone": "__gone"})
-    out = docs.join(gone, docs["doc_id"] == gone["__id"], "left")
+    key = F.struct("doc_id", F.xxhash64("text").alias("t"))
+    mine = docs.where("doc_id IS NOT NULL").select(key.alias("doc_id"), "text")
+    gone = removed_lines(mine, size).withColumnsRenamed({"doc_id": "__id", "gone": "__gone"})
+    out = docs.join(gone, key == gone["__id"], "left")
     # The one-element array binds the split lines to a name, so that they are split once.
     kept = F.expr(r"transform(array(split(text, '\n', -1)), l -> array_join(transform(array_except(sequence(0, size(l) - 1), __gone), i -> l[i]), '\n'))[0]")
     return out.select(
