@@ -114,8 +114,16 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, z binary")
 
 
+def _held_by(hashes: np.ndarray, s: np.ndarray, words: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Which spans (start, words) of a text have the hash r; a text of another row with the same id may be shorter or differ."""
+    ok = s + words <= len(hashes)
+    out = np.zeros(len(s), dtype=bool)
+    out[ok] = W.range_hashes(hashes, s[ok], s[ok] + words[ok]) == r[ok]
+    return out
+
+
 def window_rows(marks: DataFrame, docs: DataFrame, window: int) -> DataFrame:
-    """(w1, w2, id, s) for each window of the marked blocks (id, s, n)."""
+    """(w1, w2, id, s) for each window of the marked blocks (id, s, n, r) that a row has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -123,31 +131,33 @@ def window_rows(marks: DataFrame, docs: DataFrame, window: int) -> DataFrame:
             for k in range(batch.num_rows):
                 hashes = _words(tool.decompress(batch.column(2)[k].as_py()))[3]
                 part = batch.column(1)[k].values
-                s, n = part.field("s").to_numpy(), part.field("n").to_numpy().astype(np.int64)
+                s, n = part.field("s").to_numpy().astype(np.int64), part.field("n").to_numpy().astype(np.int64)
+                mine = _held_by(hashes, s, n + (window - 1), part.field("r").to_numpy().view(np.uint64))
+                s, n = s[mine], n[mine]
                 each = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
                 one = W.range_hashes(hashes, each, each + window)
                 two = W.window_hashes(hashes, window)[each]
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), batch.column(0).take(pa.array(np.full(len(each), k))), pa.array(each.astype(np.int32))], names=["w1", "w2", "id", "s"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    lists = marks.groupBy("id").agg(F.collect_list(F.struct("s", F.col("n").cast("int").alias("n"))).alias("m"))
+    lists = marks.groupBy("id").agg(F.collect_list(F.struct("s", F.col("n").cast("int").alias("n"), "r")).alias("m"))
     return lists.join(packed(docs), "id").select("id", "m", "z").mapInArrow(run, f"w1 long, w2 long, id {kind}, s int")
 
 
 def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, s, n, ref, ref_s): runs of n window starts from word s whose windows
-    start earlier at ref_s of document ref. docs has columns id and text."""
+    """(id, s, n, ref, ref_s, r): runs of n window starts from word s whose windows
+    start earlier at ref_s of document ref; r is the hash of all their words. docs has columns id and text."""
     found = known_blocks(docs, window, gram)
     drop_shuffles(docs.sparkSession)
     place = F.struct("id", "s")
     first = found.groupBy("h", "r").agg(F.min(F.struct("id", "s", "n")).alias("f"), F.first("mixed").alias("mixed"), F.count("*").alias("c"))
     first = checkpoint(first.where("c > 1 OR mixed"))
     again = found.join(first.where("c > 1").select("h", "r", F.struct("f.id", "f.s").alias("f")), ["h", "r"]).where(place != F.col("f"))
-    whole = again.select("id", "s", F.col("n").cast("int").alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"))
-    edge = checkpoint(window_rows(first.where("mixed").select("f.*"), docs, window))
+    whole = again.select("id", "s", F.col("n").cast("int").alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"), "r")
+    edge = checkpoint(window_rows(first.where("mixed").select("f.*", "r"), docs, window))
     drop_shuffles(docs.sparkSession)
     one = checkpoint(edge.groupBy("w1", "w2").agg(F.min(place).alias("f"), F.count("*").alias("c")).where("c > 1").drop("c"))
-    single = edge.join(one, ["w1", "w2"]).where(place != F.col("f")).select("id", "s", F.lit(1).alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"))
+    single = edge.join(one, ["w1", "w2"]).where(place != F.col("f")).select("id", "s", F.lit(1).alias("n"), F.col("f.id").alias("ref"), F.col("f.s").alias("ref_s"), F.col("w1").alias("r"))
     return whole.union(single)
 
 
@@ -172,17 +182,21 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, id_col:
 
     ``factors``: the copied spans, in words, with their earlier source; spans
     may overlap. n_removed counts the words they cover, ``kept`` is the others
-    joined by one space. Ids are expected to be unique and not null: rows with
-    a null id are parsed as if nothing stood elsewhere (no factors), and rows
-    that share an id count as the same places. A null or short text has no
-    factors; an empty table gives an empty result.
+    joined by one space. Rows with a null id are parsed as if nothing stood
+    elsewhere (no factors). Rows that share an id are cut each by its own text: a
+    span found in one is looked for in the other by its hash, and equal windows at
+    equal places of them count as one place. A null or short text has no factors;
+    an empty table gives an empty result.
     """
     spark = docs.sparkSession
     workers_import_this(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = matches(docs.where("id IS NOT NULL"), window, gram)
+    # Only the rows of ids that come again need the hashes of their spans.
+    again = docs.where("id IS NOT NULL").groupBy(F.col("id").alias("again")).agg(F.count("*").alias("c")).where("c > 1").select("again")
+    found = found.join(again, found["id"] == again["again"], "left").withColumn("r", F.when(F.col("again").isNotNull(), F.col("r")))
     # Written before the texts are joined, so that no shuffle of the search is kept beside theirs.
-    lists = checkpoint(found.groupBy("id").agg(F.collect_list(F.struct("s", "n", "ref", "ref_s")).alias("m")).withColumnRenamed("id", "mid"))
+    lists = checkpoint(found.groupBy("id").agg(F.collect_list(F.struct("s", "n", "ref", "ref_s", "r")).alias("m")).withColumnRenamed("id", "mid"))
     del found
     drop_shuffles(spark)
     kind = docs.schema["id"].dataType.simpleString()
@@ -193,7 +207,12 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, id_col:
             rows = []
             for k in range(batch.num_rows):
                 raw, starts, ends = _spans(tool.decompress(batch.column(1)[k].as_py()))
-                spans = parse([tuple(x.values()) for x in batch.column(2)[k].as_py() or ()], window)
+                runs = [tuple(x.values()) for x in batch.column(2)[k].as_py() or ()]
+                if runs and runs[0][4] is not None:
+                    hashes = W.word_hashes(np.frombuffer(raw, dtype=np.uint8), starts, ends)
+                    s, n, r = (np.array([x[c] for x in runs], dtype=np.int64) for c in (0, 1, 4))
+                    runs = [x for x, ok in zip(runs, _held_by(hashes, s, n + (window - 1), r.view(np.uint64))) if ok]
+                spans = parse([x[:4] for x in runs], window)
                 gone = W.covered(len(starts), np.array([x[0] for x in spans]), np.array([x[0] + x[1] for x in spans])) if spans else np.zeros(len(starts), dtype=bool)
                 left = np.flatnonzero(~gone)
                 if len(left) == len(starts):
