@@ -9,8 +9,9 @@ that are left over at the end of a partition are dealt largest first, each to
 the group with fewest tokens.
 
 Packing runs inside each input partition in a stream, without a shuffle; a
-task keeps a bounded buffer of remainders. Each partition ends in at most one
-sequence that is not full.
+task keeps a bounded buffer of remainders. What a partition has left at its end
+goes into sequences of falling powers of two below the shortest tier, so that
+nothing is padded, however small the partitions are.
 """
 
 from __future__ import annotations
@@ -65,7 +66,8 @@ class TierPacker:
 
     def finish(self) -> None:
         self._pack(last=True)
-        left = [x for c in reversed(self.tiers) for x in self.open.pop(c, ())]
+        left = [x for c in sorted(self.open, reverse=True) for x in self.open[c]]
+        self.open.clear()
         groups = [(0, k, []) for k in range(-(-sum(c for c, _ in left) // self.step_tokens))]
         for context, pieces in left:
             total, k, held = heapq.heappop(groups)
@@ -126,7 +128,8 @@ class TierPacker:
             while self.pools[context] and self.waiting > keep and (self._tokens() >= context):
                 self._close(self._fill(context), context)
         while last and self.waiting:
-            size = max((t for t in self.tiers if t <= self._tokens()), default=self.longest)
+            held = self._tokens()
+            size = max((t for t in self.tiers if t <= held), default=1 << (held.bit_length() - 1))
             self._close(self._fill(size), size)
 
     def _tokens(self) -> int:
@@ -166,7 +169,8 @@ def pack(docs: DataFrame, vocabulary: str, *, byte_level: bool = False, end_id:
     their own; an empty table gives no rows. ``context`` is the sequence's
     size, ``step_group`` its group; both are unique over partitions. A group has
     step_tokens tokens, but for a partition's last ones, which differ from each
-    other by one sequence at most.
+    other by one sequence at most. Every sequence is full: contexts are the tiers
+    and, at the end of a partition, powers of two below the shortest.
     """
     workers_import_this(docs.sparkSession)
     names = [x.split()[0] for x in PIECES.split(", ")]
