@@ -208,3 +208,33 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, p: float, name: str
     rank = F.bround(F.lit(p) * (F.col("_all") - 1)) + 1
     got = parts.join(totals, [*keys, "_part"]).where((F.col("_before") + F.col("_upto") >= rank) & (F.col("_before") + F.col("_upto") - F.col("_c") < rank))
     return got.select(*keys, F.col(value).alias(name))
+
+
+#: Labels of priorities; a band's bound is its least size in changed lines.
+PRIORITIES = {"high": "P1", "medium": "P2", "low": "P3", "lowest": "P4"}
+SIZE_BANDS = {"S (<100)": 0, "M (100-499)": 100, "L (500-1999)": 500, "XL (2000+)": 2000}
+
+
+def priority_label(name: Column) -> Column:
+    """``P1 (High)`` for a known name, another name as it is, ``unset`` for none."""
+    table = F.create_map(*[F.lit(x) for kv in PRIORITIES.items() for x in kv])
+    known = table[F.lower(F.trim(name))]
+    return F.when(F.coalesce(name, F.lit("")) == "", "unset").when(known.isNotNull(), F.concat(known, F.lit(" ("), name, F.lit(")"))).otherwise(name)
+
+
+def size_band(lines: Column) -> Column:
+    """The band of a request's changed lines; ``unknown`` if they aren't known."""
+    out = F.when(lines.isNull(), "unknown")
+    for name, least in sorted(SIZE_BANDS.items(), key=lambda x: -x[1]):
+        out = out.when(lines >= least, name)
+    return out.otherwise(min(SIZE_BANDS, key=SIZE_BANDS.get))
+
+
+def trend_word(points: Column) -> Column:
+    """Where a series goes: up or down only if no step goes the other way. Points that aren't
+    known are left out; under two have no word (``-``), over two a direction holds ``every week``."""
+    p = F.filter(points, lambda x: x.isNotNull())
+    steps = F.transform(F.sequence(F.lit(2), F.greatest(F.size(p), F.lit(2))), lambda k: F.get(p, k - 1) - F.get(p, k - 2))
+    up, down = F.exists(steps, lambda x: x > 0), F.exists(steps, lambda x: x < 0)
+    word = F.when(up & down, "no clear trend").when(up, "up").when(down, "down").otherwise("flat")
+    return F.when(F.size(p) < 2, "-").when((F.size(p) > 2) & (up != down), F.concat(word, F.lit(" every week"))).otherwise(word)

@@ -28,7 +28,7 @@ def _pick(by: str, names: list[str | None]) -> Column:
 def d02_comment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as requests, their lines as comments."""
     prs = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pr_id"), F.concat(F.lit("p"), F.col("o_custkey") % 5).alias("author"))
-    user = F.when(F.col("l_returnflag") == "R", "build-ci").otherwise(F.concat(F.lit("p"), F.col("l_suppkey") % 5))
+    user = F.when(F.col("l_returnflag") == "R", "svc-build").otherwise(F.concat(F.lit("p"), F.col("l_suppkey") % 5))
     comments = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr_id"), user.alias("user"), (F.col("l_linestatus") == "F").alias("inline"), (F.col("l_quantity") < 5).alias("deleted"))
     out = review.comment_summary(prs, comments)
     return out.withColumn("by_person", F.array_join(F.transform(F.map_entries("by_person"), lambda x: F.concat(x["key"], F.lit("="), x["value"])), ","))

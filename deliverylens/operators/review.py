@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from deliverylens.functions.columns import first_match
 
-#: Hints of automated accounts, and file kinds by path.
-BOT_HINTS = r"(^|[^a-z])(bot|build|ci|jenkins|pipelines|renovate|sonar)([^a-z]|$)"
+#: Hints of automated accounts (parts of a name, in any case), and file kinds by path.
+BOT_HINTS = ("bot", "jenkins", "sonarqube", "sonarcloud", "snyk", "dependabot", "renovate", "codecov", "coveralls", "pipelines", "automation", "service-account", "svc-", "noreply")
 AUTOMATION_KINDS = {
     "feature": r"(?i)\.feature$",
     "step_definition": r"(?i)[._-]steps?\.(ts|js|tsx|jsx|py|java)$",
@@ -20,8 +20,19 @@ SCRIPT_KINDS = ("feature", "spec", "step_definition")
 MAX_RUNS, MAX_SHAS = 20, 200
 
 
-def is_bot(name: Column) -> Column:
-    return F.coalesce(F.lower(name).rlike(BOT_HINTS), F.lit(False))
+def is_bot(name: Column, kind: Column | None = None, account: Column | None = None) -> Column:
+    """Whether an account is machinery: by a hint in its names, as an app or add-on, or as nobody at all (no name and no account)."""
+    named = F.coalesce(F.lower(F.trim(name)), F.lit(""))
+    out = F.exists(F.array(*[F.lit(h) for h in BOT_HINTS]), lambda h: F.contains(named, h)) | ((named == "") & (F.lit(True) if account is None else account.isNull()))
+    return out if kind is None else out | F.coalesce(F.lower(kind).isin("app", "addon"), F.lit(False))
+
+
+def _user(rows: DataFrame) -> tuple[Column, Column]:
+    """(who acted, whether it is machinery) of rows with a user's name and, where the source has them, account and user_type."""
+    has = rows.columns
+    account = F.col("account") if "account" in has else None
+    who = F.col("user") if account is None else F.coalesce(account, F.col("user"))
+    return who, is_bot(F.col("user"), F.col("user_type") if "user_type" in has else None, account)
 
 
 def decline_reason(declined_by: Column, author: Column, changes_requested: Column) -> Column:
@@ -33,13 +44,15 @@ def review_timeline(prs: DataFrame, activity: DataFrame) -> DataFrame:
     """One row a request: first review, reviewers with their strongest action, revisions, reopens.
 
     prs: pr_id, author. activity: pr_id, kind (update, approval,
-    changes_requested, comment), at, user, state. Actions of the author and of
-    automated accounts are no review; a reviewer without a name counts by time.
+    changes_requested, comment), at, user, state; account and user_type if known.
+    Actions of the author and of automated accounts are no review, nor are those of
+    nobody; an account without a name counts by itself.
     """
-    a = activity.join(prs.select("pr_id", "author"), "pr_id")
-    acts = a.where(F.col("kind").isin("approval", "changes_requested", "comment") & ~F.col("user").eqNullSafe(F.col("author")) & ~is_bot(F.col("user")))
+    who, bot = _user(activity)
+    a = activity.withColumns({"user": who, "_bot": bot}).join(prs.select("pr_id", "author"), "pr_id")
+    acts = a.where(F.col("kind").isin("approval", "changes_requested", "comment") & ~F.col("user").eqNullSafe(F.col("author")) & ~F.col("_bot"))
     strength = F.when(F.col("kind") == "approval", 3).when(F.col("kind") == "changes_requested", 2).otherwise(1)
-    per = acts.groupBy("pr_id", F.coalesce("user", F.concat(F.lit("anonymous@"), F.col("at").cast("string"))).alias("reviewer")).agg(F.min("at").alias("at"), F.max(strength).alias("s"))
+    per = acts.groupBy("pr_id", F.col("user").alias("reviewer")).agg(F.min("at").alias("at"), F.max(strength).alias("s"))
     names = F.when(F.col("s") == 3, "approved").when(F.col("s") == 2, "changes_requested").otherwise("commented")
     reviews = per.groupBy("pr_id").agg(
         F.min("at").alias("first_review_at"),
@@ -56,7 +69,8 @@ def review_timeline(prs: DataFrame, activity: DataFrame) -> DataFrame:
 
 def comment_summary(prs: DataFrame, comments: DataFrame) -> DataFrame:
     """Counts of a request's comments: by place, the author's own, automated and deleted ones apart."""
-    c = comments.join(prs.select("pr_id", "author"), "pr_id").withColumn("bot", is_bot(F.col("user"))).withColumn("own", F.col("user").eqNullSafe(F.col("author")))
+    who, bot = _user(comments)
+    c = comments.withColumns({"user": who, "bot": bot}).join(prs.select("pr_id", "author"), "pr_id").withColumn("own", F.col("user").eqNullSafe(F.col("author")))
     real = ~F.col("deleted") & ~F.col("bot")
     per = c.where(real & F.col("user").isNotNull()).groupBy("pr_id", "user").count().groupBy("pr_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("user", "count")))).alias("by_person"))
     total = c.groupBy("pr_id").agg(

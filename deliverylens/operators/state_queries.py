@@ -13,7 +13,7 @@ from deliverylens.sources import inbox, polling
 from deliverylens.sources.scratch import scratch
 from deliverylens.streaming import sessions as session_stream
 
-from . import binding, chat, sessions, upkeep, watch
+from . import binding, chat, sessions, snapshot, upkeep, watch
 from .versions import Appended, VersionedTable
 
 
@@ -388,9 +388,75 @@ WITH {_SAME_E}, p AS (
 SELECT kind, x[1] AS path, count(*) AS n, count(DISTINCT x[2]) AS "values" FROM p GROUP BY 1, 2"""
 
 
+def _domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the report: views are tool calls, clicks turns, purchases model calls, errors gates."""
+    e = _events(spark, sf_dir).where("t != 'signup'")
+    kind = F.when(F.col("t") == "view", "tool.call").when(F.col("t") == "click", "human.turn").when(F.col("t") == "purchase", "model.call").otherwise("gate.evaluated")
+    status = F.when(F.col("t") == "view", F.when(F.col("k") % 8 == 1, "error").when(F.col("k") % 8 > 1, "ok")).when(F.col("t") == "error", F.when(F.col("k") % 9 > 3, "pass").when(F.col("k") % 9 > 0, "fail"))
+    return e.select(F.concat(F.lit("p_"), "user_id").alias("person_id"), F.concat_ws("_", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session"), F.col("ts").alias("at"), kind.alias("kind"), status.alias("status"), F.when(F.col("k") % 7 != 6, F.floor(F.col("v") * 100)).alias("tokens_in"))
+
+
+_SECTIONS = "struct<activity struct<basis string, prompts long, sessions long, active_days long>, tools struct<basis string, tool_calls long, tool_errors long, tool_error_rate double>, models struct<basis string, model_calls long, tokens_in long>, gates struct<basis string, gates_passed long, gates_failed long>>"
+_FLAT = ["s.activity.basis AS activity", "s.activity.prompts", "s.activity.sessions", "s.activity.active_days", "s.tools.basis AS tools", "s.tools.tool_calls", "s.tools.tool_errors", "s.tools.tool_error_rate", "s.models.basis AS models", "s.models.model_calls", "s.models.tokens_in", "s.gates.basis AS gates", "s.gates.gates_passed", "s.gates.gates_failed"]
+
+
+def g18_weekly_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON document of each week, put in place as one version and parsed again."""
+    table = VersionedTable(spark, scratch(spark, "weekly"), "iso_week string, payload string")
+    table.replace(snapshot.weekly_payloads(_domain(spark, sf_dir)), 0)
+    p = F.from_json("payload", f"iso_week string, people long, events long, sections {_SECTIONS}")
+    return table.read().select(p.alias("p")).select("p.iso_week", "p.people", "p.events", F.col("p.sections").alias("s")).selectExpr("iso_week", "people", "events", *_FLAT)
+
+
+def h14_person_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of people, put in place and parsed again: a row a person and week."""
+    table = VersionedTable(spark, scratch(spark, "people"), "person_id string, payload string")
+    table.replace(snapshot.person_snapshots(_domain(spark, sf_dir), "2024-01-01", "2024-02-05"), 0)
+    p = F.from_json("payload", f"person_id string, trend string, weeks array<struct<wk date, whole boolean, sections {_SECTIONS}>>")
+    rows = table.read().select(p.alias("p")).select("p.person_id", "p.trend", F.explode("p.weeks").alias("w"))
+    return rows.select("person_id", "trend", "w.wk", "w.whole", F.col("w.sections").alias("s")).selectExpr("person_id", "trend", "wk", "whole", *_FLAT)
+
+
+_DOMAIN_SQL = f"""{_SAME_E}, d AS (SELECT *, CASE WHEN t = 'view' THEN CASE WHEN k % 8 = 1 THEN 'error' WHEN k % 8 > 1 THEN 'ok' END WHEN t = 'error' THEN CASE WHEN k % 9 > 3 THEN 'pass' WHEN k % 9 > 0 THEN 'fail' END END AS st FROM e WHERE t <> 'signup')"""
+_TOTALS_SQL = """count(*) AS events, count(*) FILTER (t = 'click') AS prompts, count(DISTINCT (user_id, CAST(ts AS DATE))) AS sessions, count(DISTINCT CAST(ts AS DATE)) AS active_days, count(*) FILTER (t = 'view') AS tool_calls, count(*) FILTER (t = 'view' AND st IS NOT NULL) AS known, count(*) FILTER (st = 'error') AS errors,
+  count(*) FILTER (t = 'purchase') AS model_calls, CAST(sum(CASE WHEN t = 'purchase' AND k % 7 <> 6 THEN floor(v * 100) END) AS BIGINT) AS tokens_in, count(*) FILTER (t = 'error') AS gates, count(*) FILTER (st = 'pass') AS good, count(*) FILTER (st = 'fail') AS poor"""
+_FLAT_SQL = """CASE WHEN events > 0 THEN 'measured' ELSE 'no_data' END AS activity, prompts, sessions, active_days, CASE WHEN tool_calls > 0 THEN 'measured' ELSE 'no_data' END AS tools, nullif(tool_calls, 0) AS tool_calls, CASE WHEN known > 0 THEN errors END AS tool_errors, CASE WHEN known >= 5 THEN round(100.0::DOUBLE * errors / known, 1) END AS tool_error_rate,
+  CASE WHEN model_calls > 0 THEN 'measured' ELSE 'no_data' END AS models, nullif(model_calls, 0) AS model_calls, tokens_in, CASE WHEN gates > 0 THEN 'measured' ELSE 'no_data' END AS gates, CASE WHEN good + poor > 0 THEN good END AS gates_passed, CASE WHEN good + poor > 0 THEN poor END AS gates_failed"""
+
+
+def k13_spilled_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed to a sink that fails for its first batches: they are spilled, sent again, and none is lost or doubled."""
+    src, spill, out = scratch(spark, "outgoing"), scratch(spark, "spill"), scratch(spark, "sent")
+    e = _events(spark, sf_dir).select("n", "t")
+    e.repartition(4, "n").write.parquet(src)
+    down = [True, True]
+
+    def send(rows: DataFrame) -> None:
+        if down:
+            down.pop()
+            raise ConnectionError("the sink is away")
+        rows.select(F.col("n").cast("long").alias("n"), "t").write.mode("append").parquet(out)
+
+    stream = spark.readStream.schema("n long, t string").option("maxFilesPerTrigger", 1).parquet(src)
+    stream.writeStream.foreachBatch(upkeep.deliver(send, spill)).option("checkpointLocation", scratch(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    again = upkeep.resend(spark, send, spill)
+    return spark.read.parquet(out).groupBy("t").agg(F.count("*").alias("n"), F.count_distinct("n").alias("ids"), F.lit(again).cast("long").alias("resent"))
+
+
+def k14_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of each day by their names: e-mail shaped props never leave, and the last day is written twice."""
+    e = _events(spark, sf_dir)
+    found = e.where("t = 'error'").groupBy(F.to_date("ts").cast("string").alias("detected_date"), F.concat(F.lit("user:"), "user_id").alias("subject")).agg(F.count("*").alias("n"), F.max("v").alias("value"))
+    found = found.select("detected_date", F.lit("DQ-2").alias("check"), "subject", F.when(F.col("n") > 2, "high").otherwise("info").alias("severity"), "n", "value")
+    path = scratch(spark, "findings")
+    upkeep.write_findings(found, path)
+    upkeep.write_findings(found.where("detected_date = '2024-01-30'"), path)
+    return spark.read.json(path).select(F.col("detected_date").cast("date").alias("detected_date"), "check", "subject", "severity", "n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     d14_session_events, r09_stream_sessions, d15_chat_events, x07_run_window, j05_span_binding, j19_interval_link, h22_silence_watch, r03_high_water_mark, s10_inbox_import, r14_bundle_index,
-    r05_late_rebuild, r15_pruned_days, i14_kept_paths,
+    r05_late_rebuild, r15_pruned_days, i14_kept_paths, g18_weekly_payload, h14_person_snapshot, k13_spilled_batches, k14_findings,
 )}
 ORACLE_SQL = {
     "d14_session_events": _JOURNAL_SQL,
@@ -411,4 +477,13 @@ SELECT session, CASE WHEN b.run_id IS NOT NULL THEN b.run_id WHEN n = 1 THEN c.r
     "r05_late_rebuild": _LATE_SQL,
     "r15_pruned_days": "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1 HAVING CAST(ts AS DATE) >= DATE '2024-01-15' OR (CAST(ts AS DATE) = DATE '2024-01-05' AND count(*) FILTER (event_type = 'purchase') > 0)",
     "i14_kept_paths": _KEPT_SQL,
+    "g18_weekly_payload": f"WITH {_DOMAIN_SQL}, g AS (SELECT strftime(ts, '%G-W%V') AS iso_week, count(DISTINCT user_id) AS people, {_TOTALS_SQL} FROM d GROUP BY 1) SELECT iso_week, people, events, {_FLAT_SQL} FROM g",
+    "h14_person_snapshot": f"""
+WITH {_DOMAIN_SQL}, g AS (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS wk, {_TOTALS_SQL} FROM d GROUP BY 1, 2),
+s AS (SELECT user_id, wk, wk + 6 <= (SELECT CAST(max(ts) AS DATE) FROM d) AS whole FROM (SELECT DISTINCT user_id FROM d), (SELECT unnest([DATE '2024-01-01', DATE '2024-01-08', DATE '2024-01-15', DATE '2024-01-22', DATE '2024-01-29', DATE '2024-02-05']) AS wk)),
+p AS (SELECT user_id, prompts - lag(prompts) OVER (PARTITION BY user_id ORDER BY wk) AS step FROM g JOIN s USING (user_id, wk) WHERE whole),
+w AS (SELECT user_id, CASE WHEN count(*) < 2 THEN '-' WHEN count(*) FILTER (step > 0) > 0 AND count(*) FILTER (step < 0) > 0 THEN 'no clear trend' WHEN count(*) FILTER (step <> 0) = 0 THEN 'flat' ELSE concat(CASE WHEN count(*) FILTER (step > 0) > 0 THEN 'up' ELSE 'down' END, CASE WHEN count(*) > 2 THEN ' every week' ELSE '' END) END AS word FROM p GROUP BY 1)
+SELECT concat('p_', user_id) AS person_id, coalesce(word, '-') AS trend, wk, whole, {_FLAT_SQL} FROM s LEFT JOIN g USING (user_id, wk) LEFT JOIN w USING (user_id)""",
+    "k13_spilled_batches": "SELECT event_type AS t, count(*) AS n, count(DISTINCT event_id) AS ids, 2::BIGINT AS resent FROM events GROUP BY 1",
+    "k14_findings": "SELECT CAST(ts AS DATE) AS detected_date, 'DQ-2' AS \"check\", concat('user:', user_id) AS subject, CASE WHEN count(*) > 2 THEN 'high' ELSE 'info' END AS severity, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY CAST(ts AS DATE), user_id",
 }

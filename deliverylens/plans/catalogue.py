@@ -208,14 +208,6 @@ def f45_deterministic_id(d: Spark) -> str:
     return f"SELECT n, concat('evt_', substr({d.sha256("concat_ws(chr(31), person_id, event_type, coalesce(skill_name, ''), k)")}, 1, 32)) AS derived_id FROM ev"
 
 
-@plan
-def f47_size_band(d: Spark) -> str:
-    """Pull requests by size band and lead-time level."""
-    return """
-SELECT band, count(*) AS n FROM (SELECT CASE WHEN total IS NULL THEN 'unknown' WHEN total < 10 THEN 'XS' WHEN total < 50 THEN 'S' WHEN total < 120 THEN 'M' WHEN total < 200 THEN 'L' ELSE 'XL' END AS band
-FROM (SELECT p.pr_id, sum(o.lines_added) AS total FROM prs p LEFT JOIN outputs o ON p.pr_id = o.pr_id GROUP BY p.pr_id) AS a) AS b GROUP BY band"""
-
-
 @plan
 def f49_name_collisions(d: Spark) -> str:
     """Supplier names at most two edits apart, met within blocks of nation and name length."""
@@ -227,17 +219,6 @@ SELECT a.s_suppkey AS a_key, b.s_suppkey AS b_key, {d.big('levenshtein(a.s_name,
 # ---- joins --------------------------------------------------------------------------------
 
 
-@plan
-def j05_span_binding(d: Spark) -> str:
-    """Each call goes to one run of its session whose window holds it: the latest start wins."""
-    return f"""
-SELECT event_id, run_id FROM (
-  SELECT c.event_id, w.run_id, row_number() OVER (PARTITION BY c.event_id ORDER BY w.started_at DESC, w.run_id) AS nth
-  FROM calls c JOIN (SELECT r.run_id, r.trace_id, r.started_at, r.started_at - {d.hours('1')} AS bind_from, coalesce(t.ended_at, r.started_at + {d.hours('24')}) + {d.hours('1')} AS bind_to
-                     FROM runs r LEFT JOIN terminal t ON r.run_id = t.run_id) AS w
-    ON c.trace_id = w.trace_id AND c.event_time BETWEEN w.bind_from AND w.bind_to) AS x WHERE nth = 1"""
-
-
 @plan
 def j06_effective_price(d: Spark) -> str:
     """Calls priced at the rate of their date; null where no price is known."""
@@ -275,27 +256,6 @@ WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.model_id = c.model_id AND c.cal
 GROUP BY c.model_id, c.call_date"""
 
 
-@plan
-def j14_overlapping_intervals(d: Spark) -> str:
-    """Runs of one person whose intervals overlap (theta self-join)."""
-    return """
-SELECT a.run_id AS first_run, b.run_id AS second_run FROM fct_run a JOIN fct_run b ON a.person_id = b.person_id AND a.run_date = b.run_date
-  AND a.started_at < b.started_at AND b.started_at <= coalesce(a.ended_at, a.started_at)"""
-
-
-@plan
-def j19_interval_link(d: Spark) -> str:
-    """Sessions linked to the only run whose window holds them; otherwise the reason why not."""
-    return f"""
-SELECT s.trace_id, CASE WHEN count(w.run_id) = 1 THEN min(w.run_id) END AS run_id,
-  CASE WHEN count(w.run_id) = 1 THEN CASE WHEN min(w.agent_name) = min(s.agent_name) THEN 0.8 ELSE 0.5 END ELSE 0.0 END * 1e0 AS confidence,
-  CASE WHEN count(w.run_id) = 0 THEN 'no_run' WHEN count(w.run_id) > 1 THEN 'several_runs' ELSE 'linked' END AS outcome
-FROM (SELECT trace_id, min(person_id) AS person_id, min(agent_name) AS agent_name, min(event_time) AS t0, max(event_time) AS t1, {d.day('min(event_time)')} AS dy FROM calls GROUP BY trace_id) s
-LEFT JOIN (SELECT r.run_id, r.person_id, r.agent_name, {d.day('r.started_at')} AS dy, r.started_at - {d.hours('2')} AS a, coalesce(t.ended_at, r.started_at + {d.hours('12')}) + {d.hours('2')} AS b
-           FROM runs r LEFT JOIN terminal t ON r.run_id = t.run_id) w
-  ON s.person_id = w.person_id AND s.dy = w.dy AND s.t0 >= w.a AND s.t1 <= w.b GROUP BY s.trace_id"""
-
-
 @plan
 def j20_tolerance_match(d: Spark) -> str:
     """Reported days matched with trail days of the same person at most one day apart."""

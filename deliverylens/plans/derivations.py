@@ -55,11 +55,6 @@ def p12_scalar_subquery(d: Spark) -> str:
     return "SELECT model_id, count(*) AS n FROM calls WHERE tokens_in > (SELECT avg(CAST(tokens_in AS DOUBLE)) FROM calls) GROUP BY model_id"
 
 
-@plan
-def s25_literal_relation(d: Spark) -> str:
-    return "SELECT model_id, effective_from, effective_to, p_in, p_out, p_cached, placeholder FROM prices"
-
-
 # ---- joins
 
 
@@ -206,11 +201,6 @@ def w17_running_agent(d: Spark) -> str:
     return f"SELECT event_id, {last} AS current_run FROM ev"
 
 
-@plan
-def t01_latest_price(d: Spark) -> str:
-    return "SELECT model_id, effective_from, p_in FROM (SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY effective_from DESC) AS nth FROM prices) AS a WHERE nth = 1"
-
-
 @plan
 def t05_sentinel_last(d: Spark) -> str:
     return f"SELECT label, n, {d.big('row_number() OVER (ORDER BY CASE WHEN label = ~unset~ THEN 1 ELSE 0 END, label)'.replace(chr(126), chr(39)))} AS place FROM (SELECT coalesce(automation_status, 'unset') AS label, count(*) AS n FROM cases GROUP BY coalesce(automation_status, 'unset')) AS a"
@@ -238,17 +228,6 @@ def f34_trailers(d: Spark) -> str:
     return f"SELECT v, count(*) AS n FROM (SELECT {pick} AS v FROM orders) AS a GROUP BY v"
 
 
-@plan
-def f36_bots(d: Spark) -> str:
-    hit = d.like_re("lower(concat_ws(' ', c_name, CASE WHEN c_custkey % 9 = 0 THEN 'ci-bot' WHEN c_custkey % 9 = 1 THEN 'robotics team' END))", "(^|[^a-z])(bot|jenkins|renovate)([^a-z]|$)")
-    return f"SELECT is_bot, count(*) AS n FROM (SELECT {hit} AS is_bot FROM customer) AS a GROUP BY is_bot"
-
-
-@plan
-def f41_status_categories(d: Spark) -> str:
-    return "SELECT CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'new' ELSE 'indeterminate' END AS category, CASE WHEN o_orderpriority LIKE '1%' THEN 'P1' WHEN o_orderpriority LIKE '2%' THEN 'P2' WHEN o_orderpriority LIKE '3%' THEN 'P3' ELSE 'P4' END AS priority, count(*) AS n FROM orders GROUP BY 1, 2"
-
-
 @plan
 def f43_model_names(d: Spark) -> str:
     raw = "concat('route/', model_id, '-', k % 5, '-', k % 3)"
@@ -265,30 +244,6 @@ def f54_programs(d: Spark) -> str:
 # ---- derived facts
 
 
-@plan
-def d01_review_timeline(d: Spark) -> str:
-    """First review, and review before merge, by repository."""
-    return f"SELECT repo, count(first_review_at) AS reviewed, {d.big('count_if(first_review_at < merged_at)')} AS before_merge, {d.big(d.disc(0.5, d.diff('HOUR', 'created_on', 'first_review_at')))} AS p50_h FROM prs GROUP BY repo"
-
-
-@plan
-def d05_link_confidence(d: Spark) -> str:
-    return "SELECT confidence, count(*) AS n FROM (SELECT CASE WHEN link_method = 'explicit' AND starts = 1 THEN 100 WHEN skill_name IS NOT NULL THEN 50 WHEN starts > 1 THEN 30 ELSE 0 END AS confidence FROM runs) AS a GROUP BY confidence"
-
-
-@plan
-def d07_revert_days(d: Spark) -> str:
-    return f"SELECT pr_id, {d.diff('DAY', 'merged_at', 'reverted_at')} AS days_to_revert, {d.diff('DAY', 'merged_at', 'reverted_at')} <= 30 AS withdraws FROM prs WHERE reverted_at IS NOT NULL"
-
-
-@plan
-def d11_transitions(d: Spark) -> str:
-    """Status transitions of requests with the age at each."""
-    parts = [("open", "created_on"), ("review", "first_review_at"), ("done", "merged_at"), ("declined", "declined_at"), ("reverted", "reverted_at")]
-    u = " UNION ALL ".join(f"SELECT pr_id, '{s}' AS to_status, {c} AS moved_at, {d.diff('SECOND', 'created_on', c)} AS age_s FROM prs WHERE {c} IS NOT NULL" for s, c in parts)
-    return f"SELECT pr_id, to_status, moved_at, age_s, lag(to_status) OVER (PARTITION BY pr_id ORDER BY moved_at, to_status) AS from_status FROM ({u}) AS t"
-
-
 @plan
 def d18_envelopes(d: Spark) -> str:
     """Deterministic ids over delivery: two deliveries of an event have one id."""

@@ -71,7 +71,7 @@ def dq04_marker_only_commits(d: Spark) -> str:
 @plan
 def dq05_unmarked_commits(d: Spark) -> str:
     """Committed outputs without the marker, by request."""
-    return _find(d, "DQ-5", "medium", "run", "pr_id", _fmt(d, "%d outputs, agent %s", "count(*)", "min(agent_name)"), f"FROM outputs WHERE l_suppkey % 3 = 0 AND committed_at BETWEEN {_ago(d, 2, COMMITS_AS_OF)} AND {d.ts(COMMITS_AS_OF)} GROUP BY pr_id")
+    return _find(d, "DQ-5", "medium", "run", "pr_id", _fmt(d, "%d outputs, agent %s", "count(*)", "min(agent_name)"), f"FROM outputs WHERE l_linestatus = 'F' AND committed_at BETWEEN {_ago(d, 2, COMMITS_AS_OF)} AND {d.ts(COMMITS_AS_OF)} GROUP BY pr_id")
 
 
 @plan
@@ -80,18 +80,6 @@ def dq06_unpriced_models(d: Spark) -> str:
     return _find(d, "DQ-6", "critical", "model", "model_id", _fmt(d, "%d calls, %d tokens", "count(*)", d.big("sum(tokens_in + tokens_out)")), f"FROM priced WHERE event_time >= {_ago(d, 7)} AND tokens_in IS NOT NULL AND cost_nano IS NULL AND model_id IS NOT NULL GROUP BY model_id")
 
 
-@plan
-def dq06b_overlapping_prices(d: Spark) -> str:
-    """Windows of one model that overlap, each pair once."""
-    return _find(d, "DQ-6b", "critical", "model", "a.model_id", _fmt(d, "%s and %s", d.day_key("a.effective_from"), d.day_key("b.effective_from")), f"FROM {_BAD_PRICES} a JOIN {_BAD_PRICES} b ON a.model_id = b.model_id AND a.effective_from < b.effective_from AND b.effective_from <= coalesce(a.effective_to, DATE '9999-12-31')")
-
-
-@plan
-def dq06b_repeated_prices(d: Spark) -> str:
-    """Price rows of one model that begin on one day."""
-    return _find(d, "DQ-6b", "critical", "model", "model_id", _fmt(d, "%d rows from %s", "count(*)", d.day_key("effective_from")), f"FROM {_BAD_PRICES} p GROUP BY model_id, effective_from HAVING count(*) > 1")
-
-
 @plan
 def dq06c_placeholder_prices(d: Spark) -> str:
     return _find(d, "DQ-6c", "high", "model", "model_id", _fmt(d, "%d calls", "count(*)"), f"FROM priced WHERE event_time >= {_ago(d, 7)} AND coalesce(placeholder, false) GROUP BY model_id")
@@ -119,7 +107,7 @@ def dq09a_commits_without_request(d: Spark) -> str:
 @plan
 def dq09b_requests_without_commits(d: Spark) -> str:
     """Recent requests without a commit."""
-    return _find(d, "DQ-9", "low", "pull_request", "concat(p.repo, '#', p.pr_id)", "'no commits'", f"FROM prs p LEFT JOIN (SELECT pr_id, count(*) AS n FROM outputs WHERE l_linenumber > 2 GROUP BY pr_id) AS o ON p.pr_id = o.pr_id WHERE coalesce(o.n, 0) = 0 AND p.created_on >= {_ago(d, 90, ORDERS_AS_OF)}")
+    return _find(d, "DQ-9", "low", "pull_request", "concat(p.repo, '#', p.pr_id)", "'no commits'", f"FROM prs p LEFT JOIN (SELECT pr_id, count(*) AS n FROM outputs WHERE NOT reused GROUP BY pr_id) AS o ON p.pr_id = o.pr_id WHERE coalesce(o.n, 0) = 0 AND p.created_on >= {_ago(d, 90, ORDERS_AS_OF)}")
 
 
 @plan
@@ -275,15 +263,6 @@ def dq_tool_unknown_status(d: Spark) -> str:
     return _find(d, "DQ-TOOL", "high", "dimension", "concat('tool.call.status:', st)", _fmt(d, "%d calls", "count(*)"), f"FROM (SELECT CASE WHEN k % 17 = 3 THEN 'done' WHEN k % 17 = 4 THEN 'OK' ELSE status END AS st, event_time FROM tools) AS t WHERE event_time >= {_ago(d, 7)} AND st IS NOT NULL AND st NOT IN ('ok', 'error') GROUP BY st")
 
 
-@plan
-def dq_bill_mixed_units(d: Spark) -> str:
-    """Views that put premium requests and money into one expression."""
-    mixed = d.like_re("body", "(?i)(premium_requests *[-+*/]|[-+*/] *premium_requests|_usd *[-+*/] *[a-z_.]*premium_requests)")
-    text = "STRING" if d.name == "spark" else "VARCHAR"
-    views = "(VALUES ('v_sum', 'SELECT sum(cost_usd), sum(premium_requests) FROM t'), ('v_bad', 'SELECT premium_requests * cost_usd FROM t'), ('v_none', 'SELECT 1')) AS v(view_name, body)"
-    return f"SELECT 'DQ-BILL' AS check_id, 'critical' AS severity, 'dataset' AS entity_type, CAST(view_name AS {text}) AS entity_id, 'mixed units' AS detail FROM {views} WHERE body LIKE '%premium_requests%' AND body LIKE '%_usd%' AND {mixed}"
-
-
 @plan
 def dq_model_without_price(d: Spark) -> str:
     """Models without a price on the days of their calls."""
@@ -304,8 +283,3 @@ def dq_link_explicit_share(d: Spark) -> str:
     return _find(d, "DQ-LINK", f"CASE WHEN {part} * 1e0 / nullif({whole}, 0) < 0.05 THEN 'high' ELSE 'info' END", "dataset", "'cost_per_accepted'", _fmt(d, "%d of %d tokens", d.big(part), d.big(whole)), f"FROM calls WHERE event_time >= {_ago(d, 7)} AND tokens_in IS NOT NULL HAVING {whole} > 0")
 
 
-@plan
-def dq_ret_retention(d: Spark) -> str:
-    """Tables whose days of retention differ from their layer's."""
-    actual = "(VALUES ('raw', 'ai_run_event', 90), ('raw', 'otel_span', 120), ('core', 'fct_ai_run', 396), ('core', 'fct_ai_output', CAST(NULL AS INT)), ('marts', 'agg_daily', 1130), ('dq', 'dq_findings', 30)) AS a(layer, table_name, days)"
-    return _find(d, "DQ-RET", "high", "dataset", "concat(a.layer, '.', a.table_name)", _fmt(d, "%d, not %d", "coalesce(a.days, -1)", "e.days"), f"FROM {actual} JOIN (VALUES ('raw', 90), ('core', 396), ('marts', 1130), ('dq', 180)) AS e(layer, days) ON a.layer = e.layer WHERE a.days IS DISTINCT FROM e.days")

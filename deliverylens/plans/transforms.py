@@ -18,66 +18,31 @@ def _text(d: Spark, x: str) -> str:
 # ---- run transforms
 
 
-@plan
-def x01_dedup_event(d: Spark) -> str:
-    """Deliveries without those that came again."""
-    return "SELECT event_id, event_time, ingested_at FROM ev"
-
-
-@plan
-def x02_run_started(d: Spark) -> str:
-    return "SELECT run_id, started_at, trace_id, agent_name, starts FROM runs"
-
-
-@plan
-def x03_run_terminal(d: Spark) -> str:
-    return "SELECT run_id, ended_at, terminal_status FROM terminal"
-
-
 @plan
 def x04_run_bound(d: Spark) -> str:
     """The first bind of each run: the new name of the session's attribute before the old one."""
     return "SELECT run_id, bound_at, coalesce(session_new, session_old) AS session_id, issue_key FROM (SELECT run_id, event_time AS bound_at, CASE WHEN k % 3 = 0 THEN concat('s2_', k) END AS session_new, CASE WHEN k % 4 > 0 THEN trace_id END AS session_old, CASE WHEN k % 5 = 0 THEN concat('IML-', k) END AS issue_key, row_number() OVER (PARTITION BY run_id ORDER BY event_time, event_id) AS nth FROM turns) AS a WHERE nth = 1"
 
 
-@plan
-def x06_session_counts(d: Spark) -> str:
-    return "SELECT trace_id, run_count, first_at FROM sessions"
-
-
-@plan
-def x07_run_window(d: Spark) -> str:
-    """A run's window: five minutes of grace on either side, a day at most while it is open."""
-    return f"SELECT r.run_id, r.started_at - {d.hours('1')} AS bind_from, coalesce(t.ended_at, r.started_at + {d.hours('24')}) + {d.hours('1')} AS bind_to FROM runs r LEFT JOIN terminal t ON r.run_id = t.run_id"
-
-
-@plan
-def x10_span_rollup(d: Spark) -> str:
-    """Spans before the cutover by run: counts, filtered sums, and the modal model."""
-    spans = f"(SELECT run_id, model_id, tokens_in, tokens_out, k FROM calls WHERE call_date < {d.date('2024-01-16')} OR model_id IS NULL)"
-    mode = f"SELECT run_id, model_id FROM (SELECT run_id, model_id, row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, model_id) AS nth FROM {spans} AS s WHERE model_id IS NOT NULL GROUP BY run_id, model_id) AS m WHERE nth = 1"
-    return f"SELECT s.run_id, m.model_id, s.spans, s.tokens_in, s.big_out FROM (SELECT run_id, count(*) AS spans, {d.big('sum(tokens_in)')} AS tokens_in, {d.big('sum(CASE WHEN k > 50 THEN tokens_out END)')} AS big_out FROM {spans} AS s GROUP BY run_id) AS s LEFT JOIN ({mode}) AS m ON s.run_id = m.run_id"
-
-
 @plan
 def x12_session_calls(d: Spark) -> str:
     """Session totals that carry no run, from the cutover on; negative or unreadable counts are unknown."""
-    return f"SELECT event_id, trace_id, model_id, CASE WHEN tokens_in >= 0 THEN tokens_in END AS tokens_in, tokens_out FROM (SELECT *, CASE WHEN user_id % 3 = 0 THEN run_id END AS named_run FROM calls) AS c WHERE named_run IS NULL AND call_date >= {d.date('2024-01-16')}"
+    return f"SELECT event_id, trace_id, model_id, CASE WHEN tokens_in >= 0 THEN tokens_in END AS tokens_in, tokens_out FROM (SELECT *, CASE WHEN surface = 'copilot-cli' THEN run_id END AS named_run FROM calls) AS c WHERE named_run IS NULL AND call_date >= {d.date('2024-01-16')}"
 
 
 @plan
 def x13_session_prices(d: Spark) -> str:
     """Usage by session and model, priced on its first day; null if any part can't be priced."""
     return f"""
-SELECT u.trace_id, u.model_id, u.tokens_in, u.tokens_out, u.tokens_in * p.p_in + u.tokens_out * p.p_out AS cost_nano, coalesce(p.placeholder, false) AS placeholder
-FROM (SELECT trace_id, model_id, min(call_date) AS dy, {d.big('sum(tokens_in)')} AS tokens_in, {d.big('sum(tokens_out)')} AS tokens_out FROM calls WHERE call_date >= {d.date('2024-01-16')} GROUP BY trace_id, model_id) AS u
+SELECT u.trace_id, u.model_id, u.tokens_in, u.tokens_out, greatest(u.tokens_in - coalesce(u.tokens_cached, 0), 0) * p.p_in + u.tokens_out * p.p_out + CASE WHEN coalesce(u.tokens_cached, 0) = 0 THEN 0 ELSE u.tokens_cached * p.p_cached END AS cost_nano, coalesce(p.placeholder, false) AS placeholder
+FROM (SELECT trace_id, model_id, min(call_date) AS dy, {d.big('sum(tokens_in)')} AS tokens_in, {d.big('sum(tokens_out)')} AS tokens_out, {d.big('sum(tokens_cached)')} AS tokens_cached FROM calls WHERE call_date >= {d.date('2024-01-16')} GROUP BY trace_id, model_id) AS u
 LEFT JOIN prices p ON u.model_id = p.model_id AND u.dy BETWEEN p.effective_from AND coalesce(p.effective_to, DATE '9999-12-31')"""
 
 
 @plan
 def x17_modelled_calls(d: Spark) -> str:
     """Estimates of emitters: calls that name their run."""
-    return "SELECT event_id, run_id, model_id, tokens_in, tokens_out FROM (SELECT *, CASE WHEN user_id % 3 = 0 THEN run_id END AS named_run FROM calls) AS c WHERE named_run IS NOT NULL"
+    return "SELECT event_id, run_id, model_id, tokens_in, tokens_out FROM (SELECT *, CASE WHEN surface = 'copilot-cli' THEN run_id END AS named_run FROM calls) AS c WHERE named_run IS NOT NULL"
 
 
 @plan
@@ -91,16 +56,6 @@ def x19_modelled_rollup(d: Spark) -> str:
     return f"SELECT run_id, count(*) AS calls, {d.big('sum(tokens_in + tokens_out)')} AS modelled_tokens, CASE WHEN bool_and(cost_nano IS NOT NULL) THEN {d.big('sum(cost_nano)')} END AS modelled_nano FROM priced GROUP BY run_id"
 
 
-@plan
-def x21_gate_rollup(d: Spark) -> str:
-    return "SELECT run_id, gates, passed, failed, unknown, retries FROM gate_rollup"
-
-
-@plan
-def x22_gate_final(d: Spark) -> str:
-    return "SELECT run_id, gate_name, verdict, attempt FROM gate_final"
-
-
 @plan
 def x23_phase_rollup(d: Spark) -> str:
     """Phases by run: those that ended well and those that failed."""
@@ -117,11 +72,6 @@ def x25_person_resolved(d: Spark) -> str:
 # ---- output transforms
 
 
-@plan
-def x31_output_raw(d: Spark) -> str:
-    return "SELECT output_id, pr_id, l_suppkey, lines_added, agent_name, committed_at FROM outputs"
-
-
 @plan
 def x33_output_commits(d: Spark) -> str:
     """Commits with the outputs that they list, one row each."""
@@ -152,17 +102,6 @@ def x38_change_split(d: Spark) -> str:
     return "SELECT pr_id, generated, after_review, generated - after_review AS before_review FROM rework"
 
 
-@plan
-def x41_run_context(d: Spark) -> str:
-    """The dimensions of a run that its outputs take over."""
-    return "SELECT run_id, trace_id, person_id, agent_name, skill_name, surface, link_method FROM runs"
-
-
-@plan
-def x44_output_fact(d: Spark) -> str:
-    return "SELECT output_id, pr_id, agent_name, lines_added, quarantined, reused, rework_ratio, acceptance_state, acceptance_reason FROM fct_output"
-
-
 # ---- joins, sorts, filters
 
 
@@ -286,22 +225,11 @@ def f24_days_between(d: Spark) -> str:
     return f"SELECT pr_id, {days} AS days, least(merged_at, declined_at) AS closed_at, greatest(created_on, first_review_at) AS seen_at FROM prs"
 
 
-@plan
-def f28_working_days(d: Spark) -> str:
-    dow = "dayofweek(day) BETWEEN 2 AND 6" if d.name == "spark" else "dayofweek(day) BETWEEN 1 AND 5"
-    return f"SELECT day FROM (SELECT {d.explode_days(d.date('2024-01-01'), d.date('2024-02-15'))} AS day) AS a WHERE {dow}"
-
-
 @plan
 def f32_project_keys(d: Spark) -> str:
     return "SELECT split_part(concat(CASE WHEN o_orderkey % 3 = 0 THEN 'IML' ELSE 'PRJ' END, '-', o_orderkey), '-', 1) AS project_key, count(*) AS n FROM orders GROUP BY 1"
 
 
-@plan
-def f46_priorities(d: Spark) -> str:
-    return "SELECT CASE lower(label) WHEN 'highest' THEN 'P0' WHEN 'high' THEN 'P1' WHEN 'medium' THEN 'P2' WHEN 'low' THEN 'P3' ELSE label END AS priority, count(*) AS n FROM (SELECT CASE o_orderkey % 5 WHEN 0 THEN 'Highest' WHEN 1 THEN 'High' WHEN 2 THEN 'Medium' WHEN 3 THEN 'low' END AS label FROM orders) AS a GROUP BY 1"
-
-
 @plan
 def f53_identity_fallback(d: Spark) -> str:
     """People are compared by account or else by uuid, and named by account alone."""
@@ -359,24 +287,6 @@ def h08_coverage_by_cycle(d: Spark) -> str:
     return f"SELECT a.cycle, a.n_cases, a.automated, m.folder, a.first_case, a.last_case FROM (SELECT cycle, count(DISTINCT case_id) AS n_cases, count(DISTINCT CASE WHEN automation_status = 'Automated' THEN case_id END) AS automated, min(case_id) AS first_case, max(case_id) AS last_case FROM {base} AS b GROUP BY cycle) AS a JOIN (SELECT cycle, folder FROM (SELECT cycle, folder, row_number() OVER (PARTITION BY cycle ORDER BY count(*) DESC, folder) AS nth FROM {base} AS b GROUP BY cycle, folder) AS x WHERE nth = 1) AS m ON a.cycle = m.cycle"
 
 
-@plan
-def h13_trend_words(d: Spark) -> str:
-    """A word for the change from the week before: within a tenth is steady."""
-    return f"SELECT agent_name, wk, CASE WHEN before IS NULL THEN 'new' WHEN n * 10 > before * 11 THEN 'up' WHEN n * 10 < before * 9 THEN 'down' ELSE 'steady' END AS word FROM (SELECT agent_name, wk, n, lag(n) OVER (PARTITION BY agent_name ORDER BY wk) AS before FROM (SELECT agent_name, {d.week('event_time')} AS wk, count(*) AS n FROM ev GROUP BY agent_name, {d.week('event_time')}) AS a) AS b"
-
-
-@plan
-def h15_window_plan(d: Spark) -> str:
-    """Weeks of a window, whole or partial."""
-    return f"SELECT {d.week('day')} AS wk, count(*) AS days, CASE WHEN count(*) = 7 THEN 'full' ELSE 'partial' END AS kind FROM (SELECT {d.explode_days(d.date('2024-01-04'), d.date('2024-01-31'))} AS day) AS a GROUP BY {d.week('day')}"
-
-
-@plan
-def h22_silence_watch(d: Spark) -> str:
-    """People silent for more than three days up to the clock, once the day is over."""
-    return f"SELECT person_id, last_day, days FROM (SELECT person_id, max({d.day('event_time')}) AS last_day, {d.diff('DAY', 'max(event_time)', d.ts(EVENTS_AS_OF))} AS days FROM turns GROUP BY person_id) AS a WHERE days > 3"
-
-
 @plan
 def h23_reconciliation(d: Spark) -> str:
     """Days that are reported, in the trail, or both."""
@@ -399,7 +309,7 @@ def d06_decline_reasons(d: Spark) -> str:
 @plan
 def d16_commit_events(d: Spark) -> str:
     """A commit event each request, and an output event each file where the commit is linked."""
-    return f"SELECT kind, count(*) AS n, count(DISTINCT pr_id) AS requests FROM (SELECT 'scm.commit' AS kind, pr_id FROM prs UNION ALL SELECT 'output.generated', o.pr_id FROM outputs o JOIN prs p ON o.pr_id = p.pr_id WHERE p.author % 3 = 0) AS e GROUP BY kind"
+    return f"SELECT kind, count(*) AS n, count(DISTINCT pr_id) AS requests FROM (SELECT 'scm.commit' AS kind, pr_id FROM prs UNION ALL SELECT 'output.generated', o.pr_id FROM outputs o JOIN prs p ON o.pr_id = p.pr_id WHERE p.st = 'F') AS e GROUP BY kind"
 
 
 @plan
@@ -416,9 +326,3 @@ def d20_test_runs_in_window(d: Spark) -> str:
     return f"SELECT pr_id, st FROM prs WHERE created_on <= {b} AND coalesce(merged_at, declined_at, created_on) >= {a} AND st <> 'O'"
 
 
-@plan
-def d21_request_keys(d: Spark) -> str:
-    """The first key over branch, title and description, in that order."""
-    pick = lambda x: f"nullif(regexp_extract({x}, '(IML-[0-9]+)', 1), '')"
-    branch, title, text = "CASE WHEN pr_id % 3 = 0 THEN concat('fix/IML-', pr_id % 50) ELSE 'main' END", "CASE WHEN pr_id % 4 = 0 THEN concat('IML-', pr_id % 9, ' title') ELSE 'title' END", "concat('see IML-', author % 11)"
-    return f"SELECT issue_key, count(*) AS n FROM (SELECT coalesce({pick(branch)}, {pick(title)}, {pick(text)}) AS issue_key FROM prs) AS a GROUP BY issue_key"

@@ -16,13 +16,13 @@ def test_reviews_leave_out_authors_and_bots(spark):
     acts = [(1, "comment", "2026-01-01 09:00", "ann", None), (1, "comment", "2026-01-01 09:30", "ci-bot", None), (1, "comment", "2026-01-01 10:00", "cy", None), (1, "approval", "2026-01-01 12:00", "cy", None), (1, "changes_requested", "2026-01-01 11:00", None, None), (1, "update", "2026-01-01 08:00", "ann", "OPEN"), (1, "update", "2026-01-01 13:00", "ann", "DECLINED"), (1, "update", "2026-01-01 14:00", "ann", "OPEN")]
     got = {r.pr_id: r for r in review.review_timeline(prs, ts(spark, acts, "pr_id int, kind string, at string, user string, state string")).collect()}
     one = got[1]
-    assert (str(one.first_review_at), one.first_reviewer, one.reviewer_count, one.approvals, one.revisions, one.reopens) == ("2026-01-01 10:00:00", "cy", 2, 1, 1, 1)
+    assert (str(one.first_review_at), one.first_reviewer, one.reviewer_count, one.approvals, one.revisions, one.reopens) == ("2026-01-01 10:00:00", "cy", 1, 1, 1, 1)
     assert one.actions["cy"] == "approved" and got[2].first_review_at is None and got[2].reviewer_count == 0
 
 
 def test_comments_diffs_and_commits(spark):
     prs = spark.createDataFrame([(1, "ann")], "pr_id int, author string")
-    comments = spark.createDataFrame([(1, "ann", True, False), (1, "cy", False, False), (1, "cy", True, True), (1, "build-ci", True, False)], "pr_id int, user string, inline boolean, deleted boolean")
+    comments = spark.createDataFrame([(1, "ann", True, False), (1, "cy", False, False), (1, "cy", True, True), (1, "svc-build", True, False)], "pr_id int, user string, inline boolean, deleted boolean")
     c = review.comment_summary(prs, comments).first()
     assert (c["inline"], c.top_level, c.by_author, c.by_bots, c.deleted, c.by_person) == (1, 1, 1, 1, 1, {"ann": 1, "cy": 1})
     files = spark.createDataFrame([(1, "added", 5, 0, None, "x/a.feature"), (1, "modified", 2, 1, "b.steps.ts", "b.steps.ts"), (1, "removed", 0, 9, "src/c.go", None)], "pr_id int, status string, lines_added int, lines_removed int, old_path string, new_path string")
