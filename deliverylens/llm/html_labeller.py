@@ -1,8 +1,9 @@
 """HTML main-text extraction by a recurrent block labeller.
 
 A page is cut into leaf blocks (text between block-level tags). Each block is a
-vector of its hashed tag path (names, classes, ids), its hashed words and a few
-counts; a bidirectional LSTM in numpy reads the page's blocks in order and
+vector of its hashed tag path, its hashed words and a few counts. Of the path it says
+which tags, classes and ids are open, not how often: containers without a name
+(div and the like) say nothing, so that wrappers of any depth change nothing; a bidirectional LSTM in numpy reads the page's blocks in order and
 labels each as article or not, so that a block's verdict draws on the whole
 page. The network is trained here, on pages from a template generator whose
 labels are known.
@@ -28,19 +29,21 @@ from pyspark.sql import functions as F
 from . import words as W
 from .session import workers_import_this
 
-PATH_DIM, WORD_DIM, COUNTS = 256, 16, 6
+PATH_DIM, WORD_DIM, COUNTS = 512, 16, 6
 DIM = PATH_DIM + WORD_DIM + COUNTS
 HIDDEN = 16
-TRAIN_PAGES, EPOCHS, SEED = 1500, 12, 5
+TRAIN_PAGES, EPOCHS, SEED = 1600, 10, 5
 #: Blocks of a long page that are in memory as vectors at once.
 PIECE = 4096
-#: Tags of a path that speak: of a deeper one the outermost and the innermost half of so many.
-PATH_TAGS = 64
+#: Tags that only hold others, whatever their number.
+PLAIN_TAGS = frozenset("html body div span".split())
 
 #: Fixed values of HTML: elements that end a block, that have no content, and whose content is no markup.
 BLOCK_TAGS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noscript template iframe svg".split())
+RAW_TAGS = frozenset("script style textarea title template iframe svg math".split())
+#: Elements of other vocabularies, which a slash before the > closes; on HTML elements it means nothing.
+FOREIGN_TAGS = frozenset("svg math".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NO_P = frozenset(BLOCK_TAGS - {"button", "option", "select", "iframe", "title", "head", "html", "body", "legend", "caption"})
 
@@ -52,7 +55,7 @@ _SPLIT = re.compile(r"[\s_-]+")
 
 
 class Block:
-    """A leaf: its open tags (name, words of class, id and role) and its text."""
+    """A leaf: the slots of its open tags and of their words of class, id and role, its text, and how much of it is links."""
 
     __slots__ = ("path", "text", "link")
 
@@ -124,20 +127,33 @@ def leaves(page: str | None) -> list[Block]:
     level: list[int] = []  # where block-level tags lie in the stack
     parts: list[str] = []
     links = at = 0
+    held = [0] * PATH_DIM  # how many open tags and names fall into each slot
+    path: tuple | None = ()
 
     def close_block() -> None:
-        nonlocal links
+        nonlocal links, path
         if parts:
             text = " ".join(htmllib.unescape("".join(parts)).split())
             if text:
-                half = PATH_TAGS // 2
-                out.append(Block(tuple(stack) if len(stack) <= PATH_TAGS else (*stack[:half], *stack[-half:]), text, links))
+                if path is None:
+                    path = tuple([k for k, n in enumerate(held) if n])
+                out.append(Block((*path, _slot("leaf<" + stack[-1][0])) if stack else path, text, links))
             parts.clear()
         links = 0
 
+    def count(name: str, names: tuple[str, ...], by: int) -> None:
+        nonlocal path
+        if name not in PLAIN_TAGS or names:
+            path = None
+            if name not in PLAIN_TAGS:
+                held[_slot("<" + name)] += by
+            for x in names:
+                held[_slot("." + x)] += by
+
     def pop(name: str) -> None:
         while stack:
-            top, _ = stack.pop()
+            top, names = stack.pop()
+            count(top, names, -1)
             depth[top] -= 1
             if top in BLOCK_TAGS:
                 level.pop()
@@ -171,7 +187,7 @@ def leaves(page: str | None) -> list[Block]:
                     pop("p")
                 while level and stack[level[-1]][0] in _CLOSES.get(name, ()):
                     pop(stack[level[-1]][0])
-            alone = attrs.rstrip().endswith("/")
+            alone = name in FOREIGN_TAGS and attrs.rstrip().endswith("/")
             if name in RAW_TAGS and not alone:
                 close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = jump = close.end() if close else len(page)
@@ -179,6 +195,7 @@ def leaves(page: str | None) -> list[Block]:
                 if name in BLOCK_TAGS:
                     level.append(len(stack))
                 stack.append((name, _names(attrs) if attrs else ()))
+                count(*stack[-1], 1)
                 depth[name] = depth.get(name, 0) + 1
         try:
             tag = tags.send(jump)
@@ -198,13 +215,8 @@ def _slot(token: str) -> int:
 @lru_cache(maxsize=16384)
 def _path_vector(path: tuple) -> np.ndarray:
     v = np.zeros(PATH_DIM, dtype=np.float32)
-    for name, names in path:
-        v[_slot("<" + name)] += 1.0
-        for x in names:
-            v[_slot("." + x)] += 1.0
-    if path:
-        v[_slot("leaf<" + path[-1][0])] += 1.0
-    return np.minimum(v, 2.0)
+    v[list(path)] = 1.0
+    return v
 
 
 def features(blocks: list[Block], at: int = 0, total: int | None = None, longest: int | None = None) -> np.ndarray:
@@ -349,6 +361,8 @@ class PageMaker:
         "share": ("div", "share social sharing tools toolbar pagination pager tags meta"),
     }
     INSIDE = "content article post entry story body main text prose page wrap container inner"
+    #: What containers are called that say nothing of what they hold.
+    WRAP = "container row col wrapper wrap inner outer grid layout page site content main body section block holder box column flex"
 
     def __init__(self, seed: int):
         self.r = np.random.default_rng(seed)
@@ -362,13 +376,29 @@ class PageMaker:
 
     def _attrs(self, names: str) -> str:
         pool = names.split()
-        if self.r.random() < 0.15:
+        if self.r.random() < 0.06:
             pool = [str(self.r.choice(self.words))]
         picked = "-".join(self.r.choice(pool, min(len(pool), int(self.r.integers(1, 3))), replace=False))
         kind = self.r.choice(["class", "id"], p=[0.8, 0.2])
         return f' {kind}="{picked}"'
 
+    def wrapped(self, part: str, chance: float) -> str:
+        """A part in nested containers, mostly few, now and then thirty, with names that say nothing or with none."""
+        if self.r.random() >= chance:
+            return part
+        n = 30 if self.r.random() < 0.05 else int(self.r.geometric(0.45))
+        for _ in range(n):
+            roll = self.r.random()
+            attrs = "" if roll < 0.4 else self._attrs(self.WRAP) if roll < 0.85 else f' class="{self.r.choice(self.words)}"'
+            tag = "section" if self.r.random() < 0.08 else "div"
+            part = f"<{tag}{attrs}>{part}</{tag}>"
+        return part
+
     def _around(self, kind: str) -> tuple[str, int]:
+        part, n = self._part(kind)
+        return self.wrapped(part, 0.25), n
+
+    def _part(self, kind: str) -> tuple[str, int]:
         """A part that is no article text: (html, number of blocks)."""
         tag, names = self.AROUND[kind]
         plain = self.r.random() < 0.4
@@ -383,7 +413,8 @@ class PageMaker:
         if kind == "form":
             return f"<{tag}{attrs}><label>{self.text(1, 4)}</label><input name='q'><button>{self.text(1, 2)}</button></{tag}>", 2
         if kind == "comments":
-            return f"<{tag}{attrs}><h3>{self.text(1, 3)}</h3>" + "".join(f"<div{self._attrs('comment reply')}><p>{self.text(3, 60)}</p></div>" for _ in range(n)) + f"</{tag}>", n + 1
+            own = "article" if self.r.random() < 0.15 else "div"
+            return f"<{tag}{attrs}><h3>{self.text(1, 3)}</h3>" + "".join(f"<{own}{self._attrs('comment reply')}><p>{self.text(3, 60)}</p></{own}>" for _ in range(n)) + f"</{tag}>", n + 1
         if kind == "footer" or self.r.random() < 0.5:
             return f"<{tag}{attrs}>{'&copy; ' if kind == 'footer' else ''}{self.text(2, 60)}</{tag}>", 1
         return f"<{tag}{attrs}>" + "".join(f"<p>{self.text(2, 40)}</p>" for _ in range(n)) + f"</{tag}>", n
@@ -401,8 +432,8 @@ class PageMaker:
 
         around(["menu", "header", "ad", "notice", "form"], 0.5)
         style = self.r.random()
-        opens, closes = ("<article>", "</article>") if style < 0.55 else ("<main>", "</main>") if style < 0.7 else (f"<div{self._attrs(self.INSIDE)}>", "</div>") if style < 0.9 else ("<main><article>", "</article></main>")
-        out.append(opens)
+        opens, closes = ("<article>", "</article>") if style < 0.55 else ("<main>", "</main>") if style < 0.7 else (f"<div{self._attrs(self.INSIDE) if style < 0.85 else ''}>", "</div>") if style < 0.9 else ("<main><article>", "</article></main>")
+        before, out = out, []
         if self.r.random() < 0.8:
             out.append(f"<h1>{self.text(2, 14)}</h1>")
             labels.append(1)
@@ -434,10 +465,13 @@ class PageMaker:
                 around(["ad", "share", "notice", "aside", "form"], 0.3)
         if self.r.random() < 0.25:
             around(["comments", "share"], 0.6)
-        out.append(closes)
+        story = self.wrapped(opens + self.wrapped("".join(out), 0.35) + closes, 0.55)
+        out = []
         around(["aside", "comments", "ad", "share", "form", "notice"], 0.3)
+        beside, out = "".join(out), []
         around(["footer", "menu"], 0.7)
-        return f"<html><head><title>{self.text(2, 8)}</title><style>p{{}}</style></head><body>{''.join(out)}</body></html>", np.array(labels, dtype=np.float32)
+        body = self.wrapped("".join(before) + self.wrapped(story + beside, 0.3) + "".join(out), 0.4)
+        return f"<html><head><title>{self.text(2, 8)}</title><style>p{{}}</style></head><body>{body}</body></html>", np.array(labels, dtype=np.float32)
 
 
 @lru_cache(maxsize=2)
