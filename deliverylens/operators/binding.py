@@ -48,6 +48,12 @@ def bind_spans(spans: DataFrame, windows: DataFrame) -> DataFrame:
     return met.withColumn("_nth", nth).where("_nth = 1").select(*spans.columns, "run_id")
 
 
+def shared_sessions(runs: DataFrame, now: dt.datetime, over: int = 20) -> DataFrame:
+    """(session, day, runs) of sessions that more than ``over`` runs of the last two days share in a day."""
+    recent = runs.where(F.col("session").isNotNull() & (F.col("started_at") >= F.lit(now - dt.timedelta(days=2)).cast("timestamp_ntz")))
+    return recent.groupBy("session", F.to_date("started_at").alias("day")).agg(F.count("*").alias("runs")).where(F.col("runs") > over)
+
+
 def link_sessions(sessions: DataFrame, runs: DataFrame, bound: DataFrame, key: str) -> DataFrame:
     """(session, run_id, method, confidence, outcome) of every session.
 

@@ -176,6 +176,12 @@ SELECT concat('evt_', substr(sha256(concat(s, chr(31), suffix)), 1, 32)) AS even
   CASE WHEN named THEN 'IML-9' ELSE concat('IML-', size) END AS jira_issue_key, tc AS test_case_key, CASE WHEN tc IS NOT NULL THEN 'path' WHEN named THEN 'branch' ELSE 'prompt' END AS key_route, CASE WHEN tc IS NOT NULL THEN 0.7 WHEN named THEN 0.9 ELSE 0.5 END::DOUBLE AS link_confidence, turn_index, tool_name, kind, model_id, input_tokens, output_tokens FROM r"""
 
 
+def d17_capture_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the keys of chat events were found, and how sure that is."""
+    e = d15_chat_events(spark, sf_dir)
+    return e.groupBy("event_type", "key_route", "link_confidence").agg(F.count("*").alias("n"), F.count_distinct("trace_id").alias("sessions"), F.count("jira_issue_key").alias("with_issue"), F.count("test_case_key").alias("with_case"))
+
+
 # ---- bindings
 
 
@@ -187,6 +193,11 @@ def _runs(e: DataFrame) -> DataFrame:
     return g.where("started_at IS NOT NULL").withColumn("agent", F.concat(F.lit("agent_"), F.col("user_id") % 7))
 
 
+def dq17c_shared_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of the last two days that several runs share in a day; stored sessions have three runs at most, so over one is told, not over twenty."""
+    return binding.shared_sessions(_runs(_events(spark, sf_dir)), dt.datetime(2024, 1, 31), over=1)
+
+
 CUTOVER = dt.date(2024, 1, 25)
 _RUNS_SQL = f"""{_SAME_E},
 r AS (SELECT concat_ws('_', 'run', user_id, strftime(ts, '%Y%m%d'), CAST(floor(hour(ts) / 8) AS INT)) AS run_id, concat_ws('_', 'ses', user_id, strftime(ts, '%Y%m%d')) AS session, user_id, min(ts) FILTER (t = 'signup') AS started_at, min(ts) FILTER (t = 'error' AND k >= 50) AS ended_at
@@ -455,13 +466,15 @@ def k14_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    d14_session_events, r09_stream_sessions, d15_chat_events, x07_run_window, j05_span_binding, j19_interval_link, h22_silence_watch, r03_high_water_mark, s10_inbox_import, r14_bundle_index,
+    d14_session_events, r09_stream_sessions, d15_chat_events, d17_capture_routes, dq17c_shared_sessions, x07_run_window, j05_span_binding, j19_interval_link, h22_silence_watch, r03_high_water_mark, s10_inbox_import, r14_bundle_index,
     r05_late_rebuild, r15_pruned_days, i14_kept_paths, g18_weekly_payload, h14_person_snapshot, k13_spilled_batches, k14_findings,
 )}
 ORACLE_SQL = {
     "d14_session_events": _JOURNAL_SQL,
     "r09_stream_sessions": _JOURNAL_SQL,
     "d15_chat_events": _CHAT_SQL,
+    "d17_capture_routes": f"SELECT event_type, key_route, link_confidence, count(*) AS n, count(DISTINCT trace_id) AS sessions, count(jira_issue_key) AS with_issue, count(test_case_key) AS with_case FROM ({_CHAT_SQL}) AS x GROUP BY 1, 2, 3",
+    "dq17c_shared_sessions": f"WITH {_RUNS_SQL} SELECT session, CAST(started_at AS DATE) AS day, count(*) AS runs FROM r WHERE started_at >= TIMESTAMP '2024-01-29' GROUP BY 1, 2 HAVING count(*) > 1",
     "x07_run_window": f"WITH {_RUNS_SQL} SELECT run_id, session, started_at, bind_from, bind_to FROM w",
     "j05_span_binding": f"WITH {_RUNS_SQL} SELECT concat('evt_', n) AS span_id, arg_max(run_id, started_at) AS run_id FROM e JOIN w ON concat_ws('_', 'ses', e.user_id, strftime(ts, '%Y%m%d')) = session AND ts BETWEEN bind_from AND bind_to WHERE t = 'purchase' GROUP BY n",
     "j19_interval_link": f"""

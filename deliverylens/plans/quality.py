@@ -189,12 +189,6 @@ def dq17b_bound_without_usage(d: Spark) -> str:
     return _find(d, "DQ-17", "high", "run", "r.run_id", _fmt(d, "session %s", "r.trace_id"), f"FROM runs r LEFT JOIN usage u ON r.trace_id = u.trace_id WHERE r.started_at >= {_ago(d, 2)} AND r.trace_id IS NOT NULL AND u.tokens_in IS NULL")
 
 
-@plan
-def dq17c_shared_sessions(d: Spark) -> str:
-    """Sessions that over twenty runs share in a day: a surface stands for a session."""
-    return _find(d, "DQ-17", "info", "dimension", "concat('session:', surface)", _fmt(d, "%d runs", "count(*)"), f"FROM runs GROUP BY surface, {d.day('started_at')} HAVING count(*) > 20")
-
-
 @plan
 def dq_session_without_usage(d: Spark) -> str:
     """Sessions with runs, no model call and no event for a day."""

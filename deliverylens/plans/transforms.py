@@ -312,13 +312,6 @@ def d16_commit_events(d: Spark) -> str:
     return f"SELECT kind, count(*) AS n, count(DISTINCT pr_id) AS requests FROM (SELECT 'scm.commit' AS kind, pr_id FROM prs UNION ALL SELECT 'output.generated', o.pr_id FROM outputs o JOIN prs p ON o.pr_id = p.pr_id WHERE p.st = 'F') AS e GROUP BY kind"
 
 
-@plan
-def d17_capture_routes(d: Spark) -> str:
-    """Which route named the issue, and how sure it is: branch, then prompt, then path."""
-    route = "CASE WHEN k % 4 = 0 THEN 'branch' WHEN k % 4 = 1 THEN 'prompt' WHEN k % 4 = 2 THEN 'path' ELSE 'none' END"
-    return f"SELECT route, CASE route WHEN 'branch' THEN 90 WHEN 'prompt' THEN 50 WHEN 'path' THEN 70 ELSE 0 END AS confidence_pct, count(*) AS n, count(DISTINCT trace_id) AS sessions FROM (SELECT trace_id, {route} AS route FROM turns) AS a GROUP BY route"
-
-
 @plan
 def d20_test_runs_in_window(d: Spark) -> str:
     """Runs of cycles that touch the window; not-run rows are left out."""
