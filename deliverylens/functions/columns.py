@@ -137,6 +137,17 @@ TOOL_KINDS = {
 }
 
 
+#: Types of artifacts by path (the first that fits, in any case), else code.
+ARTIFACT_TYPES = {
+    "test": r"(?i)\.feature$|(\.|_)(spec|test)\.(ts|js|tsx|jsx|py)$|(^|/)tests?/|(^|/)test_[^/]+\.py$|[._-]test\.py$|Test\.java$|[._-]steps?\.(ts|js|py|java)$",
+    "spec": r"(?i)(^|/)(specs?|requirements?)/.*\.md$|[-_.](spec|specification)\.md$",
+    "mock": r"(?i)(^|/)(mocks?|stubs?|fixtures?)/|[._-]mock\.",
+    "config": r"(?i)\.(ya?ml|toml|ini|cfg|json|properties)$|(^|/)(Dockerfile|Makefile)$",
+    "csv": r"(?i)\.csv$",
+    "doc": r"(?i)\.(md|rst|adoc)$",
+}
+
+
 def gate_of(command: Column) -> Column:
     return first_match(command, GATES)
 
@@ -238,3 +249,19 @@ def trend_word(points: Column) -> Column:
     up, down = F.exists(steps, lambda x: x > 0), F.exists(steps, lambda x: x < 0)
     word = F.when(up & down, "no clear trend").when(up, "up").when(down, "down").otherwise("flat")
     return F.when(F.size(p) < 2, "-").when((F.size(p) > 2) & (up != down), F.concat(word, F.lit(" every week"))).otherwise(word)
+
+
+def trailer(message: Column, name: str) -> Column:
+    """The last value of a trailer line of the message, whatever the name's case; null if there is none."""
+    return F.try_element_at(F.regexp_extract_all(message, F.lit(rf"(?im)^\s*{name}\s*:\s*(\S.*?)\s*$"), F.lit(1)), F.lit(-1))
+
+
+def canonical_json(text: Column) -> Column:
+    """A JSON object with its names in order and its values as text, so that equal objects are equal texts."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.from_json(text, "map<string,string>")))))
+
+
+def drifted_labels(labels: Column, known: Sequence[str], shape: str) -> Column:
+    """Labels of a marker's shape that are none of the known markers: upper-cased, each once, in order."""
+    clean = F.transform(F.coalesce(labels, F.array().cast("array<string>")), lambda x: F.upper(F.trim(x)))
+    return F.array_sort(F.array_distinct(F.filter(clean, lambda x: (x != "") & ~x.isin(*known) & x.rlike(shape))))

@@ -180,14 +180,7 @@ def _below(path: Column, roots: Column) -> Column:
     return F.when(~path.startswith("/"), path).otherwise(F.substring(path, F.length(F.rtrim(fits, F.lit("/"))) + 2, F.length(path)))
 
 
-#: Kinds of artifacts by path (the first that fits), else code.
-ARTIFACTS = {
-    "test": r"(?i)(^|/)(tests?|specs?|__tests__)(/|$)|(_test|\.test|\.spec|_spec)\.[a-z0-9]+$|(^|/)test_[^/]+\.[a-z0-9]+$|(^|/)cypress/",
-    "doc": r"(?i)\.(md|mdx|rst|adoc|txt)$|(^|/)docs?/",
-}
-
-
-def events(resolved: DataFrame, artifact: dict[str, str] = ARTIFACTS) -> DataFrame:
+def events(resolved: DataFrame, artifact: dict[str, str] = C.ARTIFACT_TYPES) -> DataFrame:
     """Events of resolved records; each id is derived from the session and the record, so a journal read twice gives the same ones.
 
     Of events with one id (a binding is told anew whenever its session is over) the last stays.

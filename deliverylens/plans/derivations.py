@@ -119,12 +119,6 @@ def a12_all_or_nothing(d: Spark) -> str:
     return f"SELECT person_id, CASE WHEN bool_and(cost_nano IS NOT NULL) THEN {d.big('sum(cost_nano)')} END AS cost_nano, count(*) AS n FROM priced GROUP BY person_id"
 
 
-@plan
-def a24_payload_collisions(d: Spark) -> str:
-    """One id with several payloads."""
-    return "SELECT run_id, count(DISTINCT concat_ws('|', event_type, k)) AS payloads, count(*) AS n FROM delivered GROUP BY run_id HAVING count(DISTINCT concat_ws('|', event_type, k)) > 3"
-
-
 @plan
 def a26_most_common(d: Spark) -> str:
     return "SELECT surface, tool_name, n FROM (SELECT surface, tool_name, n, row_number() OVER (PARTITION BY surface ORDER BY n DESC, tool_name) AS nth FROM (SELECT surface, tool_name, count(*) AS n FROM tools GROUP BY surface, tool_name) AS a) AS b WHERE nth <= 3"
@@ -244,12 +238,6 @@ def f54_programs(d: Spark) -> str:
 # ---- derived facts
 
 
-@plan
-def d18_envelopes(d: Spark) -> str:
-    """Deterministic ids over delivery: two deliveries of an event have one id."""
-    return f"SELECT count(*) AS n, count(DISTINCT id) AS ids FROM (SELECT {d.sha256("concat_ws(chr(31), person_id, event_type, event_id)")} AS id FROM delivered) AS a"
-
-
 @plan
 def d19_case_scope(d: Spark) -> str:
     """Coverage of the cases in scope of an order cycle (semi join)."""
@@ -305,12 +293,6 @@ def g04_weekly_terminals(d: Spark) -> str:
     return f"SELECT {d.iso_week('started_at')} AS iso_week, terminal_status, count(*) AS n, median(CAST(CASE WHEN duration_s > 0 THEN duration_s END AS DOUBLE)) AS median_s FROM fct_run GROUP BY 1, terminal_status"
 
 
-@plan
-def g06_context_composition(d: Spark) -> str:
-    """Shares only where all three counts are known."""
-    return f"SELECT {d.iso_week('event_time')} AS iso_week, count(tokens_in + tokens_out + tokens_cached) AS known, {d.big('count_if(tokens_in IS NULL)')} AS unknown, min(tokens_cached) AS low, max(tokens_cached) AS high FROM calls GROUP BY 1"
-
-
 @plan
 def g08_weekly_turns(d: Spark) -> str:
     return f"SELECT {d.iso_week('event_time')} AS iso_week, turn_kind, count(*) AS n, count(DISTINCT run_id) AS n_runs FROM turns GROUP BY 1, turn_kind"
@@ -369,12 +351,6 @@ def h21_measured_or(d: Spark) -> str:
     return f"SELECT person_id, bool_or(tokens_in IS NOT NULL) AS measured, count(*) AS calls FROM calls GROUP BY person_id"
 
 
-@plan
-def h25_identity_collisions(d: Spark) -> str:
-    """Names that several suppliers share once digits and signs are taken off."""
-    return f"SELECT clean, count(*) AS n, min(s_suppkey) AS first_key FROM (SELECT {_replace(d, 'lower(s_name)', '[^a-z]', '')} AS clean, s_suppkey FROM supplier) AS a GROUP BY clean HAVING count(*) > 1"
-
-
 @plan
 def h26_headline(d: Spark) -> str:
     """Headline sums, where unknown counts as zero."""

@@ -189,19 +189,6 @@ def dq17b_bound_without_usage(d: Spark) -> str:
     return _find(d, "DQ-17", "high", "run", "r.run_id", _fmt(d, "session %s", "r.trace_id"), f"FROM runs r LEFT JOIN usage u ON r.trace_id = u.trace_id WHERE r.started_at >= {_ago(d, 2)} AND r.trace_id IS NOT NULL AND u.tokens_in IS NULL")
 
 
-@plan
-def dq_session_without_usage(d: Spark) -> str:
-    """Sessions with runs, no model call and no event for a day."""
-    return _find(d, "DQ-SESSION", "medium", "dimension", "concat('session:', trace_id)", _fmt(d, "%d runs, %d hours", "n_runs", d.diff("HOUR", "a", "b")), f"FROM (SELECT trace_id, min(event_time) AS a, max(event_time) AS b, count_if(event_type = 'run.started') AS n_runs, count_if(event_type = 'model.call') AS n_calls FROM ev WHERE event_time >= {_ago(d, 14)} GROUP BY trace_id) AS s WHERE n_runs > 0 AND n_calls = 0 AND b < {_ago(d, 1)}")
-
-
-@plan
-def dq_session_late_usage(d: Spark) -> str:
-    """People whose first usage comes over 21 days after their first event."""
-    late = d.diff("DAY", "a", "used")
-    return _find(d, "DQ-SESSION", "high", "dimension", "concat('session:', person_id)", _fmt(d, "%d days", late), f"FROM (SELECT person_id, min(event_time) AS a, min(CASE WHEN event_type = 'model.call' AND k > 80 THEN event_time END) AS used FROM ev GROUP BY person_id) AS s WHERE used IS NOT NULL AND {late} > 21")
-
-
 @plan
 def dq_gate_without_verdict(d: Spark) -> str:
     """Gates with evaluations that have no verdict, high over a third."""
@@ -275,5 +262,3 @@ def dq_link_explicit_share(d: Spark) -> str:
     """The share of tokens on explicitly linked calls, high under five percent."""
     part, whole = "sum(CASE WHEN link_method = 'explicit' THEN tokens_in + tokens_out ELSE 0 END)", "sum(tokens_in + tokens_out)"
     return _find(d, "DQ-LINK", f"CASE WHEN {part} * 1e0 / nullif({whole}, 0) < 0.05 THEN 'high' ELSE 'info' END", "dataset", "'cost_per_accepted'", _fmt(d, "%d of %d tokens", d.big(part), d.big(whole)), f"FROM calls WHERE event_time >= {_ago(d, 7)} AND tokens_in IS NOT NULL HAVING {whole} > 0")
-
-

@@ -24,21 +24,6 @@ def x04_run_bound(d: Spark) -> str:
     return "SELECT run_id, bound_at, coalesce(session_new, session_old) AS session_id, issue_key FROM (SELECT run_id, event_time AS bound_at, CASE WHEN k % 3 = 0 THEN concat('s2_', k) END AS session_new, CASE WHEN k % 4 > 0 THEN trace_id END AS session_old, CASE WHEN k % 5 = 0 THEN concat('IML-', k) END AS issue_key, row_number() OVER (PARTITION BY run_id ORDER BY event_time, event_id) AS nth FROM turns) AS a WHERE nth = 1"
 
 
-@plan
-def x12_session_calls(d: Spark) -> str:
-    """Session totals that carry no run, from the cutover on; negative or unreadable counts are unknown."""
-    return f"SELECT event_id, trace_id, model_id, CASE WHEN tokens_in >= 0 THEN tokens_in END AS tokens_in, tokens_out FROM (SELECT *, CASE WHEN surface = 'copilot-cli' THEN run_id END AS named_run FROM calls) AS c WHERE named_run IS NULL AND call_date >= {d.date('2024-01-16')}"
-
-
-@plan
-def x13_session_prices(d: Spark) -> str:
-    """Usage by session and model, priced on its first day; null if any part can't be priced."""
-    return f"""
-SELECT u.trace_id, u.model_id, u.tokens_in, u.tokens_out, greatest(u.tokens_in - coalesce(u.tokens_cached, 0), 0) * p.p_in + u.tokens_out * p.p_out + CASE WHEN coalesce(u.tokens_cached, 0) = 0 THEN 0 ELSE u.tokens_cached * p.p_cached END AS cost_nano, coalesce(p.placeholder, false) AS placeholder
-FROM (SELECT trace_id, model_id, min(call_date) AS dy, {d.big('sum(tokens_in)')} AS tokens_in, {d.big('sum(tokens_out)')} AS tokens_out, {d.big('sum(tokens_cached)')} AS tokens_cached FROM calls WHERE call_date >= {d.date('2024-01-16')} GROUP BY trace_id, model_id) AS u
-LEFT JOIN prices p ON u.model_id = p.model_id AND u.dy BETWEEN p.effective_from AND coalesce(p.effective_to, DATE '9999-12-31')"""
-
-
 @plan
 def x17_modelled_calls(d: Spark) -> str:
     """Estimates of emitters: calls that name their run."""
@@ -56,12 +41,6 @@ def x19_modelled_rollup(d: Spark) -> str:
     return f"SELECT run_id, count(*) AS calls, {d.big('sum(tokens_in + tokens_out)')} AS modelled_tokens, CASE WHEN bool_and(cost_nano IS NOT NULL) THEN {d.big('sum(cost_nano)')} END AS modelled_nano FROM priced GROUP BY run_id"
 
 
-@plan
-def x23_phase_rollup(d: Spark) -> str:
-    """Phases by run: those that ended well and those that failed."""
-    return f"SELECT run_id, {d.big('''count_if(phase = 'ok')''')} AS phases_ok, {d.big('''count_if(phase = 'failed')''')} AS phases_failed FROM (SELECT run_id, CASE WHEN status = 'error' THEN 'failed' WHEN k % 2 = 0 THEN 'ok' END AS phase FROM tools) AS p GROUP BY run_id"
-
-
 @plan
 def x25_person_resolved(d: Spark) -> str:
     """People by verified alias, one row an alias; an alias of several people resolves to none."""
@@ -287,12 +266,6 @@ def h08_coverage_by_cycle(d: Spark) -> str:
     return f"SELECT a.cycle, a.n_cases, a.automated, m.folder, a.first_case, a.last_case FROM (SELECT cycle, count(DISTINCT case_id) AS n_cases, count(DISTINCT CASE WHEN automation_status = 'Automated' THEN case_id END) AS automated, min(case_id) AS first_case, max(case_id) AS last_case FROM {base} AS b GROUP BY cycle) AS a JOIN (SELECT cycle, folder FROM (SELECT cycle, folder, row_number() OVER (PARTITION BY cycle ORDER BY count(*) DESC, folder) AS nth FROM {base} AS b GROUP BY cycle, folder) AS x WHERE nth = 1) AS m ON a.cycle = m.cycle"
 
 
-@plan
-def h23_reconciliation(d: Spark) -> str:
-    """Days that are reported, in the trail, or both."""
-    return f"SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN r.dy IS NULL THEN 'trail_only' WHEN t.dy IS NULL THEN 'reported_only' ELSE 'corroborated' END AS outcome FROM (SELECT DISTINCT person_id, {d.day('event_time')} AS dy FROM turns) r FULL OUTER JOIN (SELECT DISTINCT person_id, {d.day('event_time')} AS dy FROM tools) t ON r.person_id = t.person_id AND r.dy = t.dy) AS x GROUP BY outcome"
-
-
 @plan
 def h29_sources_and_gaps(d: Spark) -> str:
     """Rows and days with data of each source, beside the days of its span."""
@@ -306,16 +279,8 @@ def d06_decline_reasons(d: Spark) -> str:
     return "SELECT reason, count(*) AS n FROM (SELECT CASE WHEN actor = author THEN 'declined_by_author' WHEN changes THEN 'changes_requested_unresolved' WHEN actor IS NOT NULL THEN 'declined_by_reviewer' ELSE 'unknown' END AS reason FROM (SELECT author, CASE pr_id % 4 WHEN 0 THEN author WHEN 1 THEN author + 1 WHEN 2 THEN NULL ELSE author + 2 END AS actor, pr_id % 7 = 1 AS changes FROM prs WHERE declined_at IS NOT NULL) AS a) AS b GROUP BY reason"
 
 
-@plan
-def d16_commit_events(d: Spark) -> str:
-    """A commit event each request, and an output event each file where the commit is linked."""
-    return f"SELECT kind, count(*) AS n, count(DISTINCT pr_id) AS requests FROM (SELECT 'scm.commit' AS kind, pr_id FROM prs UNION ALL SELECT 'output.generated', o.pr_id FROM outputs o JOIN prs p ON o.pr_id = p.pr_id WHERE p.st = 'F') AS e GROUP BY kind"
-
-
 @plan
 def d20_test_runs_in_window(d: Spark) -> str:
     """Runs of cycles that touch the window; not-run rows are left out."""
     a, b = d.ts("2001-06-01 00:00:00"), d.ts("2001-07-01 00:00:00")
     return f"SELECT pr_id, st FROM prs WHERE created_on <= {b} AND coalesce(merged_at, declined_at, created_on) >= {a} AND st <> 'O'"
-
-

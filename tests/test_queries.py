@@ -5,14 +5,14 @@ import os
 import duckdb
 import pytest
 
-from deliverylens.operators import facts, rule_queries, state_queries
+from deliverylens.operators import facts, report_queries, rule_queries, state_queries
 from deliverylens.plans import apart
 from deliverylens.sources import queries as sources
 from tests.conftest import DATA
 
 SF = f"{DATA}/sf0.001"
-SQL = facts.ORACLE_SQL | sources.ORACLE_SQL | apart.ORACLE_SQL | rule_queries.ORACLE_SQL | state_queries.ORACLE_SQL
-BOTH = {n: (f, SQL[n]) for n, f in (facts.QUERIES | sources.QUERIES | apart.queries() | rule_queries.QUERIES | state_queries.QUERIES).items()}
+SQL = facts.ORACLE_SQL | sources.ORACLE_SQL | apart.ORACLE_SQL | rule_queries.ORACLE_SQL | report_queries.ORACLE_SQL | state_queries.ORACLE_SQL
+BOTH = {n: (f, SQL[n]) for n, f in (facts.QUERIES | sources.QUERIES | apart.queries() | rule_queries.QUERIES | report_queries.QUERIES | state_queries.QUERIES).items()}
 
 
 def _rows(columns, rows):
