@@ -35,7 +35,7 @@ def path_of(url: Column) -> Column:
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """The longest fitting rule as struct(size, rule, verdict), else null.
+    """The longest fitting rule as struct(size, allow, rule, verdict), else null; among rules of one length an allow comes first.
 
     The rules are a literal map by host, looked up by each suffix of the URL's
     host: the caller's list is held in the plan, so it must stay small (some
@@ -50,7 +50,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
     suffixes = F.transform(parts, lambda _, i: F.array_join(F.slice(parts, i + 1, F.size(parts) - i), "."))
     found = F.flatten(F.transform(suffixes, lambda s: F.coalesce(F.element_at(table, s), F.array().cast("array<struct<path:string,size:int,rule:string,verdict:string>>"))))
     fits = F.filter(found, lambda r: F.startswith(path, r["path"]))
-    return F.array_max(F.transform(fits, lambda r: F.struct(r["size"].alias("size"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
+    return F.array_max(F.transform(fits, lambda r: F.struct(r["size"].alias("size"), (r["verdict"] == "allow").alias("allow"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
 
 
 def node_of(url: Column) -> Column:
@@ -118,7 +118,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], redirects: DataFra
     carried = comp.join(said, "component").select("node", "component", (F.coalesce("block", F.lit(False)) & ~F.coalesce("allow", F.lit(False))).alias("blocked"))
     own = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), node_of(F.col("url")).alias("node"))
     own = own.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    out = own.join(carried, "node", "left")
+    # Pages without a node meet none; each has a key of its own (no node holds a #), so that they don't fill one partition.
+    lone = F.concat(F.lit("#"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    out = own.withColumn("node", F.coalesce("node", lone)).join(carried, "node", "left")
     verdict = F.coalesce(F.col("r.verdict"), F.when(F.col("blocked"), "block"), F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"), "component")
 

@@ -81,6 +81,14 @@ def test_url_filter_equals_sql(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string"), url_filter.OP1_RULES).count() == 0
 
 
+def test_of_rules_of_one_length_the_allow_counts(spark):
+    rows = [(1, "http://x.com/a", None), (2, "http://y.com/ab", None), (3, None, None), (None, "x.com/a", None), (3, None, None)]
+    rules = [("x.com/a", "allow"), ("x.com/a", "block"), ("com/", "block"), ("y.com/a", "block"), ("y.com/a", "allow")]
+    for order in (rules, rules[::-1]):
+        got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), order).select("page_id", "rule", "verdict").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, "x.com/a", "allow"), (2, "y.com/a", "allow"), (3, None, "allow"), (3, None, "allow"), (None, None, "allow")]))
+
+
 def test_components_of_chains_and_stars(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + k) for k in range(1, 400)] + [(r.randint(2000, 2200), r.randint(2000, 2200)) for _ in range(150)] + [(None, 1), (5, 5)]
