@@ -206,9 +206,14 @@ def read(manifest: DataFrame, folder: str, id_type: str = "bigint") -> DataFrame
                 cols = list(zip(*rows)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], kind), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # One row a shard of about 64 MB, so 100 TB are two million small rows; they are summed in one task and not broadcast.
-    before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    sums = manifest.select("shard", "path", "dictionary", F.coalesce(before, F.lit(0)).alias("before"))
+    # A shard's number begins with its write task's: tokens are summed inside each task's shards, and over
+    # the tasks' totals, which are as few as the partitions of the write.
+    part = F.shiftright("shard", 24)
+    tasks = manifest.groupBy(part.alias("part")).agg(F.sum("n_tokens").alias("n"))
+    tasks = tasks.select("part", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    sums = manifest.withColumn("part", part).withColumn("inside", inside).join(tasks, "part")
+    sums = sums.select("shard", "path", "dictionary", (F.coalesce("earlier", F.lit(0)) + F.coalesce("inside", F.lit(0))).alias("before"))
     return sums.repartition(_tasks(manifest), "shard").select("path", "before", "dictionary").mapInArrow(run, schema)
 
 
