@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from deliverylens.functions import columns as C
 
-from . import commits, identities, reconcile, usage
+from . import commits, identities, reconcile, tracker, usage
 from .state_queries import _SAME_E, _events, _t
 
 
@@ -194,9 +194,33 @@ def f35_label_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.explode(found).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
+# ---- tests: orders are cycles, their lines runs of cases
+
+
+def _cycles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cycles that are updated, or only created, or without any time, or without a key; runs of all states."""
+    p, at = F.substring("o_orderpriority", 1, 1), F.col("o_orderdate").cast("timestamp")
+    cycles = _t(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("cycle_key"), F.when(p == "1", at + F.expr("INTERVAL 400 DAYS")).alias("updated_at"), F.when(p != "5", at).alias("created_at"), F.lit(None).cast("timestamp").alias("start_at"), F.when(p == "2", at + F.expr("INTERVAL 30 DAYS")).alias("end_at"))
+    states = F.array(*[F.lit(x) for x in ("Passed", " FAIL ", "blocked", "N/A", "WIP", "Not Run", "odd", None, "pass", "")])
+    runs = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("cycle_key"), F.col("l_partkey").alias("case_id"), F.element_at(states, (F.col("l_suppkey") % 10 + 1).cast("int")).alias("status"), F.col("l_shipdate").alias("executed_at"), F.lit(None).cast("array<string>").alias("defects"), F.concat(F.lit("p"), F.col("l_partkey") % 50).alias("person_id"))
+    return cycles, runs
+
+
+def d20_test_runs_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of cycles that may have been active since a day, without those that are only planned."""
+    cycles, runs = _cycles(spark, sf_dir)
+    return tracker.run_pass(cycles, runs, "2001-03-01").groupBy("cycle_key", "status_category").agg(F.count("*").alias("n"))
+
+
+def h03_executed_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each person's runs by category, what was executed, and the share that passed."""
+    cycles, runs = _cycles(spark, sf_dir)
+    return tracker.test_totals(tracker.run_pass(cycles, runs, None, include_not_run=True), "person_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     d16_commit_events, f38_artifact_types, d18_envelopes, i18_content_leaks, h23_reconciliation, h23_trail_completeness, h25_identity_collisions, x12_session_calls, x13_session_prices, x14_session_sums, x23_phase_rollup, g06_context_composition,
-    dq_session_without_usage, dq_session_late_usage, a24_payload_collisions, f35_label_drift,
+    d20_test_runs_in_window, h03_executed_tests, dq_session_without_usage, dq_session_late_usage, a24_payload_collisions, f35_label_drift,
 )}
 
 _ID = lambda prefix, *parts: f"concat('{prefix}_', substr(sha256(concat_ws(chr(31), {', '.join(parts)})), 1, 32))"
@@ -248,6 +272,12 @@ UNION ALL SELECT 'near names', x.norm, y.norm, levenshtein(x.norm, y.norm) FROM
     "x23_phase_rollup": f"WITH {_SAME_E} SELECT concat('run_', user_id, strftime(ts, '_%d')) AS run_id, count(*) FILTER (k % 3 = 0) AS phases_ok, count(*) FILTER (k % 3 = 1) AS phases_failed FROM e WHERE t = 'click' GROUP BY 1",
     "g06_context_composition": f"""WITH {_SAME_E}, x AS (SELECT *, k > 20 AND k < 90 AND k % 10 > 0 AS w FROM e WHERE t = 'purchase')
 SELECT strftime(ts, '%G-W%V') AS iso_week, count(*) FILTER (w) AS known, count(*) FILTER (NOT w) AS unknown, median(k * 3) FILTER (w) AS tool_definitions, median(k + 1) FILTER (w) AS system, median(k % 13) FILTER (w) AS conversation, median(k * 4 + 1 + k % 13) FILTER (w) AS total, min(k * 4 + 1 + k % 13) FILTER (w) AS least, max(k * 4 + 1 + k % 13) FILTER (w) AS most FROM x GROUP BY 1""",
+    "d20_test_runs_in_window": """
+WITH c AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P' AND (o_orderpriority = '5-LOW' OR o_orderdate + to_days(CASE o_orderpriority WHEN '1-URGENT' THEN 400 WHEN '2-HIGH' THEN 30 ELSE 0 END) >= TIMESTAMP '2001-03-01'))
+SELECT l_orderkey AS cycle_key, ['passed', 'failed', 'blocked', 'skipped', 'in_progress', NULL, 'other', NULL, 'passed', NULL][l_suppkey % 10 + 1] AS status_category, count(*) AS n FROM lineitem JOIN c ON l_orderkey = k WHERE l_suppkey % 10 NOT IN (5, 7, 9) GROUP BY 1, 2""",
+    "h03_executed_tests": """
+SELECT concat('p', l_partkey % 50) AS person_id, count(*) FILTER (s IN (0, 8)) AS passed, count(*) FILTER (s = 1) AS failed, count(*) FILTER (s = 2) AS blocked, count(*) FILTER (s = 3) AS skipped, count(*) FILTER (s = 4) AS in_progress, count(*) FILTER (s IN (5, 7, 9)) AS not_run, count(*) FILTER (s = 6) AS other,
+  count(*) FILTER (s IN (0, 1, 2, 3, 8)) AS executed, round(100.0::DOUBLE * count(*) FILTER (s IN (0, 8)) / nullif(count(*) FILTER (s IN (0, 1, 2, 3, 8)), 0), 1) AS pass_rate FROM (SELECT *, l_suppkey % 10 AS s FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P') GROUP BY 1""",
     "dq_session_without_usage": f"""WITH {_USAGE_SQL}, s AS ({_SESSIONS_SQL.format(since="TIMESTAMP '2024-01-16'")})
 SELECT sid AS session_id, 'medium' AS severity, 'no usage' AS finding, count(*) FILTER (t = 'signup') AS amount FROM s WHERE NOT starts_with(sid, 'trc_') GROUP BY sid HAVING count(*) FILTER (t = 'signup') > 0 AND count(*) FILTER (t = 'purchase') = 0 AND max(ts) < TIMESTAMP '2024-01-29 12:00:00'""",
     "dq_session_late_usage": f"""WITH {_USAGE_SQL}, s AS ({_SESSIONS_SQL.format(since="TIMESTAMP '2023-12-16'")})

@@ -247,12 +247,6 @@ def g17_latest_complete_week(d: Spark) -> str:
     return f"SELECT max(wk) AS wk FROM (SELECT {d.week('event_time')} AS wk, max({d.day('event_time')}) AS last FROM ev GROUP BY {d.week('event_time')}) AS a WHERE wk < (SELECT {d.week('max(event_time)')} FROM ev)"
 
 
-@plan
-def h03_executed_tests(d: Spark) -> str:
-    """Runs of tests that were executed: not-run ones stay out of rates."""
-    return f"SELECT repo, count(*) AS n, {d.big('''count_if(c IN ('passed', 'failed', 'blocked', 'skipped'))''')} AS executed, {d.big('''count_if(c = 'not_run')''')} AS not_run, CAST({rate('''count_if(c = 'passed')''', '''count_if(c IN ('passed', 'failed', 'blocked', 'skipped'))''')} AS DOUBLE) AS pass_rate FROM (SELECT repo, CASE pr_id % 6 WHEN 0 THEN 'passed' WHEN 1 THEN 'failed' WHEN 2 THEN 'blocked' WHEN 3 THEN 'skipped' WHEN 4 THEN 'not_run' ELSE 'in_progress' END AS c FROM prs) AS t GROUP BY repo"
-
-
 @plan
 def h04_summary_basis(d: Spark) -> str:
     """Totals by person with what they rest on: no data is not zero."""
@@ -277,10 +271,3 @@ def h29_sources_and_gaps(d: Spark) -> str:
 def d06_decline_reasons(d: Spark) -> str:
     """Why requests were declined: by their author, after requested changes, by another, unknown."""
     return "SELECT reason, count(*) AS n FROM (SELECT CASE WHEN actor = author THEN 'declined_by_author' WHEN changes THEN 'changes_requested_unresolved' WHEN actor IS NOT NULL THEN 'declined_by_reviewer' ELSE 'unknown' END AS reason FROM (SELECT author, CASE pr_id % 4 WHEN 0 THEN author WHEN 1 THEN author + 1 WHEN 2 THEN NULL ELSE author + 2 END AS actor, pr_id % 7 = 1 AS changes FROM prs WHERE declined_at IS NOT NULL) AS a) AS b GROUP BY reason"
-
-
-@plan
-def d20_test_runs_in_window(d: Spark) -> str:
-    """Runs of cycles that touch the window; not-run rows are left out."""
-    a, b = d.ts("2001-06-01 00:00:00"), d.ts("2001-07-01 00:00:00")
-    return f"SELECT pr_id, st FROM prs WHERE created_on <= {b} AND coalesce(merged_at, declined_at, created_on) >= {a} AND st <> 'O'"

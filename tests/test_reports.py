@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from deliverylens.functions import columns as C
-from deliverylens.operators import commits, identities, reconcile, usage
+from deliverylens.operators import commits, identities, reconcile, tracker, usage
 
 LOG = "repo string, branch string, sha string, authored timestamp, email string, message string, stats string"
 AT = dt.datetime(2024, 1, 5)
@@ -105,3 +105,14 @@ def test_trailers_labels_and_payloads(spark):
     d = spark.createDataFrame([("x\nAI-Agent: one \n ai-agent : two words\nAI-Agent:", ["copilot x", None, "COPILOT"], '{"b": [1, 2], "a": null}', '{"a": null, "b": [1,2]}'), (None, None, None, "odd")], "m string, l array<string>, j string, k string")
     got = d.select(C.trailer(F.col("m"), "AI-Agent"), C.drifted_labels(F.col("l"), ["COPILOT"], r"COPILOT"), C.canonical_json(F.col("j")) == C.canonical_json(F.col("k"))).collect()
     assert tuple(got[0]) == ("two words", ["COPILOT X"], True) and tuple(got[1]) == (None, [], None)
+
+
+def test_runs_of_cycles_in_the_window(spark):
+    at = lambda d: dt.datetime(2024, 1, d)
+    cycles = spark.createDataFrame([("a", at(1), None, None, at(9)), ("b", at(1), at(2), None, None), ("c", None, None, None, None), (None, None, at(9), None, None), ("a", at(9), None, None, None)], "cycle_key string, updated_at timestamp, created_at timestamp, start_at timestamp, end_at timestamp")
+    runs = spark.createDataFrame([("a", "Passed", at(3), None), ("a", "not run", at(3), None), ("b", "fail", at(3), None), ("c", "odd", at(3), None), (None, "passed", at(3), None)], "cycle_key string, status string, executed_at timestamp, defects array<string>")
+    assert sorted((r.cycle_key, r.status_category) for r in tracker.run_pass(cycles, runs, "2024-01-05").collect()) == [("a", "passed"), ("c", "other")]
+    every = tracker.run_pass(cycles, runs, None, include_not_run=True)
+    got = {r.cycle_key: (r.executed, r.not_run, r.pass_rate) for r in tracker.test_totals(every, "cycle_key").collect()}
+    assert got == {"a": (1, 1, 100.0), "b": (1, 0, 0.0), "c": (0, 0, None)}
+    assert tracker.run_pass(cycles.limit(0), runs, None).isEmpty()
