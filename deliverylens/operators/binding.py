@@ -29,11 +29,13 @@ def held_by(points: DataFrame, windows: DataFrame, key: str, at: str, lo: str, h
     return points.join(w, fits, how).drop("_key", "_day")
 
 
-def run_windows(runs: DataFrame, cutover: dt.date) -> DataFrame:
+def run_windows(runs: DataFrame, cutover: dt.date | None = None) -> DataFrame:
     """runs (run_id, session, started_at, ended_at) with bind_from and bind_to: five minutes on
-    either side, an open run for 24 hours; runs from the cutover on and runs without a session have none."""
+    either side, an open run for 24 hours; runs from a cutover on and runs without a session have none."""
     end = F.coalesce("ended_at", _later(F.col("started_at"), LONGEST_RUN_S))
-    ok = runs.where(F.col("session").isNotNull() & (F.col("started_at") < F.lit(cutover).cast("timestamp_ntz")))
+    ok = runs.where("session IS NOT NULL AND started_at IS NOT NULL")
+    if cutover is not None:
+        ok = ok.where(F.col("started_at") < F.lit(cutover).cast("timestamp_ntz"))
     return ok.withColumns({"bind_from": _later(F.col("started_at"), -GRACE_S), "bind_to": _later(end, GRACE_S)})
 
 
