@@ -198,7 +198,6 @@ def dq17c_shared_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binding.shared_sessions(_runs(_events(spark, sf_dir)), dt.datetime(2024, 1, 31), over=1)
 
 
-CUTOVER = dt.date(2024, 1, 25)
 _RUNS_SQL = f"""{_SAME_E},
 r AS (SELECT concat_ws('_', 'run', user_id, strftime(ts, '%Y%m%d'), CAST(floor(hour(ts) / 8) AS INT)) AS run_id, concat_ws('_', 'ses', user_id, strftime(ts, '%Y%m%d')) AS session, user_id, min(ts) FILTER (t = 'signup') AS started_at, min(ts) FILTER (t = 'error' AND k >= 50) AS ended_at
   FROM e GROUP BY 1, 2, 3 HAVING count(*) FILTER (t = 'signup') > 0),
@@ -220,7 +219,7 @@ def _spans(e: DataFrame) -> DataFrame:
 def j05_span_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases are calls: each goes to one run of its session whose window holds it, the latest start wins."""
     e = _events(spark, sf_dir)
-    return binding.bind_spans(_spans(e), binding.run_windows(_runs(e), CUTOVER)).select("span_id", "run_id")
+    return binding.bind_spans(_spans(e), binding.run_windows(_runs(e))).select("span_id", "run_id")
 
 
 def j19_interval_link(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,7 +477,7 @@ ORACLE_SQL = {
     "d17_capture_routes": f"SELECT event_type, key_route, link_confidence, count(*) AS n, count(DISTINCT trace_id) AS sessions, count(jira_issue_key) AS with_issue, count(test_case_key) AS with_case FROM ({_CHAT_SQL}) AS x GROUP BY 1, 2, 3",
     "dq17c_shared_sessions": f"WITH {_RUNS_SQL} SELECT session, CAST(started_at AS DATE) AS day, count(*) AS runs FROM r WHERE started_at >= TIMESTAMP '2024-01-29' GROUP BY 1, 2 HAVING count(*) > 1",
     "x07_run_window": f"WITH {ALL_RUNS_SQL} SELECT run_id, session, started_at, bind_from, bind_to FROM w",
-    "j05_span_binding": f"WITH {_RUNS_SQL} SELECT concat('evt_', n) AS span_id, arg_max(run_id, started_at) AS run_id FROM e JOIN w ON concat_ws('_', 'ses', e.user_id, strftime(ts, '%Y%m%d')) = session AND ts BETWEEN bind_from AND bind_to WHERE t = 'purchase' GROUP BY n",
+    "j05_span_binding": f"WITH {ALL_RUNS_SQL} SELECT concat('evt_', n) AS span_id, arg_max(run_id, started_at) AS run_id FROM e JOIN w ON concat_ws('_', 'ses', e.user_id, strftime(ts, '%Y%m%d')) = session AND ts BETWEEN bind_from AND bind_to WHERE t = 'purchase' GROUP BY n",
     "j19_interval_link": f"""
 WITH {_RUNS_SQL}, s AS (SELECT concat_ws('_', 'h', user_id, strftime(ts, '%Y%m%d%H')) AS session, user_id, list(DISTINCT concat('agent_', k % 7)) AS agents, min(ts) AS t0, max(ts) AS t1 FROM e WHERE t IN ('purchase', 'view') GROUP BY 1, 2),
 b AS (SELECT concat_ws('_', 'h', e.user_id, strftime(ts, '%Y%m%d%H')) AS session, min(run_id) AS run_id FROM e JOIN r ON run_id = concat_ws('_', 'run', e.user_id, strftime(ts, '%Y%m%d'), CAST(floor(hour(ts) / 8) AS INT)) WHERE t = 'click' AND v > 60 GROUP BY 1),

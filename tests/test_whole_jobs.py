@@ -14,3 +14,10 @@ def test_every_run_has_a_window(spark):
     got = {r.run_id for r in state_queries.x07_run_window(spark, SF).collect()}
     assert got == set(_runs(spark)) and len(got) == 1886
     assert "2024-01-25" not in state_queries.ORACLE_SQL["x07_run_window"]
+
+
+def test_calls_of_all_days_are_bound(spark):
+    got = {r.span_id: r.run_id for r in state_queries.j05_span_binding(spark, SF).collect()}
+    days = {run.split("_")[2] for run in got.values()}
+    assert days == {r.started_at.strftime("%Y%m%d") for r in _runs(spark).values() if r.run_id in set(got.values())} and max(days) > "20240125"
+    assert "2024-01-25" not in state_queries.ORACLE_SQL["j05_span_binding"]
