@@ -110,9 +110,9 @@ def h13_trend_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j14_overlapping_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of a user that start while an earlier one is open, past midnight too; an open run lasts a day."""
+    """Each run with every earlier run of its user that is open at its start, past midnight too; null where none is. An open run lasts a day."""
     r = _runs(_events(spark, sf_dir)).withColumn("till", F.coalesce("ended_at", F.col("started_at") + F.expr("INTERVAL 24 HOURS")))
-    return temporal.overlapped(r, "user_id", "started_at", "till")
+    return temporal.open_before(r, "run_id", "user_id", "started_at", "till").withColumnsRenamed({"open_before": "first_run", "run_id": "second_run"})
 
 
 def w04_call_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +173,8 @@ s AS (SELECT user_id, n - lag(n) OVER (PARTITION BY user_id ORDER BY wk) AS step
 SELECT user_id, CASE WHEN count(*) < 2 THEN '-' WHEN count(*) FILTER (step > 0) > 0 AND count(*) FILTER (step < 0) > 0 THEN 'no clear trend' WHEN count(*) FILTER (step <> 0) = 0 THEN 'flat'
   ELSE concat(CASE WHEN count(*) FILTER (step > 0) > 0 THEN 'up' ELSE 'down' END, CASE WHEN count(*) > 2 THEN ' every week' ELSE '' END) END AS word FROM s GROUP BY user_id""",
     "j14_overlapping_intervals": f"""
-WITH {_RUNS_SQL}, t AS (SELECT user_id, started_at, count(*) AS n, max(coalesce(ended_at, started_at + INTERVAL 24 HOUR)) AS till FROM r GROUP BY 1, 2)
-SELECT user_id, started_at, n, EXISTS (SELECT 1 FROM t o WHERE o.user_id = t.user_id AND o.started_at < t.started_at AND o.till >= t.started_at) AS overlapped FROM t""",
+WITH {_RUNS_SQL}
+SELECT b.user_id, b.run_id AS second_run, b.started_at, a.run_id AS first_run FROM r b LEFT JOIN r a ON a.user_id = b.user_id AND a.started_at < b.started_at AND b.started_at <= coalesce(a.ended_at, a.started_at + INTERVAL 24 HOUR)""",
     "w04_call_run": f"WITH {_W} SELECT concat('evt_', n) AS span_id, arg_max(run_id, started_at) AS run_id FROM e JOIN w ON concat_ws('_', 'ses', e.user_id, strftime(ts, '%Y%m%d')) = session AND ts BETWEEN bind_from AND bind_to WHERE t = 'purchase' GROUP BY n",
     "x10_span_rollup": f"""
 WITH {_RUNS_SQL}, s AS (SELECT n, arg_max(run_id, started_at) AS run_id FROM e JOIN w ON concat_ws('_', 'ses', e.user_id, strftime(ts, '%Y%m%d')) = session AND ts BETWEEN bind_from AND bind_to WHERE t IN ('purchase', 'view') GROUP BY n),

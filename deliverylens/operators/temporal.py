@@ -60,3 +60,17 @@ def overlapped(rows: DataFrame, key: str, start: str, end: str) -> DataFrame:
     before = Window.partitionBy(key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
     over = F.max("_open").over(before) | (F.max("_end").over(before) >= F.col(start))
     return starts.select(key, start, "n", F.coalesce(over, F.lit(False)).alias("overlapped"))
+
+
+def open_before(rows: DataFrame, row_id: str, key: str, start: str, end: str) -> DataFrame:
+    """(key, row_id, start, open_before): each row once for each row of its key that starts before and
+    is open at ``start``, with that row's id; once with null where there is none.
+
+    An end counts as within; a row without a key, a start or an end, or that ends before it starts, is
+    open for none. A row stands once for each day that it touches and a start has one day, so a pair
+    meets once, and a key with many rows meets only those of its day.
+    """
+    first, last = F.to_date("_from"), F.to_date("_till")
+    earlier = rows.select(F.col(key).alias("_key"), F.col(row_id).alias("open_before"), F.col(start).alias("_from"), F.col(end).alias("_till")).where("_from <= _till").withColumn("_day", F.explode(F.sequence(first, last)))
+    met = (F.col(key) == F.col("_key")) & (F.to_date(start) == F.col("_day")) & (F.col("_from") < F.col(start)) & (F.col(start) <= F.col("_till"))
+    return rows.select(key, row_id, start).join(earlier, met, "left").select(key, row_id, start, "open_before")
