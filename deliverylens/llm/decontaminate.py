@@ -9,7 +9,7 @@ spans fewer than 3m words of a document, as its score is positive; of any
 n - need + r words of an item it matches r at least. So the rarest words of each
 item, that many, are looked up in blocks of a document, and a block that holds r
 of them is counted again with all words of the item before it is aligned. Which
-words are rare is told from a sample of the documents and changes no result.
+words are rare is counted over all documents.
 """
 
 from __future__ import annotations
@@ -28,9 +28,7 @@ from .session import checkpoint, workers_import_this
 MIN_SCORE = 0.6
 #: The least number of matched words that is evidence of a copy; an item with fewer words has none to give.
 MIN_WORDS = 8
-#: Documents that tell which words are rare.
-SAMPLE_DOCS = 5_000
-#: Words of test items that tasks may hold in memory (about 32 bytes each); with more, blocks are joined.
+#: Words of test items that tasks may hold in memory (about 64 bytes each); with more, blocks are joined.
 HELD_GRAMS = 1_000_000
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
 _OTHER = np.ones(256, dtype=bool)
@@ -66,17 +64,58 @@ def item_words(benchmark: DataFrame, min_score: float) -> DataFrame:
     return checkpoint(got.where("n > 0 AND need <= n").withColumn("i", F.xxhash64("item")))
 
 
-def rarest(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(i, cls, least, w, times): of each item's text the rarest n - need + least
-    words, of which a passage that reaches the score holds ``least``."""
+class Lookup:
+    """The places of word hashes in a sorted array of different ones: their first bits lead to the few that begin like them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, known: np.ndarray) -> None:
+        bits = max(8, (4 * len(known)).bit_length())
+        self.known, self.shift = known, np.uint64(64 - bits)
+        ends = np.searchsorted(known >> self.shift, np.arange(2**bits, dtype=np.uint64), side="right")
+        self.first = np.concatenate(([0], ends[:-1])).astype(np.int32)
+        self.most = int(np.diff(ends, prepend=0).max())
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash; -1 where it isn't known."""
+        at, out = self.first[h >> self.shift], np.full(len(h), -1, dtype=np.int64)
+        for k in range(self.most):
+            here = np.minimum(at + k, len(self.known) - 1)
+            out = np.where(self.known[here] == h, here, out)
+        return out
+
+
+def how_often(docs: DataFrame, items: DataFrame, held: bool) -> DataFrame:
+    """(w, c): how many words of all documents are w, for the words of the items; a word that no document has may be left out.
+
+    held: tasks count on an array of the items' words; else all words of a batch are counted.
+    """
+
+    def all_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                w, c = np.unique(np.concatenate([tokens(t.as_py())[3] for t in batch.column(0).slice(at, 256)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], names=["w", "c"])
+
+    each = items.select(F.explode("words").alias("w")).distinct()
+    if not held:
+        counted = docs.select("text").mapInArrow(all_words, "w long, c long")
+        return counted.groupBy("w").agg(F.sum("c").alias("c")).join(each, "w", "left_semi")
+    look = Lookup(np.sort(np.array([r.w for r in each.collect()], dtype=np.int64).view(np.uint64)))
+
+    def item_words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(len(look.known) + 1, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(tokens(text.as_py())[3].view(np.int64)))], names=["w"])
+                seen += np.bincount(look.places(tokens(text.as_py())[3]) + 1, minlength=len(seen))
+        some = np.flatnonzero(seen[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(look.known[some].view(np.int64)), pa.array(seen[1:][some])], names=["w", "c"])
+
+    return docs.select("text").mapInArrow(item_words_only, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+
 
-    step = max(1, docs.count() // SAMPLE_DOCS)
-    often = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("text").mapInArrow(run, "w long").groupBy("w").agg(F.count("*").alias("c"))
+def rarest(docs: DataFrame, items: DataFrame, held: bool = True) -> DataFrame:
+    """(i, cls, least, w, times): of each item's text the n - need + least words that
+    are rarest in all documents, of which a passage that reaches the score holds ``least``."""
+    often = how_often(docs, items, held)
     texts = items.dropDuplicates(["i"]).withColumn("least", F.greatest(F.lit(1), F.expr("need div 2")))
     each = texts.select("i", "cls", "least", (F.col("n") - F.col("need") + F.col("least")).alias("p"), F.explode("words").alias("w"))
     ranked = each.join(often, "w", "left").groupBy("i", "cls", "least", "p").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "w"))).alias("x"))
@@ -139,16 +178,23 @@ def _held(docs: DataFrame, items: DataFrame, index: DataFrame, schema: str, min_
         known, first, count = np.unique(w.view(np.uint64)[order], return_index=True, return_counts=True)
         step = 3 * max(len(told[members[k][0]][3]) for k in mine.tolist())
         classes.append((known, first, count, local[order], times[order], mine, bound, step))
+    look = Lookup(np.unique(np.concatenate([x[0] for x in classes])) if classes else np.zeros(0, dtype=np.uint64))
+    own = []  # the place in a class of each word of any class
+    for known, *_ in classes:
+        own.append(np.full(len(look.known), -1, dtype=np.int64))
+        own[-1][np.searchsorted(look.known, known)] = np.arange(len(known))
     item_type = to_arrow_type(items.schema["item_id"].dataType)
 
     def candidates(h: np.ndarray) -> list[int]:
         out: list[np.ndarray] = []
-        for known, first, count, item, times, mine, bound, step in classes:
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            place = np.flatnonzero(known[at] == h)
+        places = look.places(h)
+        met = np.flatnonzero(places >= 0)
+        for (known, first, count, item, times, mine, bound, step), local in zip(classes, own):
+            at = local[places[met]]
+            place = met[at >= 0]
             if len(place) < bound.min():
                 continue
-            block, word, seen = _blocks(place, at[place], step, len(h), len(known))
+            block, word, seen = _blocks(place, at[at >= 0], step, len(h), len(known))
             n = count[word]
             entry = np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             key, back = np.unique(np.repeat(block, n) * len(mine) + item[entry], return_inverse=True)
@@ -267,7 +313,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, min_score: float = MI
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = f"doc_id {doc_kind}, item_id {item_kind}, score double, matched long, item_words long, start long, n_words long, passage string"
     n_words = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    index = checkpoint(rarest(docs, items))
-    out = (_held if n_words <= held_grams else _joined)(docs, items, index, schema, min_score)
+    held = n_words <= held_grams
+    index = checkpoint(rarest(docs, items, held))
+    out = (_held if held else _joined)(docs, items, index, schema, min_score)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "matched", "item_words", (-F.col("start")).alias("before"), "n_words", "passage")).alias("b"))
     return best.select("doc_id", "item_id", "b.score", "b.matched", "b.item_words", (-F.col("b.before")).alias("start"), "b.n_words", "b.passage")
