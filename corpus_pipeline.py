@@ -36,6 +36,8 @@ def _row() -> Column:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays.
 
+    SimHash fingerprints (the operator of op4) propose pairs, whole sets of shingles decide, and
+    pairs that fingerprints miss are found by an exact join.
     Rows with a null id stay. Rows that share an id but not a text are documents of
     their own; rows equal in both are one document and stay or go together. Null texts and texts
     without words are one group; an empty table stays empty.

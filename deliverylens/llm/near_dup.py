@@ -1,11 +1,15 @@
-"""Near-duplicate documents: an exact join of their sets of five-word shingles.
+"""Near-duplicate documents: SimHash, then an exact join of their sets of five-word shingles.
 
 Two documents are linked if the Jaccard similarity of their sets is at least
-``similarity``, and every such pair is met. In one order of all shingles, two
-sets that similar share one of the first n - ceil(similarity * n) + 1 of each:
-these few are a set's keys (prefix filter). Shingles that are frequent in a
-sample come last in the order, which keeps the buckets of a key small and
-changes no result. Sets that share a key are compared if their sizes, and what
+``similarity``, and every such pair is met. SimHash comes first, with the
+fingerprints and links of simhash.py: sets whose fingerprints are equal or at
+most MAX_BITS apart are compared, each with the smallest and the nearest of
+those. Similar sets can lie farther apart, so a join finds all others.
+
+In one order of all shingles, two sets that similar share one of the first
+n - ceil(similarity * n) + 1 of each: these few are a set's keys (prefix filter).
+Shingles that are frequent in a sample come last in the order, which keeps the
+buckets of a key small and changes no result. Sets that share a key are compared if their sizes, and what
 follows the key in each, leave room for the similarity, and if their bitmaps
 do: each shingle flips one bit, so that two sets differ in at least as many
 shingles as their bitmaps do in bits. The whole sets decide.
@@ -29,11 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from . import words as W
 from .components import components
 from .session import checkpoint, drop_shuffles, workers_import_this
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: In how many bits fingerprints may differ to be linked, as in op4.
+MAX_BITS = 2
 #: The order of shingles is told from so many documents; it holds so many frequent ones (8 bytes each).
 SAMPLE_DOCS, FREQUENT = 10_000, 100_000
 #: Ids that are sent to all tasks (8 bytes each); with more, the texts are shuffled.
@@ -102,8 +109,9 @@ def frequent(texts: DataFrame) -> np.ndarray:
 
 
 def keyed(texts: DataFrame, similarity: float) -> DataFrame:
-    """(id, u, n, keys, n_rare, bits, fold): the set of each text by number and size, its first
-    shingles in order, of which n_rare aren't frequent, and its bitmaps: by its size, and of FOLD words."""
+    """(id, u, n, keys, n_rare, bits, fold, fp): the set of each text by number and size, its first
+    shingles in order, of which n_rare aren't frequent, its bitmaps: by its size, and of FOLD words, and
+    its SimHash fingerprint."""
     last = frequent(texts)
     order = np.argsort(last, kind="stable")
     known, rank = last[order], (len(last) - np.arange(len(last)))[order]
@@ -118,12 +126,30 @@ def keyed(texts: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(1)]
+            texts = batch.column(1).to_pylist()
+            found = [shingles(t) for t in texts]
             keys = [first(x) for x in found]
-            cols = [pa.array([unit_of(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int32()), pa.array([k for k, _ in keys], pa.list_(pa.int64())), pa.array([r for _, r in keys], pa.int32()), pa.array([bitmap(x) for x in found], pa.binary()), pa.array([np.frombuffer(bitmap(x, 64 * FOLD), dtype=np.int64) for x in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", "u", "n", "keys", "n_rare", "bits", "fold"])
-
-    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, u long, n int, keys array<long>, n_rare int, bits binary, fold array<long>")
+            fps = np.array([simhash.fingerprint(simhash.shingle_hashes(t, SHINGLE)) for t in texts], dtype=np.uint64)
+            cols = [pa.array([unit_of(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int32()), pa.array([k for k, _ in keys], pa.list_(pa.int64())), pa.array([r for _, r in keys], pa.int32()), pa.array([bitmap(x) for x in found], pa.binary()), pa.array([np.frombuffer(bitmap(x, 64 * FOLD), dtype=np.int64) for x in found], pa.list_(pa.int64())), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", "u", "n", "keys", "n_rare", "bits", "fold", "fp"])
+
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, u long, n int, keys array<long>, n_rare int, bits binary, fold array<long>, fp long")
+
+
+def by_fingerprint(reps: DataFrame) -> DataFrame:
+    """(a, b), a < b: the sets of (u, fp) that SimHash proposes. The smallest set of a fingerprint
+    stands for it: the others of the fingerprint meet it, and it meets those of the smallest and
+    of the nearest of the linked fingerprints."""
+    least = checkpoint(reps.groupBy("fp").agg(F.min("u").alias("least")))
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    two = F.array_distinct(F.array(F.min("a"), F.min_by("a", F.struct(apart, "a"))))
+    linked = simhash.links(least, MAX_BITS).select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select("x.*")
+    linked = linked.groupBy("b").agg(two.alias("a")).select(F.explode("a").alias("a"), "b")
+    for x in "ab":
+        linked = linked.join(least.select(F.col("fp").alias(x), F.col("least").alias(f"u_{x}")), x)
+    linked = linked.select(F.least("u_a", "u_b").alias("a"), F.greatest("u_a", "u_b").alias("b"))
+    equal = reps.join(least, "fp").where("u > least").select(F.col("least").alias("a"), F.col("u").alias("b"))
+    return linked.union(equal).distinct()
 
 
 def _may_be(a: dict[str, Column], b: dict[str, Column], similarity: float) -> Column:
@@ -195,7 +221,7 @@ def groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
     texts = texts.where("id IS NOT NULL")
     found = checkpoint(keyed(texts, similarity))
     units = found.groupBy("u").agg(*(F.first(c).alias(c) for c in ("n", "keys", "n_rare")))
-    reps = checkpoint(found.groupBy("u").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "bits", "fold"))))
+    reps = checkpoint(found.groupBy("u").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), *(F.first(c).alias(c) for c in ("n", "bits", "fold"))))
     each = units.select("u", "n", "n_rare", F.posexplode("keys").alias("pos", "k")).select("k", "u", "n", "pos", F.expr("pos >= n_rare").alias("frequent"))
     met = checkpoint(_spread(each, "struct(u, n, pos)", "u").where("lo.u != hi").drop("hi"))
     drop_shuffles(spark)
@@ -203,7 +229,9 @@ def groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
     led = met.where(F.col("u") != F.col("lo.u")).where(_may_be({c: F.col(f"lo.{c}") for c in row}, row, similarity))
     led = _room(led.select(F.col("lo.u").alias("a"), F.col("u").alias("b")).distinct(), reps, similarity)
     two = F.array_distinct(F.array(F.min("a"), F.min_by("a", F.struct("d", "a"))))
-    led = checkpoint(led.groupBy("b").agg(two.alias("a")).select(F.explode("a").alias("a"), "b"))
+    led = led.groupBy("b").agg(two.alias("a")).select(F.explode("a").alias("a"), "b")
+    hashed = _room(by_fingerprint(reps.select("u", "fp")), reps, similarity).select("a", "b")
+    led = checkpoint(hashed.union(led).distinct())
     drop_shuffles(spark)
     sets = _sets_of(_members(led), texts, reps)
     links = checkpoint(_similar(led, sets, similarity))
