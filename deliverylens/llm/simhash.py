@@ -87,14 +87,16 @@ def links(fps: DataFrame, max_bits: int = 2, blocks: int | None = None) -> DataF
     given; with fewer there are fewer keys, of fewer bits each.
 
     A fingerprint has at most 2,080 neighbours within two bits, so the links
-    grow with the fingerprints and not with the square of a group.
+    grow with the fingerprints and not with the square of a group. Both sides are
+    shuffled and sorted: Spark sizes the keys as the fingerprints before they are
+    exploded, and would broadcast many times what it may.
     """
     if max_bits < 1:
         raise ValueError("equal fingerprints need no links")
     keyed = block_keys(fps.select("fp").distinct(), max_bits, blocks)
     left, right = keyed.withColumnRenamed("fp", "a"), keyed.select(F.col("fp").alias("b"), F.col("c").alias("c2"), F.col("k").alias("k2"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return left.join(right, (F.col("k") == F.col("k2")) & (F.col("c") == F.col("c2")) & (F.col("a") < F.col("b")) & close).select("a", "b")
+    return left.join(right.hint("merge"), (F.col("k") == F.col("k2")) & (F.col("c") == F.col("c2")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def groups(docs: DataFrame, *, shingle: int = 5, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
