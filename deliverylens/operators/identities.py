@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DISTANCE, LEAST_LENGTH = 2, 4
@@ -26,33 +26,29 @@ def shared_names(who: DataFrame) -> DataFrame:
     return who.where("norm != ''").groupBy("norm").agg(F.array_sort(F.collect_set("email")).alias("emails"), F.sum("n").alias("n")).where(F.size("emails") > 1)
 
 
-def _without_one(s: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda k: F.concat(F.substring(s, F.lit(1), k - 1), F.substring(s, k + 1, F.length(s))))
+def _left_overs(names: DataFrame, name: str) -> DataFrame:
+    """(name, key): a hash of each name and of all that is left of it without one letter or two: names
+    within two edits share one of these. A row's letters i < j are taken out, where places past the end
+    hold none; letter by letter in rows, as arrays of arrays of strings would be built outside compiled code."""
+    n = F.length("s")
+    rows = names.select("s", F.explode(F.sequence(F.lit(1), n + 1)).alias("i"))
+    rows = rows.select("s", "i", F.explode(F.sequence(F.col("i") + 1, F.greatest(n + 1, F.col("i") + 1))).alias("j"))
+    cut = lambda at, size: F.substring("s", at, size)
+    left = F.concat(cut(F.lit(1), F.col("i") - 1), cut(F.col("i") + 1, F.col("j") - F.col("i") - 1), cut(F.col("j") + 1, n))
+    return rows.select(F.col("s").alias(name), F.xxhash64(left).alias("key"))
 
 
-def _left_overs(s: Column) -> Column:
-    """A name and all that is left of it without one letter or two: names within two edits share one of these."""
-    one = _without_one(s)
-    return F.array_distinct(F.concat(F.array(s), one, F.flatten(F.transform(one, _without_one))))
-
-
-def _thirds(s: Column) -> Column:
-    """A name's thirds with its length and their index: two edits leave one of them whole."""
-    n = F.length(s)
-    cut = lambda k: F.floor(n * k / 3).cast("int")
-    return F.array(*[F.concat_ws("|", n, F.lit(k), F.substring(s, cut(k) + 1, cut(k + 1) - cut(k))) for k in range(3)])
-
-
-def _places_of_thirds(s: Column) -> Column:
-    """Wherever a third of a name that is up to two letters shorter, or as long, may lie in this one."""
-    n, out = F.length(s), []
-    for less in range(DISTANCE + 1):
-        cut = lambda k, m=n - less: F.floor(m * k / 3).cast("int")
-        for k in range(3):
-            for shift in range(-DISTANCE, DISTANCE + 1):
-                at, size = cut(k) + shift, cut(k + 1) - cut(k)
-                out.append(F.when((at >= 0) & (at + size <= n), F.concat_ws("|", n - less, F.lit(k), F.substring(s, at + 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*out)))
+def _places(names: DataFrame, name: str, less: int, shift: int) -> DataFrame:
+    """(name, key): a hash of the thirds of names that are up to ``less`` letters shorter, or as long, with
+    their length and index, wherever within ``shift`` letters they may lie in this one. With 0 and 0 a name's
+    own thirds: two edits leave one of them whole."""
+    n, span = F.length("s"), 2 * shift + 1
+    rows = names.select("s", F.explode(F.sequence(F.lit(0), F.lit(3 * span * (less + 1) - 1))).alias("x"))
+    rows = rows.select("s", (n - F.floor(F.col("x") / (3 * span)).cast("int")).alias("m"), F.floor(F.col("x") % (3 * span) / span).cast("int").alias("k"), (F.col("x") % span - shift).alias("by"))
+    cut = lambda k: F.floor(F.col("m") * k / 3).cast("int")
+    rows = rows.select("s", "m", "k", (cut(F.col("k")) + F.col("by")).alias("at"), (cut(F.col("k") + 1) - cut(F.col("k"))).alias("size"))
+    rows = rows.where((F.col("at") >= 0) & (F.col("at") + F.col("size") <= n))
+    return rows.select(F.col("s").alias(name), F.xxhash64("m", "k", F.substring("s", F.col("at") + 1, F.col("size"))).alias("key"))
 
 
 def near_names(who: DataFrame) -> DataFrame:
@@ -60,25 +56,23 @@ def near_names(who: DataFrame) -> DataFrame:
 
     Exact without comparing all pairs: names meet by a key that any two within
     the distance share, and the edit distance decides. What is joined is a name
-    once, however often it occurs. Short names share keys with many: their number
+    once, however often it occurs; joins are sorted shuffles, as Spark takes the keys, up to
+    137 a name, for as small as the names and would broadcast them. Short names share keys with many: their number
     is bounded by the alphabet (at most 36^4 names of four letters). Pairs that share an address
     are one person by ``shared_addresses``.
     """
     names = who.where(F.length("norm") >= LEAST_LENGTH).select(F.col("norm").alias("s")).distinct()
     near = F.levenshtein("a", "b", DISTANCE).between(1, DISTANCE)
 
-    def keyed(rows: DataFrame, keys: Column, name: str) -> DataFrame:
-        return rows.select(F.col("s").alias(name), F.explode(keys).alias("key"))
-
     short = names.where(F.length("s") <= SHORT + DISTANCE)
-    left, right = keyed(short, _left_overs(F.col("s")), "a"), keyed(short, _left_overs(F.col("s")), "b")
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    pairs = _left_overs(short, "a").join(_left_overs(short, "b").hint("merge"), "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
     long = names.where(F.length("s") > SHORT)
-    met = keyed(long, _thirds(F.col("s")), "a").join(keyed(long, _places_of_thirds(F.col("s")), "b"), "key").where(near)
+    met = _places(long, "a", 0, 0).join(_places(long, "b", DISTANCE, DISTANCE).hint("merge"), "key").where(near)
     pairs = pairs.union(met.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
-    mail = who.select("norm", "email").distinct()
-    one = pairs.join(mail.withColumnsRenamed({"norm": "a"}), "a").join(mail.withColumnsRenamed({"norm": "b"}), ["b", "email"]).select("a", "b").distinct()
-    return pairs.join(one, ["a", "b"], "left_anti").withColumn("distance", F.levenshtein("a", "b"))
+    mail = who.select("norm", "email").distinct().hint("merge")
+    both = pairs.join(mail.withColumnsRenamed({"norm": "a"}), "a").join(mail.withColumnsRenamed({"norm": "b"}).withColumn("shared", F.lit(True)), ["b", "email"], "left")
+    apart = both.groupBy("a", "b").agg(F.count("shared").alias("n")).where("n = 0")
+    return apart.select("a", "b", F.levenshtein("a", "b").alias("distance"))
 
 
 def collisions(commits: DataFrame) -> DataFrame:
