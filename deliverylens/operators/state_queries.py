@@ -312,13 +312,13 @@ def s10_inbox_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir)
     b = _bundles(e, F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd"))
     box = scratch(spark, "inbox")
-    b.select(F.concat_ws("_", "user_id", "day").alias("name"), "value").repartition(16, "name").write.partitionBy("name").text(box)
+    inbox.put_bundles(b.select(F.concat(F.concat_ws("_", "user_id", "day"), F.lit(".ndjson")).alias("name"), F.concat("value", F.lit("\n")).alias("value")), box)
     rows = Appended(spark, scratch(spark, "imported"), "event_id string, event_type string, person_id string")
     ledger = VersionedTable(spark, scratch(spark, "ledger"), inbox.LEDGER)
     allowed = {t: ["status"] for t in ("tool.call", "human.turn", "gate.evaluated")}
     none = spark.createDataFrame([], "file string, person_id string")
-    inbox.import_inbox(box, rows, ledger, allowed, none, "*.txt")
-    inbox.import_inbox(box, rows, ledger, allowed, none, "*.txt")
+    inbox.import_inbox(box, rows, ledger, allowed, none)
+    inbox.import_inbox(box, rows, ledger, allowed, none)
     held = rows.read().select("event_id").join(e.select(F.concat(F.lit("evt_"), "n").alias("event_id"), F.concat(F.lit("m"), "user_id").alias("machine_id")), "event_id").groupBy("machine_id").agg(F.count("*").alias("held"))
     told = ledger.read().groupBy("machine_id").agg(F.count("*").alias("bundles"), F.count("fault").alias("faulty"), F.sum("events").alias("events"), F.sum("rejected").alias("rejected"))
     return told.join(held, "machine_id", "left")

@@ -75,8 +75,12 @@ def bundle_files(spark: SparkSession, path: str, names: str = "*.ndjson") -> Dat
 
     ``digest`` is that of the whole text; ``fault`` is null, or the first of
     not_a_manifest, wrong_format, wrong_major, count_mismatch and checksum_mismatch.
+    Plain files are read as bytes, many times as fast as by the text reader where they are
+    small; names that may be of packed files go through that, which unpacks them.
     """
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path, wholetext=True)
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names)
+    plain = names.endswith((".ndjson", ".txt"))
+    files = found.format("binaryFile").load(path).withColumn("value", F.col("content").cast("string")) if plain else found.text(path, wholetext=True)
     files = files.select(F.col("_metadata.file_path").alias("file"), F.sha2("value", 256).alias("digest"), F.split("value", "\n", 2).alias("p"))
     head = F.from_json(F.col("p")[0], f"_manifest struct<{MANIFEST}>")["_manifest"]
     body = F.coalesce(F.get("p", F.lit(1)), F.lit(""))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +28,34 @@ def measured() -> Column:
     return F.coalesce(F.col("m.event_count") > 0, F.lit(False)) | F.col("m.sources").isNull() | watching
 
 
+def put_bundles(bundles: DataFrame, path: str, folders: int = 64) -> int:
+    """Write bundles (name, value) into an inbox on any store that Arrow can open, a file each; how many there are.
+
+    A file appears whole under its name, so a task that runs twice only replaces it. Files lie
+    in folders by a hash of their names, which Spark lists side by side.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        uri = "file://" + path.removeprefix("file:") if path.startswith("file:") and not path.startswith("file://") else path
+        store, at = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+        made = set()
+        for batch in batches:
+            for name, value, k in zip(*(c.to_pylist() for c in batch.columns)):
+                if k not in made:
+                    store.create_dir(f"{at}/{k:03d}", recursive=True)
+                    made.add(k)
+                aside = f"{at}/{k:03d}/{name}.{uuid.uuid4().hex}.tmp"
+                with store.open_output_stream(aside) as out:
+                    out.write(value.encode())
+                store.move(aside, f"{at}/{k:03d}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    rows = bundles.select("name", "value", F.pmod(F.xxhash64("name"), F.lit(folders)).alias("k"))
+    return rows.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def import_inbox(path: str, table: Appended, ledger: VersionedTable, allowed: dict[str, list[str]], identities: DataFrame, names: str = "*.ndjson") -> DataFrame:
     """One pass over an inbox: new bundles' events go to the table, the bundles to the ledger, whose new rows it returns.
 
@@ -32,7 +64,8 @@ def import_inbox(path: str, table: Appended, ledger: VersionedTable, allowed: di
     ``allowed`` for their type are rejected one by one. Of events with one id the first
     stays, and those that the table has are left out. ``identities`` (file, person_id)
     fills missing people and never replaces one; a file is its last path part. Events come
-    before the ledger, so a pass that stops between them is made good by the next.
+    before the ledger, so a pass that stops between them is made good by the next. Files are
+    read once: new bundles are kept aside, for the table and the ledger, until the pass ends.
     """
     spark = ledger.spark
     seen = ledger.version()
@@ -40,17 +73,23 @@ def import_inbox(path: str, table: Appended, ledger: VersionedTable, allowed: di
     files = bundle_files(spark, path, names).withColumn("file", F.element_at(F.split("file", "/"), -1))
     nth = F.row_number().over(Window.partitionBy("digest").orderBy("file"))
     files = files.join(known, "digest", "left_anti").withColumn("nth", nth).where("nth = 1").drop("nth")
-    lines = files.where("fault IS NULL").select("file", "digest", F.explode("rows").alias("value"))
-    rows = flat(parsed(lines).where("e.event_type IS NOT NULL"), "file", "digest").withColumn("bad", F.size(extra_attributes(allowed)) > 0)
-    who = identities.where("trim(person_id) != ''").select("file", F.col("person_id").alias("who"))
-    good = rows.where("NOT bad").join(who, "file", "left").withColumn("person_id", F.coalesce("person_id", "who")).drop("bad", "who", "file", "digest")
-    table.append(keep_first(good).join(table.read().select("event_id"), "event_id", "left_anti"))
-    counts = rows.groupBy("digest").agg(F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("rejected"))
-    told = files.join(counts, "digest", "left").select(
-        "digest", "file", "m.machine_id", "m.window_start", "m.window_end", F.coalesce("good", F.lit(0)).cast("long").alias("events"), F.coalesce("rejected", F.lit(0)).cast("long").alias("rejected"),
-        F.when(F.col("fault").isNull(), measured()).alias("measured"), "fault",
-    )
-    after = ledger.replace(ledger.read(seen).unionByName(told), seen)
+    aside = f"_read-{uuid.uuid4().hex}"
+    try:
+        files.write.parquet(f"{table.folder.path}/{aside}")
+        files = spark.read.schema(files.schema).parquet(f"{table.folder.path}/{aside}")
+        lines = files.where("fault IS NULL").select("file", "digest", F.explode("rows").alias("value"))
+        rows = flat(parsed(lines).where("e.event_type IS NOT NULL"), "file", "digest").withColumn("bad", F.size(extra_attributes(allowed)) > 0)
+        who = identities.where("trim(person_id) != ''").select("file", F.col("person_id").alias("who"))
+        good = rows.where("NOT bad").join(who, "file", "left").withColumn("person_id", F.coalesce("person_id", "who")).drop("bad", "who", "file", "digest")
+        table.append(keep_first(good).join(table.read().select("event_id"), "event_id", "left_anti"))
+        counts = rows.groupBy("digest").agg(F.count_if(~F.col("bad")).alias("good"), F.count_if("bad").alias("rejected"))
+        told = files.join(counts, "digest", "left").select(
+            "digest", "file", "m.machine_id", "m.window_start", "m.window_end", F.coalesce("good", F.lit(0)).cast("long").alias("events"), F.coalesce("rejected", F.lit(0)).cast("long").alias("rejected"),
+            F.when(F.col("fault").isNull(), measured()).alias("measured"), "fault",
+        )
+        after = ledger.replace(ledger.read(seen).unionByName(told), seen)
+    finally:
+        table.folder.delete(aside)
     return ledger.read(after).join(ledger.read(seen).select("digest"), "digest", "left_anti")
 
 

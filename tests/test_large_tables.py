@@ -1,6 +1,13 @@
 """What large tables showed: joins on made keys, and work done once."""
 
+import hashlib
+import json
+import shutil
+
 from deliverylens.operators import identities
+from deliverylens.operators.versions import Appended, VersionedTable
+from deliverylens.sources import inbox
+from deliverylens.sources.events import bundle_files
 
 
 def _plan(df):
@@ -27,3 +34,22 @@ def test_left_overs_and_places_are_whole(spark):
     edits = spark.createDataFrame([("abcdefghijklmnopq"[:k] + more + "abcdefghijklmnopq"[k + less :],) for k in range(16) for more, less in (("xy", 2), ("xy", 0), ("", 2), ("x", 0))], "s string")
     met = identities._places(long, "a", 0, 0).join(identities._places(edits.where("length(s) >= 17"), "b", 2, 2), "key")
     assert met.select("b").distinct().count() == edits.where("length(s) >= 17").distinct().count()
+
+
+def test_inbox_is_read_once(spark, tmp_path):
+    box, values = str(tmp_path / "box"), []
+    for n in range(40):
+        body = json.dumps({"event_id": f"e{n}", "event_type": "tool.call", "attributes": {"status": "é"}}, ensure_ascii=False) + "\n"
+        head = {"_manifest": {"format": "telemetry-bundle", "schema_version": "1.0.0", "machine_id": f"m{n % 3}", "event_count": 1, "sha256": hashlib.sha256(body.encode()).hexdigest()}}
+        values.append((f"b{n}.ndjson", json.dumps(head) + "\n" + body))
+    assert inbox.put_bundles(spark.createDataFrame(values, "name string, value string").repartition(3), f"file:{box}", 4) == 40
+    found = bundle_files(spark, box)
+    assert "struct<content:binary>" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.file.split("/")[-1], r.digest, r.fault) for r in found.collect()) == sorted((f, hashlib.sha256(v.encode()).hexdigest(), None) for f, v in values)
+    table = Appended(spark, f"file:{tmp_path}/table", "event_id string, event_type string, person_id string")
+    ledger = VersionedTable(spark, f"file:{tmp_path}/ledger", inbox.LEDGER)
+    append = table.append
+    table.append = lambda df: (append(df), shutil.rmtree(box))  # the inbox goes before the ledger is written
+    told = inbox.import_inbox(box, table, ledger, {"tool.call": ["status"]}, spark.createDataFrame([], "file string, person_id string"))
+    assert told.count() == 40 and table.read().count() == 40 and ledger.read().agg({"events": "sum"}).first()[0] == 40
+    assert not [n for n in table.folder.names() if n.startswith("_read")]
