@@ -28,6 +28,8 @@ def plan(f: Callable[[Spark], str]) -> Callable[[Spark], str]:
 #: Relations worth keeping when a plan reads them more than once.
 SHARED = ("ev", "runs", "priced", "outputs", "fct_run", "fct_output")
 KEPT = 6
+#: Plans that take few columns of a relation and read it anew: kept whole it would cost them more disk.
+ANEW = {"m03_cost_per_accepted": ("ev",)}
 _kept: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -55,7 +57,7 @@ def runner(f: Callable[[Spark], str]) -> Callable[[SparkSession, str], DataFrame
             df = spark.sql(named(sql))
             # Each reference prunes columns its own way, so Spark wouldn't reuse the
             # shuffles below; cached once, they are read from there.
-            if name in SHARED and len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text)) > 1:
+            if name in SHARED and name not in ANEW.get(f.__name__, ()) and len(re.findall(rf"\b(?:FROM|JOIN)\s+{name}\b", text)) > 1:
                 _keep(df, sf_dir, name)
             df.createOrReplaceTempView(f"telemetry_{name}")
         return spark.sql(named(body))
@@ -482,9 +484,10 @@ def m02_rework_rate(d: Spark) -> str:
 @plan
 def m03_cost_per_accepted(d: Spark) -> str:
     """Cost of all runs, those without outputs too, over accepted outputs."""
+    runs = "fct_run" if d.name == "duck" else "run_cost"
     return f"""
 SELECT coalesce(a.agent_name, b.agent_name) AS agent_name, a.cost_nano, a.n_runs, a.costed, b.accepted, a.cost_nano / 1e9 / nullif(b.accepted, 0) AS cost_per_accepted, CAST({rate('a.costed', 'a.n_runs')} AS DOUBLE) AS cost_complete_pct
-FROM (SELECT agent_name, {d.big('sum(cost_nano)')} AS cost_nano, count(*) AS n_runs, count(cost_nano) AS costed FROM fct_run GROUP BY agent_name) a
+FROM (SELECT agent_name, {d.big('sum(cost_nano)')} AS cost_nano, count(*) AS n_runs, count(cost_nano) AS costed FROM {runs} GROUP BY agent_name) a
 FULL OUTER JOIN (SELECT agent_name, {d.big("count_if(acceptance_state = 'accepted')")} AS accepted FROM fct_output GROUP BY agent_name) b ON a.agent_name IS NOT DISTINCT FROM b.agent_name"""
 
 

@@ -15,17 +15,22 @@ from .dialect import Spark
 EVENTS_AS_OF, ORDERS_AS_OF = "2024-01-31 00:00:00", "2001-09-01 00:00:00"
 
 
-def ev0(d: Spark) -> str:
-    """One row an event, in the domain's names."""
-    return f"""
-SELECT concat('evt_', event_id) AS event_id, ts AS event_time, ts + {d.days('event_id % 11')} AS ingested_at, event_id AS n,
+def named(d: Spark, ingested_at: str) -> str:
+    """The columns of stored events in the domain's names."""
+    return f"""concat('evt_', event_id) AS event_id, ts AS event_time, {ingested_at} AS ingested_at, event_id AS n,
   user_id, concat('p_', user_id) AS person_id, concat('ses_', user_id, '_', {d.day_key('ts')}) AS trace_id,
   concat('run_', user_id, '_', {d.day_key('ts')}, '_', {d.div('hour(ts)', '8')}) AS run_id,
   CASE event_type WHEN 'signup' THEN 'run.started' WHEN 'view' THEN 'tool.call' WHEN 'click' THEN 'human.turn' WHEN 'purchase' THEN 'model.call' ELSE 'gate.evaluated' END AS event_type,
   {d.json_long('props', 'k')} AS k, value,
   concat('agent_', user_id % 7) AS agent_name, CASE WHEN user_id % 4 <> 0 THEN concat('skill_', user_id % 4) END AS skill_name,
   CASE user_id % 3 WHEN 0 THEN 'copilot-cli' WHEN 1 THEN 'vscode-copilot-chat' ELSE 'headless' END AS surface,
-  CASE WHEN user_id % 5 = 0 THEN 'heuristic' ELSE 'explicit' END AS link_method
+  CASE WHEN user_id % 5 = 0 THEN 'heuristic' ELSE 'explicit' END AS link_method"""
+
+
+def ev0(d: Spark) -> str:
+    """One row an event, in the domain's names."""
+    return f"""
+SELECT {named(d, f"ts + {d.days('event_id % 11')}")}
 FROM events"""
 
 
@@ -37,10 +42,17 @@ SELECT event_id, event_time, ingested_at + {d.days('1')} AS ingested_at, n, user
 
 
 def ev(d: Spark) -> str:
-    """Deliveries without re-deliveries: of one event_id the earliest stays."""
-    return """
+    """Deliveries without re-deliveries: of one event_id the earliest stays. In Spark the
+    stored columns are shuffled, and what follows from them is worked out for the rows that stay."""
+    if d.name == "duck":
+        return """
 SELECT event_id, event_time, ingested_at, n, user_id, person_id, trace_id, run_id, event_type, k, value, agent_name, skill_name, surface, link_method
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY coalesce(ingested_at, event_time), event_time) AS nth FROM delivered) AS x WHERE nth = 1"""
+    stored, arrived = "event_id, ts, user_id, event_type, value, props", f"ts + {d.days('event_id % 11')}"
+    return f"""
+SELECT {named(d, 'arrived')}
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY coalesce(arrived, ts), ts) AS nth FROM (
+  SELECT {stored}, {arrived} AS arrived FROM events UNION ALL SELECT {stored}, {arrived} + {d.days('1')} AS arrived FROM events WHERE event_id % 10 = 0) AS y) AS x WHERE nth = 1"""
 
 
 def tools(d: Spark) -> str:
@@ -165,6 +177,13 @@ FROM runs r JOIN sessions s ON r.trace_id = s.trace_id LEFT JOIN terminal t ON r
 LEFT JOIN gate_rollup g ON r.run_id = g.run_id LEFT JOIN tool_rollup o ON r.run_id = o.run_id LEFT JOIN turn_rollup h ON r.run_id = h.run_id"""
 
 
+def run_cost(d: Spark) -> str:
+    """Agent and cost of each run as the run fact has them, without what else the fact joins."""
+    return """
+SELECT r.agent_name, CASE WHEN r.run_count = 1 THEN u.cost_nano END AS cost_nano
+FROM (SELECT *, count(run_id) OVER (PARTITION BY trace_id) AS run_count FROM runs WHERE trace_id IS NOT NULL) AS r LEFT JOIN usage u ON r.trace_id = u.trace_id"""
+
+
 def prs(d: Spark) -> str:
     """The pull request fact over orders."""
     t = "CAST(o_orderdate AS TIMESTAMP)" if d.name == "duck" else "CAST(o_orderdate AS TIMESTAMP_NTZ)"
@@ -184,8 +203,11 @@ def claims(d: Spark) -> str:
 
 
 def outputs(d: Spark) -> str:
-    """Outputs: the first claim of each (order, line, part); several suppliers on one line quarantine it."""
-    return f"""
+    """Outputs: the first claim of each (order, line, part); several suppliers on one line quarantine it.
+    In Spark all of it follows from one shuffle by order, and claims needn't be made distinct first:
+    a repeated claim is neither another first one nor another supplier."""
+    if d.name == "duck":
+        return f"""
 SELECT x.*, q.suppliers > 1 AS quarantined, p.created_on + {d.hours('x.l_linenumber * 24')} AS committed_at
 FROM (SELECT l_orderkey AS pr_id, l_linenumber, l_partkey, l_suppkey, concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS output_id, {d.big('l_quantity')} AS lines_added,
         l_returnflag = 'R' AS reused, concat('agent_', l_suppkey % 7) AS agent_name, l_linestatus,
@@ -193,6 +215,13 @@ FROM (SELECT l_orderkey AS pr_id, l_linenumber, l_partkey, l_suppkey, concat_ws(
 JOIN (SELECT l_orderkey, l_linenumber, count(DISTINCT l_suppkey) AS suppliers FROM claims GROUP BY l_orderkey, l_linenumber) AS q
   ON x.pr_id = q.l_orderkey AND x.l_linenumber = q.l_linenumber
 JOIN prs p ON x.pr_id = p.pr_id WHERE nth = 1"""
+    return f"""
+SELECT x.l_orderkey AS pr_id, x.l_linenumber, x.l_partkey, x.l_suppkey, concat_ws('-', x.l_orderkey, x.l_linenumber, x.l_partkey) AS output_id, {d.big('x.l_quantity')} AS lines_added,
+  x.l_returnflag = 'R' AS reused, concat('agent_', x.l_suppkey % 7) AS agent_name, x.l_linestatus, x.nth, x.several AS quarantined, p.created_on + {d.hours('x.l_linenumber * 24')} AS committed_at
+FROM (SELECT *, coalesce(min(l_suppkey) OVER (PARTITION BY l_orderkey, l_linenumber) < max(l_suppkey) OVER (PARTITION BY l_orderkey, l_linenumber), false) AS several
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey ORDER BY l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS nth
+    FROM (SELECT * FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL DISTRIBUTE BY l_orderkey) AS c) AS n) AS x
+JOIN prs p ON x.l_orderkey = p.pr_id WHERE x.nth = 1"""
 
 
 def rework(d: Spark) -> str:
@@ -204,9 +233,10 @@ FROM outputs o JOIN prs p ON o.pr_id = p.pr_id GROUP BY o.pr_id"""
 
 
 def fct_output(d: Spark) -> str:
-    """The output fact with its acceptance state: the order of the branches is the rule."""
+    """The output fact with its acceptance state: the order of the branches is the rule. In Spark
+    rework is summed by window over the same rows, so that outputs are read once and not kept."""
     as_of = d.ts(ORDERS_AS_OF)
-    return f"""
+    text = f"""
 SELECT y.*, CASE WHEN acceptance_reason IN ('awaiting_commit', 'no_pull_request', 'unmerged', 'immature') THEN 'in_flight'
     WHEN acceptance_reason IN ('under_ratio', 'ratio_undefined') THEN 'accepted' WHEN acceptance_reason = 'over_ratio' THEN 'reworked'
     WHEN acceptance_reason = 'reused' THEN 'reused' WHEN acceptance_reason = 'quarantined' THEN 'quarantined' ELSE 'rejected' END AS acceptance_state
@@ -223,6 +253,14 @@ FROM (
       WHEN coalesce(w.after_review, 0) * 1.0 / nullif(w.generated, 0) > 0.25 THEN 'over_ratio'
       WHEN coalesce(w.after_review, 0) * 1.0 / nullif(w.generated, 0) <= 0.25 THEN 'under_ratio' ELSE 'ratio_undefined' END AS acceptance_reason
   FROM outputs o JOIN prs p ON o.pr_id = p.pr_id LEFT JOIN rework w ON o.pr_id = w.pr_id) AS y"""
+    if d.name == "duck":
+        return text
+    over = "OVER (PARTITION BY o.pr_id)"
+    rows = f"""(
+    SELECT o.*, p.created_on, p.merged_at, p.reverted_at, p.declined_at, p.repo, p.is_draft, p.is_bot_only, {d.big(f'sum(CASE WHEN NOT o.reused THEN o.lines_added ELSE 0 END) {over}')} AS generated,
+      CASE WHEN min(p.first_review_at) {over} IS NOT NULL THEN {d.big(f'sum(CASE WHEN o.committed_at > p.first_review_at AND NOT o.reused THEN o.lines_added ELSE 0 END) {over}')} END AS after_review
+    FROM outputs o JOIN prs p ON o.pr_id = p.pr_id) AS z) AS y"""
+    return re.sub(r"\b[opw]\.", "z.", text.rpartition("FROM outputs")[0]) + "FROM " + rows
 
 
 def people(d: Spark) -> str:
@@ -239,7 +277,7 @@ SELECT p_partkey AS case_id, CASE p_size % 4 WHEN 0 THEN 'Automated' WHEN 1 THEN
 FROM part"""
 
 
-RELATIONS = {f.__name__: f for f in (ev0, delivered, ev, tools, turns, gates, calls, prices, priced, runs, sessions, usage, gate_final, gate_rollup, tool_rollup, turn_rollup, terminal, fct_run, prs, claims, outputs, rework, fct_output, people, cases)}
+RELATIONS = {f.__name__: f for f in (ev0, delivered, ev, tools, turns, gates, calls, prices, priced, runs, sessions, usage, gate_final, gate_rollup, tool_rollup, turn_rollup, terminal, fct_run, run_cost, prs, claims, outputs, rework, fct_output, people, cases)}
 
 
 def parts(d: Spark, body: str) -> dict[str, str]:

@@ -2,12 +2,17 @@
 
 import hashlib
 import json
+import os
 import shutil
 
+import duckdb
+
 from deliverylens.operators import identities
 from deliverylens.operators.versions import Appended, VersionedTable
+from deliverylens.plans import catalogue
 from deliverylens.sources import inbox
 from deliverylens.sources.events import bundle_files
+from tests.conftest import DATA
 
 
 def _plan(df):
@@ -53,3 +58,22 @@ def test_inbox_is_read_once(spark, tmp_path):
     told = inbox.import_inbox(box, table, ledger, {"tool.call": ["status"]}, spark.createDataFrame([], "file string, person_id string"))
     assert told.count() == 40 and table.read().count() == 40 and ledger.read().agg({"events": "sum"}).first()[0] == 40
     assert not [n for n in table.folder.names() if n.startswith("_read")]
+
+
+def test_cost_per_accepted_reads_claims_once_and_keeps_nothing(spark, tmp_path):
+    con, sf = duckdb.connect(), f"{DATA}/sf0.001"
+    more = {
+        "lineitem": "SELECT * FROM t WHERE l_partkey % 7 = 0 UNION ALL SELECT * REPLACE (l_suppkey + 1 AS l_suppkey) FROM t WHERE l_partkey % 5 = 0 UNION ALL SELECT * REPLACE (NULL::INT AS l_linenumber) FROM t WHERE l_partkey % 13 = 0",
+        "orders": "SELECT * REPLACE (o_orderdate + INTERVAL 3 DAY AS o_orderdate) FROM t WHERE o_orderkey % 6 = 0",
+        "events": "SELECT * REPLACE (ts + INTERVAL 5 HOUR AS ts, 'purchase' AS event_type) FROM t WHERE event_id % 4 = 0",
+    }
+    for t in os.listdir(sf):
+        name = t.removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS WITH t AS (SELECT * FROM '{sf}/{t}') SELECT * FROM t UNION ALL {more[name]}" if name in more else f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{t}'")
+        con.execute(f"COPY {name} TO '{tmp_path}/{t}'")
+    got = catalogue.queries()["m03_cost_per_accepted"](spark, str(tmp_path))
+    want = con.execute(catalogue.oracle_sql()["m03_cost_per_accepted"])
+    near = lambda rows: sorted([tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows], key=str)
+    assert got.columns == [c[0] for c in want.description] and near(tuple(r) for r in got.collect()) == near(want.fetchall())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and plan.count("l_shipdate") and plan.count("RepartitionByExpression [l_orderkey") == 1
