@@ -2,7 +2,8 @@
 
 The state of a session is small: its open run, running counters and places in one
 value; pending calls, sub-agents, gates and commit ranges in maps of their own, which
-are read by key. A session that is silent for a day is over: by a timer, or when its next
+are read by key. While a session's records are handled its maps are held: a key is read from the
+store once, of a new session none, and only what is left at the end is written. A session that is silent for a day is over: by a timer, or when its next
 record shows the gap. Then an open run is abandoned, pending calls and sub-agents are let go,
 and what is bound is told; a binding once told stays, though its head moves back to its base.
 """
@@ -24,16 +25,52 @@ _VALUE = {"run": "string", "run_at": "long", "repo": "string", "branch": "string
 _CALL = ("tool", "server", "gate", "path", "parent")
 
 
+class _Held:
+    """A map of one session's state while its rows are handled; ``empty`` if the store has none of it."""
+
+    def __init__(self, store, empty: bool) -> None:
+        self.store, self.empty, self.now, self.changed = store, empty, {}, set()
+
+    def get(self, key: str) -> tuple | None:
+        if key not in self.now:
+            self.now[key] = tuple(self.store.getValue((key,))) if not self.empty and self.store.containsKey((key,)) else None
+        return self.now[key]
+
+    def put(self, key: str, value: tuple | None) -> None:
+        self.now[key] = value
+        self.changed.add(key)
+
+    def clear(self) -> None:
+        if not self.empty:
+            self.store.clear()
+        self.empty, self.now, self.changed = True, {}, set()
+
+    def items(self) -> list[tuple[str, tuple]]:
+        if not self.empty:
+            for (key,), value in self.store.iterator():
+                self.now.setdefault(key, tuple(value))
+        return [(k, v) for k, v in sorted(self.now.items()) if v is not None]
+
+    def write(self) -> None:
+        for key in self.changed:
+            if self.now[key] is not None:
+                self.store.updateValue((key,), self.now[key])
+            elif not self.empty:
+                self.store.removeKey((key,))
+
+
 class JournalFold(StatefulProcessor):
     """Resolved rows of a session's records, in the order of their times and ids."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.value = handle.getValueState("session", ", ".join(f"{n} {t}" for n, t in _VALUE.items()))
-        self.calls = handle.getMapState("calls", "call string", ", ".join(f"{c} string" for c in _CALL))
-        self.subs = handle.getMapState("subs", "call string", "name string, run string")
-        self.gates = handle.getMapState("gates", "gate string", "n long")
-        self.ranges = handle.getMapState("ranges", "branch string", "base string, head string")
+        self.maps = {
+            "calls": handle.getMapState("calls", "call string", ", ".join(f"{c} string" for c in _CALL)),
+            "subs": handle.getMapState("subs", "call string", "name string, run string"),
+            "gates": handle.getMapState("gates", "gate string", "n long"),
+            "ranges": handle.getMapState("ranges", "branch string", "base string, head string"),
+        }
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         s = self._load()
@@ -42,8 +79,9 @@ class JournalFold(StatefulProcessor):
                 yield from self._over(key[0], s)
             yield from self._take(s, r)
             s["last"] = max(r.at_us, s["last"] or r.at_us)
+        known = self.known
         self._store(s)
-        for timer in list(self.handle.listTimers()):
+        for timer in list(self.handle.listTimers()) if known else ():
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(-(-(s["last"] + IDLE_US) // 1000))
 
@@ -58,12 +96,16 @@ class JournalFold(StatefulProcessor):
     # state
 
     def _load(self) -> dict:
-        if self.value.exists():
+        self.known = self.value.exists()
+        self.calls, self.subs, self.gates, self.ranges = (_Held(self.maps[n], not self.known) for n in ("calls", "subs", "gates", "ranges"))
+        if self.known:
             return dict(zip(_VALUE, self.value.get()))
         return dict.fromkeys(_VALUE) | {"skills": 0, "turns": 0, "roots": []}
 
     def _store(self, s: dict) -> None:
         self.value.update(tuple(s[n] for n in _VALUE))
+        for held in (self.calls, self.subs, self.gates, self.ranges):
+            held.write()
 
     @staticmethod
     def _row(s: dict, session: str, record: str | None, kind: str, at: int, **more) -> Row:
@@ -80,7 +122,7 @@ class JournalFold(StatefulProcessor):
         self.subs.clear()
 
     def _bound(self, session: str, s: dict, at: int) -> Iterator[Row]:
-        for (branch,), (base, head) in self.ranges.iterator() if s["repo"] is not None else ():
+        for branch, (base, head) in self.ranges.items() if s["repo"] is not None else ():
             if base is not None and head is not None and base != head:
                 yield self._row(s, session, None, "run.bound", at, branch=branch, base=base, head=head, roots=None)
 
@@ -95,31 +137,30 @@ class JournalFold(StatefulProcessor):
         if kind in ("session.start", "session.resume"):
             s["run"], s["run_at"] = r.own_run, r.at_us
             if s["branch"] is not None:
-                at = (s["branch"],)
-                base, head = self.ranges.getValue(at) if self.ranges.containsKey(at) else (None, None)
-                self.ranges.updateValue(at, (base or r.base, r.head or head))
+                base, head = self.ranges.get(s["branch"]) or (None, None)
+                self.ranges.put(s["branch"], (base or r.base, r.head or head))
             yield row(run=s["run"])
         elif kind == "subagent.started" and r.own_run is not None:
-            self.subs.updateValue((call,), (r.name, r.own_run))
+            self.subs.put(call, (r.name, r.own_run))
             yield row(run=r.own_run, parent_run=s["run"], agent=r.name)
-        elif kind in ("subagent.completed", "subagent.failed") and call is not None and self.subs.containsKey((call,)):
-            name, child = self.subs.getValue((call,))
+        elif kind in ("subagent.completed", "subagent.failed") and call is not None and self.subs.get(call) is not None:
+            name, child = self.subs.get(call)
             yield row(run=child, parent_run=s["run"], agent=name)
         elif kind == "tool.execution_start" and call is not None:
-            self.calls.updateValue((call,), tuple(getattr(r, c) for c in _CALL))
+            self.calls.put(call, tuple(getattr(r, c) for c in _CALL))
         elif kind == "tool.execution_complete":
             start: dict = {}
-            if call is not None and self.calls.containsKey((call,)):
-                start = dict(zip(_CALL, self.calls.getValue((call,))))
-                self.calls.removeKey((call,))
+            if call is not None and self.calls.get(call) is not None:
+                start = dict(zip(_CALL, self.calls.get(call)))
+                self.calls.put(call, None)
             parent = start.pop("parent", None) or r.parent
             name, run = AGENT, s["run"]
-            if parent is not None and self.subs.containsKey((parent,)):
-                name, run = self.subs.getValue((parent,))
+            if parent is not None and self.subs.get(parent) is not None:
+                name, run = self.subs.get(parent)
             attempt, gate = None, start.get("gate")
             if gate is not None:
-                attempt = self.gates.getValue((gate,))[0] if self.gates.containsKey((gate,)) else 0
-                self.gates.updateValue((gate,), (attempt + 1,))
+                attempt = (self.gates.get(gate) or (0,))[0]
+                self.gates.put(gate, (attempt + 1,))
             yield row(run=run, agent=name, attempt=attempt, **start)
         elif r.human:
             s["turns"] += 1

@@ -4,6 +4,7 @@ import hashlib
 import json
 import os
 import shutil
+from types import SimpleNamespace
 
 import duckdb
 
@@ -12,6 +13,7 @@ from deliverylens.operators.versions import Appended, VersionedTable
 from deliverylens.plans import catalogue
 from deliverylens.sources import inbox
 from deliverylens.sources.events import bundle_files
+from deliverylens.streaming.sessions import JournalFold
 from tests.conftest import DATA
 
 
@@ -77,3 +79,36 @@ def test_cost_per_accepted_reads_claims_once_and_keeps_nothing(spark, tmp_path):
     assert got.columns == [c[0] for c in want.description] and near(tuple(r) for r in got.collect()) == near(want.fetchall())
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "InMemoryRelation" not in plan and plan.count("l_shipdate") and plan.count("RepartitionByExpression [l_orderkey") == 1
+
+
+class _Store(dict):
+    """A state of one session that counts how often it is asked; a value lies at None."""
+
+    asked = 0
+
+    def __getattribute__(self, name):
+        if name in ("getValue", "containsKey", "updateValue", "removeKey", "iterator", "clear"):
+            _Store.asked += 1
+        return super().__getattribute__(name)
+
+    getValue, containsKey, updateValue, removeKey = dict.__getitem__, dict.__contains__, dict.__setitem__, dict.__delitem__
+    iterator = lambda self: iter(list(self.items()))
+    exists, get, update = (lambda self: None in self), (lambda self: self[None]), (lambda self, v: self.__setitem__(None, v))
+
+
+def test_the_store_is_asked_for_what_lasts_only():
+    stores = {}
+    make = lambda name, *_: stores.setdefault(name, _Store())
+    fold = JournalFold()
+    fold.init(SimpleNamespace(getValueState=make, getMapState=make, listTimers=list, registerTimer=lambda at: None, deleteTimer=lambda at: None))
+    names = ("record_id", "call", "own_run", "name", "parent", "tool", "server", "gate", "path", "skill", "repo", "branch", "host", "roots", "base", "head", "human", "body")
+    row = lambda at, kind, **more: SimpleNamespace(session_id="s", at_us=at, kind=kind, **(dict.fromkeys(names) | {"record_id": f"r{at:05d}"} | more))
+    take = lambda rows: [(r.kind, r.run, r.tool, r.attempt) for r in fold.handleInputRows(("s",), rows, None)]
+    rows = [row(0, "session.start", own_run="R", branch="b", repo="o", base="x", head="y")]
+    for n in range(500):
+        rows += [row(2 * n + 1, "tool.execution_start", call=f"c{n}", tool="bash", gate="test"), row(2 * n + 2, "tool.execution_complete", call=f"c{n}")]
+    got = take([*rows, row(2000, "tool.execution_start", call="open", tool="edit", gate="test")])
+    assert got[1:] == [("tool.execution_complete", "R", "bash", n) for n in range(500)]
+    assert _Store.asked <= 3 and {k: len(v) for k, v in stores.items()} == {"session": 1, "calls": 1, "subs": 0, "gates": 1, "ranges": 1}
+    assert take([row(3000, "tool.execution_complete", call="open"), row(3001, "session.shutdown")]) == [("tool.execution_complete", "R", "edit", 500), ("session.shutdown", "R", None, None), ("run.bound", None, None, None)]
+    assert not stores["calls"] and stores["gates"] == {("test",): (501,)}
