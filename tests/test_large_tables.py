@@ -112,3 +112,18 @@ def test_the_store_is_asked_for_what_lasts_only():
     assert _Store.asked <= 3 and {k: len(v) for k, v in stores.items()} == {"session": 1, "calls": 1, "subs": 0, "gates": 1, "ranges": 1}
     assert take([row(3000, "tool.execution_complete", call="open"), row(3001, "session.shutdown")]) == [("tool.execution_complete", "R", "edit", 500), ("session.shutdown", "R", None, None), ("run.bound", None, None, None)]
     assert not stores["calls"] and stores["gates"] == {("test",): (501,)}
+
+
+def test_names_near_each_other_are_compared_once(spark, tmp_path):
+    base = [f"Supplier#{n:09d}" for n in range(0, 400, 3)] + ["", "a", "b", "ab", "xyz", "Supplier#00000012", "x" * 41] + ["q" * k + "abcdefghij" * 4 + "r" * (5 - k) for k in range(6)]
+    base += [("abcdefghij" * 5)[:k] + "-" + ("abcdefghij" * 5)[k + 1 :] for k in range(0, 50, 4)] + [("abcdefghij" * 5)[:k] + "+" + ("abcdefghij" * 5)[k:49] for k in range(0, 50, 6)]
+    rows = [(n, name, n % 3 if n % 17 else None) for n, name in enumerate(base * 2 + [None] * 3 + base[:40])] + [(5, "Supplier#000000001", 2), (5, "Supplier#000000004", 2), (None, "Supplier#000000004", 2)]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    shutil.copy(f"{DATA}/sf0.001/nation.parquet", tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
+    got = catalogue.queries()["f49_name_collisions"](spark, str(tmp_path))
+    want = con.execute(catalogue.oracle_sql()["f49_name_collisions"]).fetchall()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want) and len(want) > 3000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin [nation" in plan
