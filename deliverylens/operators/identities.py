@@ -29,11 +29,13 @@ def shared_names(who: DataFrame) -> DataFrame:
 def _left_overs(names: DataFrame, name: str) -> DataFrame:
     """(name, key): a hash of each name and of all that is left of it without one letter or two: names
     within two edits share one of these. A row's letters i < j are taken out, where places past the end
-    hold none; letter by letter in rows, as arrays of arrays of strings would be built outside compiled code."""
+    hold none, and of a run of one letter its first are; letter by letter in rows, as arrays of arrays of strings would be built outside compiled code."""
     n = F.length("s")
     rows = names.select("s", F.explode(F.sequence(F.lit(1), n + 1)).alias("i"))
     rows = rows.select("s", "i", F.explode(F.sequence(F.col("i") + 1, F.greatest(n + 1, F.col("i") + 1))).alias("j"))
     cut = lambda at, size: F.substring("s", at, size)
+    first = lambda at: cut(F.col(at), F.lit(1)) != cut(F.col(at) - 1, F.lit(1))
+    rows = rows.where(((F.col("i") == 1) | first("i")) & ((F.col("j") == F.col("i") + 1) | first("j")))
     left = F.concat(cut(F.lit(1), F.col("i") - 1), cut(F.col("i") + 1, F.col("j") - F.col("i") - 1), cut(F.col("j") + 1, n))
     return rows.select(F.col("s").alias(name), F.xxhash64(left).alias("key"))
 
